@@ -26,23 +26,20 @@ Converter = Callable[[DataFrame, str, str | None, str, str], DataFrame]
 
 def pair_history(rates: DataFrame) -> DataFrame:
     """Every stored pair in both directions; ``preference`` ranks the stored one higher."""
-    stored = rates.select(
-        "seq_ttoo",
+    rate = F.col("nro_tasa").cast("double")
+    stored = F.struct(
         F.col("cod_divisa_ori").alias("from_ccy"),
         F.col("cod_divisa_des").alias("to_ccy"),
-        "fec_desde",
-        F.col("nro_tasa").cast("double").alias("rate"),
+        rate.alias("rate"),
         F.lit(2).alias("preference"),
     )
-    inverse = rates.select(
-        "seq_ttoo",
+    inverse = F.struct(
         F.col("cod_divisa_des").alias("from_ccy"),
         F.col("cod_divisa_ori").alias("to_ccy"),
-        "fec_desde",
-        (F.lit(1.0) / F.nullif(F.col("nro_tasa").cast("double"), F.lit(0.0))).alias("rate"),
+        (F.lit(1.0) / F.nullif(rate, F.lit(0.0))).alias("rate"),
         F.lit(1).alias("preference"),
     )
-    return stored.unionByName(inverse)
+    return rates.select("seq_ttoo", "fec_desde", F.inline(F.array(stored, inverse)))
 
 
 def partner_rate(

@@ -7,8 +7,8 @@ rates the requested measures use, and computes all of them in one aggregation.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -68,6 +68,12 @@ class Measure:
     value: Callable[[], Column]
     counts: Callable[[Column], Column] | None = None
     rate: Rate | None = None
+    source: str | None = None
+
+
+def of(source: str, measures: Sequence[Measure]) -> list[Measure]:
+    """The same measures, over the rows of one source in a stack of rollups."""
+    return [replace(measure, source=source) for measure in measures]
 
 
 def measure_header(booking: DataFrame, interface: DataFrame, currencies: DataFrame) -> DataFrame:
@@ -236,6 +242,12 @@ def attach_rates(
     return rows
 
 
+def stack_rollups(rollups: Mapping[str, DataFrame]) -> DataFrame:
+    """Rollups under one another, told apart by ``source``."""
+    tagged = [frame.withColumn("source", F.lit(name)) for name, frame in rollups.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+
+
 def fold(
     header: DataFrame,
     rollup: DataFrame,
@@ -261,9 +273,17 @@ def fold(
     outputs = [F.max(name).alias(name) for name in carry]
     for measure in measures:
         value = measure.value()
-        if measure.rate:
-            value = (value.cast("double") * F.col(measure.rate.name)).cast(TOTAL_AMOUNT)
         if measure.counts:
             value = F.when(measure.counts(F.col("record_type")), value)
-        outputs.append(total(value).alias(measure.output))
+        if measure.source:
+            value = F.when(F.col("source") == measure.source, value)
+        if measure.rate in HEADER_RATES:
+            # One rate per booking: convert the total.
+            converted = F.sum(value).cast("double") * F.max(measure.rate.name)
+            value = F.coalesce(converted.cast(TOTAL_AMOUNT), F.lit(0)).cast(TOTAL_AMOUNT)
+        elif measure.rate:
+            value = total((value.cast("double") * F.col(measure.rate.name)).cast(TOTAL_AMOUNT))
+        else:
+            value = total(value)
+        outputs.append(value.alias(measure.output))
     return rows.groupBy(*BOOKING_KEY).agg(*outputs)

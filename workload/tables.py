@@ -28,6 +28,8 @@ class Dialect:
     days: Callable[[str, str], str]
     seconds: Callable[[str, str], str]
     quarters: str
+    both: str
+    text: str
 
 
 SPARK = Dialect(
@@ -37,6 +39,8 @@ SPARK = Dialect(
         "explode(sequence(TIMESTAMP_NTZ'1994-01-01', TIMESTAMP_NTZ'2002-10-01', "
         "INTERVAL '3' MONTH))"
     ),
+    both="explode(array(0, 1))",
+    text="STRING",
 )
 DUCKDB = Dialect(
     days=lambda ts, n: f"({ts} + to_days(CAST({n} AS INTEGER)))",
@@ -45,6 +49,8 @@ DUCKDB = Dialect(
         "unnest(generate_series(TIMESTAMP '1994-01-01', TIMESTAMP '2002-10-01', "
         "INTERVAL 3 MONTH))"
     ),
+    both="unnest([0, 1])",
+    text="VARCHAR",
 )
 
 
@@ -264,17 +270,13 @@ FROM {{nation}}""",
     concat('T', (r_regionkey + year(quarter) + 1) % 3) AS tipo_cambio_ctb
 FROM (SELECT r_regionkey, {d.quarters} AS quarter FROM {{region}}) q""",
         "partner_rate": f"""SELECT CAST(1 + k % 2 AS BIGINT) AS seq_ttoo,
-    concat('C', k) AS cod_divisa_ori, 'EUR' AS cod_divisa_des,
-    {d.days("quarter", "k % 20")} AS fec_desde,
-    0.5 + CAST((k * 7 + month(quarter)) % 13 AS DOUBLE) / 10 AS nro_tasa
-FROM (SELECT n_nationkey AS k, {d.quarters} AS quarter FROM {{nation}}) q
-WHERE k > 0 AND k % 3 < 2
-UNION ALL
-SELECT CAST(1 + k % 2 AS BIGINT), 'EUR', concat('C', k),
-    {d.days("quarter", "k % 20 + k % 2 * 10")},
-    0.4 + CAST((k * 5 + month(quarter)) % 11 AS DOUBLE) / 10
-FROM (SELECT n_nationkey AS k, {d.quarters} AS quarter FROM {{nation}}) q
-WHERE k > 0 AND k % 3 > 0""",
+    CASE WHEN way = 0 THEN concat('C', k) ELSE 'EUR' END AS cod_divisa_ori,
+    CASE WHEN way = 0 THEN 'EUR' ELSE concat('C', k) END AS cod_divisa_des,
+    {d.days("quarter", "k % 20 + way * (k % 2) * 10")} AS fec_desde,
+    0.5 + CAST(10 + 10 * ((k * 7 + month(quarter) + way) % 13) AS DOUBLE) / 73 AS nro_tasa
+FROM (SELECT k, quarter, {d.both} AS way FROM (
+    SELECT n_nationkey AS k, {d.quarters} AS quarter FROM {{nation}}) n) q
+WHERE k > 0 AND (k % 3 > 0 OR way = 0) AND (k % 3 < 2 OR way = 1)""",
         "spread": f"""SELECT concat('T', k % 3) AS tipo_cambio,
     concat('C', k) AS cod_div_origen, 'EUR' AS cod_div_destino,
     {d.days("quarter", "k % 20")} AS fec_aplicacion,
@@ -284,8 +286,8 @@ FROM (SELECT n_nationkey AS k, {d.quarters} AS quarter FROM {{nation}}) q
 WHERE k > 0""",
         "daily_rate": f"""SELECT CAST(o_orderdate AS DATE) AS date,
     {_currency("o_orderkey % 26")} AS currency,
-    0.5 + CAST((max(o_orderkey % 26) * 7 + day(CAST(o_orderdate AS DATE))) % 13 AS DOUBLE) / 10
-        AS rate
+    0.5 + CAST(10 + 10 * ((max(o_orderkey % 26) * 7 + day(CAST(o_orderdate AS DATE))) % 13) AS DOUBLE)
+        / 73 AS rate
 FROM {{orders}} WHERE o_orderkey % 26 <> 25
 GROUP BY CAST(o_orderdate AS DATE), {_currency("o_orderkey % 26")}""",
     }
@@ -314,7 +316,8 @@ GROUP BY CAST(o_orderdate AS DATE), {_currency("o_orderkey % 26")}""",
         }
     for name, columns in stored.items():
         sums = ", ".join(
-            f"sum(CAST({value} AS DECIMAL(18,6))) AS {column}" for column, value in columns.items()
+            f"sum(CAST(CAST({value} AS {d.text}) AS DECIMAL(18,6))) AS {column}"
+            for column, value in columns.items()
         )
         tables[f"measure_{name}"] = (
             f"SELECT {_office('l_orderkey')} AS grec_seq_rec, l_orderkey AS seq_reserva, {sums} "
