@@ -41,6 +41,19 @@ def service_days(start: Column, end: Column, unit_type: Column, days: Column | N
     return F.when(days.isNotNull() & (days != 0), days).otherwise(counted)
 
 
+def service_quantity(units: Column, pax: Column, ps_flag: Column) -> Column:
+    """Passengers for flag P, units otherwise."""
+    return F.when(ps_flag == "P", pax).otherwise(units)
+
+
+def extended_amount(
+    start: Column, end: Column, unit_amount: Column, days: Column, quantity: Column
+) -> Column:
+    """Unit amount x days x quantity; 0 when a service date is missing."""
+    amount = _double(unit_amount) * days * quantity
+    return F.when(start.isNull() | end.isNull(), F.lit(0.0)).otherwise(amount)
+
+
 def night_amount(
     start: Column,
     end: Column,
@@ -51,10 +64,14 @@ def night_amount(
     unit_amount: Column,
     days: Column | None = None,
 ) -> Column:
-    """Unit amount x days x passengers (flag P) or units; 0 when a service date is missing."""
-    quantity = F.when(ps_flag == "P", pax).otherwise(units)
-    amount = _double(unit_amount) * service_days(start, end, unit_type, days) * quantity
-    return F.when(start.isNull() | end.isNull(), F.lit(0.0)).otherwise(amount)
+    """Amount of a service line over its nights or days."""
+    return extended_amount(
+        start,
+        end,
+        unit_amount,
+        service_days(start, end, unit_type, days),
+        service_quantity(units, pax, ps_flag),
+    )
 
 
 def contained_tax(gross: Column, pct: Column) -> Column:
@@ -93,15 +110,6 @@ def round_to_scale(amount: Column, decimals: Column) -> Column:
     return rounded.otherwise(exact)
 
 
-def pick_scale(decimals: Column, by_scale: dict[int, Column], raw: Column) -> Column:
-    """Choose the pre-rounded value that belongs to a currency's decimals."""
-    picked = None
-    for scale, value in by_scale.items():
-        hit = decimals == scale
-        picked = F.when(hit, value) if picked is None else picked.when(hit, value)
-    return raw if picked is None else picked.otherwise(raw)
-
-
 def exchange_date(policy: Column, service_from: Column, created: Column) -> Column:
     """Date whose rate applies: service start for policy E, creation otherwise."""
     return F.when(policy == "E", service_from).otherwise(created)

@@ -7,20 +7,14 @@ rates the requested measures use, and computes all of them in one aggregation.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staymart.functions.amounts import (
-    SCALES,
-    TOTAL_AMOUNT,
-    exchange_date,
-    pick_scale,
-    total,
-)
+from staymart.functions.amounts import SCALES, TOTAL_AMOUNT, exchange_date
 from staymart.functions.codes import (
     COMMISSION_TYPES,
     COST_EXCLUDED,
@@ -64,9 +58,11 @@ HEADER_RATES = (BOOKING_TO_EURO, PARTNER_TO_BOOKING, PARTNER_TO_EURO)
 
 @dataclass(frozen=True)
 class Measure:
+    """One output: an amount of ``AMOUNTS``, the rows that count, and a rate if any."""
+
     output: str
-    value: Callable[[], Column]
-    counts: Callable[[Column], Column] | None = None
+    amount: str
+    counts: str | None = None
     rate: Rate | None = None
     source: str | None = None
 
@@ -76,84 +72,57 @@ def of(source: str, measures: Sequence[Measure]) -> list[Measure]:
     return [replace(measure, source=source) for measure in measures]
 
 
-def measure_header(booking: DataFrame, interface: DataFrame, currencies: DataFrame) -> DataFrame:
-    """What measures need to know about a booking, one narrow row each."""
-    header = booking.select(
-        *BOOKING_KEY,
-        "fint_cod_interface",
-        "fec_creacion",
-        "fec_desde",
-        "gdiv_cod_divisa",
-        "ind_tippag",
-        "cod_divisa_p",
-    )
-    header = dimension_lookup(
-        header,
-        interface,
-        "fint_cod_interface",
-        "cod_interface",
-        {"ind_fec_cam_div": "ind_fec_cam_div"},
-    )
-    header = currency_decimals(header, currencies, "gdiv_cod_divisa", "decimales")
-    euro = currencies.filter(F.col("cod_divisa") == EURO).agg(
-        F.max(F.col("decimales").cast("int"))
-    )
-    return header.select(
-        *BOOKING_KEY,
-        "fec_creacion",
-        exchange_date(
-            F.col("ind_fec_cam_div"), F.col("fec_desde"), F.col("fec_creacion")
-        ).alias("policy_date"),
-        "gdiv_cod_divisa",
-        "ind_tippag",
-        "cod_divisa_p",
-        "decimales",
-        euro.scalar().alias("decimales_eur"),
-    )
-
-
-def _pay(sums: str) -> Callable[[], Column]:
+def _payable(sums: str) -> str:
     """Sale lines by payment mode: billable ones, or all but CH when paid at the hotel."""
-
-    def value() -> Column:
-        billable, other = F.col(f"{sums}_s"), F.col(f"{sums}_n")
-        every = F.coalesce(billable, F.lit(0)) + F.coalesce(other, F.lit(0))
-        return F.when(F.col("ind_tippag").isNull(), billable).when(
-            F.col("record_type") != "CH", every
-        )
-
-    return value
+    return (
+        f"CASE WHEN ind_tippag IS NULL THEN {sums}_s WHEN record_type <> 'CH' "
+        f"THEN coalesce({sums}_s, 0) + coalesce({sums}_n, 0) END"
+    )
 
 
-def _due(sums: str) -> Callable[[], Column]:
+def _due(sums: str) -> str:
     """Cost lines: billable ones, or all when paid at the hotel."""
+    return (
+        f"CASE WHEN ind_tippag IS NULL THEN {sums}_s "
+        f"ELSE coalesce({sums}_s, 0) + coalesce({sums}_n, 0) END"
+    )
 
-    def value() -> Column:
-        billable, other = F.col(f"{sums}_s"), F.col(f"{sums}_n")
-        every = F.coalesce(billable, F.lit(0)) + F.coalesce(other, F.lit(0))
-        return F.when(F.col("ind_tippag").isNull(), billable).otherwise(every)
 
-    return value
+def _scaled_tax(decimals: str) -> str:
+    """Unit tax rounded to a currency's decimals, unrounded when these are unknown."""
+    arms = " ".join(f"WHEN {scale} THEN unit_tax_{scale}" for scale in SCALES)
+    return f"CASE {decimals} {arms} ELSE unit_tax_raw END"
 
 
-def _plain(name: str) -> Callable[[], Column]:
-    return lambda: F.col(name)
+AMOUNTS = {
+    "payable_gross": _payable("gross"),
+    "payable_gn": _payable("gn"),
+    "payable_en": _payable("en"),
+    "due_gross": _due("gross"),
+    "due_gn": _due("gn"),
+    "due_en": _due("en"),
+    "billed_gross": "gross_s",
+    "billed_tax": _scaled_tax("decimales"),
+    "billed_tax_eur": _scaled_tax("decimales_eur"),
+    "recharged": "recharge",
+    "agent_gross": "agent",
+    "agent_taxed": "agent_tax",
+    "canal_tax": "canal",
+    "canco_tax": "canco",
+}
+SCALED = ("billed_tax", "billed_tax_eur")
 
 
-def _rounded_tax(decimals: str) -> Callable[[], Column]:
-    return lambda: pick_scale(
-        F.col(decimals),
-        {scale: F.col(f"unit_tax_{scale}") for scale in SCALES},
-        F.col("unit_tax_raw"),
-    )
+def _codes(codes: Sequence[str]) -> str:
+    return ", ".join(f"'{code}'" for code in codes)
 
 
-def _type_in(codes: Sequence[str]) -> Callable[[Column], Column]:
-    return lambda record_type: record_type.isin(*codes)
+def _type_in(codes: Sequence[str]) -> str:
+    return f"record_type IN ({_codes(codes)})"
 
 
-def _type_not_in(codes: Sequence[str]) -> Callable[[Column], Column]:
-    return lambda record_type: ~record_type.isin(*codes)
+def _type_not_in(codes: Sequence[str]) -> str:
+    return f"record_type NOT IN ({_codes(codes)})"
 
 
 _TTV = _type_not_in(TTV_EXCLUDED)
@@ -166,80 +135,106 @@ _COST_TAX = _type_not_in(COST_EXCLUDED)
 _RECHARGE = _type_in([RECHARGE_TYPE])
 
 TTV = [
-    Measure("TTV_booking_currency", _pay("gross"), _TTV),
-    Measure("TTV_EUR_currency", _pay("gross"), _TTV, BOOKING_TO_EURO),
+    Measure("TTV_booking_currency", "payable_gross", _TTV),
+    Measure("TTV_EUR_currency", "payable_gross", _TTV, BOOKING_TO_EURO),
 ]
 TAX_TTV = [
-    Measure("tax_ttv", _pay("gn"), _SALE_TAX),
-    Measure("tax_ttv_eur", _pay("gn"), _SALE_TAX, BOOKING_TO_EURO),
+    Measure("tax_ttv", "payable_gn", _SALE_TAX),
+    Measure("tax_ttv_eur", "payable_gn", _SALE_TAX, BOOKING_TO_EURO),
 ]
 TAX_TTV_TOMS = [
-    Measure("tax_ttv_toms", _pay("en"), _SALE_TAX),
-    Measure("Tax_TTV_EUR_TOMS", _pay("en"), _SALE_TAX, BOOKING_TO_EURO),
+    Measure("tax_ttv_toms", "payable_en", _SALE_TAX),
+    Measure("Tax_TTV_EUR_TOMS", "payable_en", _SALE_TAX, BOOKING_TO_EURO),
 ]
 CLIENT_COMMISSION = [
-    Measure("Client_Commision", _plain("gross_s"), _COMMISSION, LINE_TO_BOOKING),
-    Measure("Client_EUR_Commision", _plain("gross_s"), _COMMISSION, LINE_TO_EURO),
-    Measure(
-        "Tax_Client_commision", _rounded_tax("decimales"), _COMMISSION_TAX, LINE_TO_BOOKING
-    ),
-    Measure(
-        "Tax_Client_EUR_commision", _rounded_tax("decimales"), _COMMISSION_TAX, LINE_TO_EURO
-    ),
+    Measure("Client_Commision", "billed_gross", _COMMISSION, LINE_TO_BOOKING),
+    Measure("Client_EUR_Commision", "billed_gross", _COMMISSION, LINE_TO_EURO),
+    Measure("Tax_Client_commision", "billed_tax", _COMMISSION_TAX, LINE_TO_BOOKING),
+    Measure("Tax_Client_EUR_commision", "billed_tax", _COMMISSION_TAX, LINE_TO_EURO),
 ]
 CLIENT_RAPPEL = [
-    Measure("client_rappel", _plain("gross_s"), _OVERRIDE, LINE_TO_BOOKING),
-    Measure("Client_EUR_rappel", _plain("gross_s"), _OVERRIDE, LINE_TO_EURO),
-    Measure("tax_client_rappel", _rounded_tax("decimales"), _OVERRIDE, LINE_TO_BOOKING),
-    Measure("tax_Client_EUR_rappel", _rounded_tax("decimales"), _OVERRIDE, LINE_TO_EURO),
+    Measure("client_rappel", "billed_gross", _OVERRIDE, LINE_TO_BOOKING),
+    Measure("Client_EUR_rappel", "billed_gross", _OVERRIDE, LINE_TO_EURO),
+    Measure("tax_client_rappel", "billed_tax", _OVERRIDE, LINE_TO_BOOKING),
+    Measure("tax_Client_EUR_rappel", "billed_tax", _OVERRIDE, LINE_TO_EURO),
 ]
 SALE = [*TTV, *TAX_TTV, *TAX_TTV_TOMS, *CLIENT_COMMISSION, *CLIENT_RAPPEL]
 
 COST = [
-    Measure("cost_booking_currency", _due("gross"), _COST, LINE_TO_BOOKING),
-    Measure("cost_eur_currency", _due("gross"), _COST, LINE_TO_EURO),
-    Measure("tax_cost", _due("gn"), _COST_TAX, LINE_TO_BOOKING),
-    Measure("tax_cost_EUR", _due("gn"), _COST_TAX, LINE_TO_EURO),
-    Measure("tax_cost_TOMS", _due("en"), _COST_TAX, LINE_TO_BOOKING),
-    Measure("tax_cost_EUR_TOMS", _due("en"), _COST_TAX, LINE_TO_EURO),
+    Measure("cost_booking_currency", "due_gross", _COST, LINE_TO_BOOKING),
+    Measure("cost_eur_currency", "due_gross", _COST, LINE_TO_EURO),
+    Measure("tax_cost", "due_gn", _COST_TAX, LINE_TO_BOOKING),
+    Measure("tax_cost_EUR", "due_gn", _COST_TAX, LINE_TO_EURO),
+    Measure("tax_cost_TOMS", "due_en", _COST_TAX, LINE_TO_BOOKING),
+    Measure("tax_cost_EUR_TOMS", "due_en", _COST_TAX, LINE_TO_EURO),
 ]
 RECHARGE = [
-    Measure("dr_cost", _plain("recharge"), _RECHARGE, RECHARGE_TO_BOOKING),
-    Measure("dr_cost_EUR", _plain("recharge"), _RECHARGE, LINE_TO_EURO),
+    Measure("dr_cost", "recharged", _RECHARGE, RECHARGE_TO_BOOKING),
+    Measure("dr_cost_EUR", "recharged", _RECHARGE, LINE_TO_EURO),
 ]
 HOTEL_PAYMENT = [
     measure
     for item in HOTEL_PAY
     for measure in (
-        Measure(item.gross, _plain("gross_s"), _type_in([item.code]), LINE_TO_BOOKING),
-        Measure(item.tax, _rounded_tax("decimales"), _type_in([item.code]), LINE_TO_BOOKING),
-        Measure(item.gross_eur, _plain("gross_s"), _type_in([item.code]), LINE_TO_EURO),
-        Measure(
-            item.tax_eur, _rounded_tax("decimales_eur"), _type_in([item.code]), LINE_TO_EURO
-        ),
+        Measure(item.gross, "billed_gross", _type_in([item.code]), LINE_TO_BOOKING),
+        Measure(item.tax, "billed_tax", _type_in([item.code]), LINE_TO_BOOKING),
+        Measure(item.gross_eur, "billed_gross", _type_in([item.code]), LINE_TO_EURO),
+        Measure(item.tax_eur, "billed_tax_eur", _type_in([item.code]), LINE_TO_EURO),
     )
 ]
 
 AGENT = [
-    Measure("GSA_Commision", _plain("agent"), None, PARTNER_TO_BOOKING),
-    Measure("GSA_EUR_Commision", _plain("agent"), None, PARTNER_TO_EURO),
-    Measure("Tax_GSA_Commision", _plain("agent_tax"), None, PARTNER_TO_BOOKING),
-    Measure("Tax_GSA_EUR_Commision", _plain("agent_tax"), None, PARTNER_TO_EURO),
+    Measure("GSA_Commision", "agent_gross", None, PARTNER_TO_BOOKING),
+    Measure("GSA_EUR_Commision", "agent_gross", None, PARTNER_TO_EURO),
+    Measure("Tax_GSA_Commision", "agent_taxed", None, PARTNER_TO_BOOKING),
+    Measure("Tax_GSA_EUR_Commision", "agent_taxed", None, PARTNER_TO_EURO),
 ]
 COMPONENT = [
-    Measure("canal", _plain("canal")),
-    Measure("canal_EUR", _plain("canal"), None, BOOKING_TO_EURO),
-    Measure("canco", _plain("canco")),
-    Measure("canco_EUR", _plain("canco"), None, BOOKING_TO_EURO),
+    Measure("canal", "canal_tax"),
+    Measure("canal_EUR", "canal_tax", None, BOOKING_TO_EURO),
+    Measure("canco", "canco_tax"),
+    Measure("canco_EUR", "canco_tax", None, BOOKING_TO_EURO),
 ]
 
 
-def attach_rates(
-    rows: DataFrame, rates: Sequence[Rate], convert: Converter
+def measure_header(
+    booking: DataFrame,
+    interface: DataFrame,
+    currencies: DataFrame,
+    measures: Sequence[Measure],
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    for rate in rates:
-        rows = convert(rows, rate.source, rate.target, rate.at, rate.name)
-    return rows
+    """What the given measures need to know about a booking, one narrow row each."""
+    policy = any(measure.rate and measure.rate.at == "policy_date" for measure in measures)
+    scaled = "decimales" in carry or any(measure.amount in SCALED for measure in measures)
+    header = booking.select(
+        *BOOKING_KEY,
+        "fint_cod_interface",
+        "fec_creacion",
+        "fec_desde",
+        "gdiv_cod_divisa",
+        "ind_tippag",
+        "cod_divisa_p",
+    )
+    if policy:
+        header = dimension_lookup(
+            header,
+            interface,
+            "fint_cod_interface",
+            "cod_interface",
+            {"ind_fec_cam_div": "ind_fec_cam_div"},
+        ).withColumn(
+            "policy_date",
+            exchange_date(F.col("ind_fec_cam_div"), F.col("fec_desde"), F.col("fec_creacion")),
+        )
+    if scaled:
+        euro = currencies.filter(F.col("cod_divisa") == EURO).agg(
+            F.max(F.col("decimales").cast("int"))
+        )
+        header = currency_decimals(
+            header, currencies, "gdiv_cod_divisa", "decimales"
+        ).withColumn("decimales_eur", euro.scalar())
+    return header
 
 
 def stack_rollups(rollups: Mapping[str, DataFrame]) -> DataFrame:
@@ -248,6 +243,12 @@ def stack_rollups(rollups: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
+def _rows_that_count(measure: Measure) -> str:
+    tests = [f"source = '{measure.source}'"] if measure.source else []
+    tests += [measure.counts] if measure.counts else []
+    return " AND ".join(tests)
+
+
 def fold(
     header: DataFrame,
     rollup: DataFrame,
@@ -261,29 +262,56 @@ def fold(
     """
     used = {measure.rate.name: measure.rate for measure in measures if measure.rate}
     early = [rate for rate in HEADER_RATES if rate.name in used]
-    late = [rate for name, rate in used.items() if rate not in HEADER_RATES]
-    selective = [measure.counts for measure in measures if measure.counts]
-    if len(selective) == len(measures):
-        record_type = F.col("record_type")
-        wanted = list(dict.fromkeys(selective))
-        rollup = rollup.filter(reduce(lambda a, b: a | b, [test(record_type) for test in wanted]))
+    late = [rate for rate in used.values() if rate not in HEADER_RATES]
+    conditions = dict.fromkeys(_rows_that_count(measure) for measure in measures)
+    if all(conditions):
+        rollup = rollup.filter(" OR ".join(f"({condition})" for condition in conditions))
+    rows = header
+    for rate in early:
+        rows = convert(rows, rate.source, rate.target, rate.at, rate.name)
     match = [F.col(key) == F.col(line) for key, line in zip(BOOKING_KEY, ROLLUP_KEY, strict=True)]
-    rows = attach_rates(header, early, convert).join(rollup, match, "left")
-    rows = attach_rates(rows, late, convert)
+    rows = rows.join(rollup, match, "left")
+    for rate in late:
+        rows = convert(rows, rate.source, rate.target, rate.at, rate.name)
+
+    amounts = {measure.amount: f"__{measure.amount}" for measure in measures}
+    priced = {
+        (measure.amount, measure.rate): f"__{measure.amount}_{measure.rate.name}"
+        for measure in measures
+        if measure.rate in late
+    }
+    rows = rows.withColumns({name: F.expr(AMOUNTS[amount]) for amount, name in amounts.items()})
+    rows = rows.withColumns(
+        {
+            name: F.expr(
+                f"CAST(CAST({amounts[amount]} AS DOUBLE) * {rate.name} AS {TOTAL_AMOUNT})"
+            )
+            for (amount, rate), name in priced.items()
+        }
+    )
     outputs = [F.max(name).alias(name) for name in carry]
     for measure in measures:
-        value = measure.value()
-        if measure.counts:
-            value = F.when(measure.counts(F.col("record_type")), value)
-        if measure.source:
-            value = F.when(F.col("source") == measure.source, value)
+        value = priced.get((measure.amount, measure.rate), amounts[measure.amount])
+        condition = _rows_that_count(measure)
+        added = f"sum(CASE WHEN {condition} THEN {value} END)" if condition else f"sum({value})"
         if measure.rate in HEADER_RATES:
             # One rate per booking: convert the total.
-            converted = F.sum(value).cast("double") * F.max(measure.rate.name)
-            value = F.coalesce(converted.cast(TOTAL_AMOUNT), F.lit(0)).cast(TOTAL_AMOUNT)
-        elif measure.rate:
-            value = total((value.cast("double") * F.col(measure.rate.name)).cast(TOTAL_AMOUNT))
-        else:
-            value = total(value)
-        outputs.append(value.alias(measure.output))
+            added = f"CAST(CAST({added} AS DOUBLE) * max({measure.rate.name}) AS {TOTAL_AMOUNT})"
+        outputs.append(
+            F.expr(f"CAST(coalesce({added}, 0) AS {TOTAL_AMOUNT}) AS {measure.output}")
+        )
     return rows.groupBy(*BOOKING_KEY).agg(*outputs)
+
+
+def booking_measures(
+    tables: Mapping[str, DataFrame],
+    rollup: DataFrame,
+    measures: Sequence[Measure],
+    convert: Converter | None = None,
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """``fold`` over the bookings of a working set."""
+    header = measure_header(
+        tables["booking"], tables["interface"], tables["currency"], measures, carry
+    )
+    return fold(header, rollup, measures, convert, carry)

@@ -18,8 +18,10 @@ from staymart.functions.amounts import (
     canal_tax,
     canco_tax,
     contained_tax,
-    night_amount,
+    extended_amount,
     quantise,
+    service_days,
+    service_quantity,
 )
 from staymart.functions.codes import (
     CAMPAIGN_COMPONENT,
@@ -49,30 +51,31 @@ def rollup_lines(
     ``recharge``. With ``exclusion`` set, recharge lines of excluded extras go.
     Columns nobody selects are pruned, and with them the tax lookup.
     """
-    rated = tax_lookup(lines, tax)
+    rated = tax_lookup(lines, tax).withColumns(
+        {
+            "__days": service_days(
+                F.col("fec_desde"), F.col("fec_hasta"), F.col("ind_tipo_unid")
+            ),
+            "__quantity": service_quantity(
+                F.col("nro_unidades"), F.col("nro_pax"), F.col("ind_p_s")
+            ),
+            "__unit_tax": contained_tax(F.col("imp_unitario"), F.col("pct_impuesto")),
+            "__regime": F.concat("ind_tipo_regimen", F.coalesce("ind_trfprc", F.lit("N"))),
+        }
+    )
 
     def amount(unit):
-        return night_amount(
-            F.col("fec_desde"),
-            F.col("fec_hasta"),
-            F.col("nro_unidades"),
-            F.col("nro_pax"),
-            F.col("ind_tipo_unid"),
-            F.col("ind_p_s"),
-            unit,
+        return quantise(
+            extended_amount(
+                F.col("fec_desde"), F.col("fec_hasta"), unit, F.col("__days"), F.col("__quantity")
+            )
         )
 
-    unit_tax = contained_tax(F.col("imp_unitario"), F.col("pct_impuesto"))
-    line_tax = quantise(amount(unit_tax))
+    unit_tax = F.col("__unit_tax")
+    line_tax = amount(unit_tax)
     if explicit_tax:
         line_tax = F.coalesce(quantise(F.col("imp_impuesto")), line_tax)
-    priced = rated.withColumns(
-        {
-            "__gross": quantise(amount(F.col("imp_unitario"))),
-            "__tax": line_tax,
-            "__regime": F.concat("ind_tipo_regimen", F.coalesce("ind_trfprc", F.lit("N"))),
-        }
-    )
+    priced = rated.withColumns({"__gross": amount(F.col("imp_unitario")), "__tax": line_tax})
 
     entry = F.col("ind_contra_apunte") == "N"
     billable = F.col("ind_facturable") == "S"
@@ -89,11 +92,11 @@ def rollup_lines(
         added(entry & other & general, F.col("__tax"), "gn_n"),
         added(entry & billable & special, F.col("__tax"), "en_s"),
         added(entry & other & special, F.col("__tax"), "en_n"),
-        added(entry & billable, quantise(amount(unit_tax)), "unit_tax_raw"),
+        added(entry & billable, amount(unit_tax), "unit_tax_raw"),
     ]
     for scale in SCALES:
         rounded = F.round(quantise(unit_tax), scale)
-        sums.append(added(entry & billable, quantise(amount(rounded)), f"unit_tax_{scale}"))
+        sums.append(added(entry & billable, amount(rounded), f"unit_tax_{scale}"))
     keys = [
         F.col("grec_seq_rec").alias(ROLLUP_KEY[0]),
         F.col("rres_seq_reserva").alias(ROLLUP_KEY[1]),

@@ -403,7 +403,7 @@ WHERE fec_cancelacion IS NULL GROUP BY grec_seq_rec, rres_seq_reserva""",
     re.des_receptivo AS operative_office_desc, b.grec_seq_rec AS operative_incoming,
     b.seq_reserva AS booking_id, b.fint_cod_interface AS interface,
     rf.semp_cod_emp AS invoicing_company, rf.sofi_cod_ofi AS invoicing_office,
-    rf.seq_rec AS invoicing_incoming,
+    CAST(rf.seq_rec AS DOUBLE) AS invoicing_incoming,
     {_fmt("b.fec_creacion", _DAY)} AS creation_date,
     {_fmt("b.fec_creacion", _MICRO)} AS creation_ts,
     {_text_or_empty("b.fec_modifica", _DAY)} AS modification_date,
@@ -614,7 +614,7 @@ GROUP BY b.grec_seq_rec, b.seq_reserva""",
     CAST(CAST(CAST(seq_reserva AS DOUBLE) / 7 AS DECIMAL(15,3)) AS DOUBLE) AS f_cast,
     'R' AS f_lit FROM booking""",
     "night_amount": f"""SELECT l.grec_seq_rec, l.rres_seq_reserva, l.nro_pax, l.nro_unidades,
-    l.imp_unitario, CAST({_days()} AS INTEGER) AS days,
+    l.imp_unitario, CAST({_days()} AS DOUBLE) AS days,
     CAST({_dec(_amount("l.imp_unitario"))} AS DOUBLE) AS amount,
     CAST({_dec(_amount("l.imp_unitario",
         days=f"CASE WHEN l.nro_pax - 1 <> 0 THEN l.nro_pax - 1 ELSE {_days()} END"))} AS DOUBLE)
@@ -640,7 +640,7 @@ GROUP BY l.grec_seq_rec, l.rres_seq_reserva""",
     "role_playing_dim": """SELECT b.grec_seq_rec, b.seq_reserva, re.semp_cod_emp AS operative_company,
     re.sofi_cod_ofi AS operative_office, re.des_receptivo AS operative_office_desc,
     rf.semp_cod_emp AS invoicing_company, rf.sofi_cod_ofi AS invoicing_office,
-    rf.seq_rec AS invoicing_incoming
+    CAST(rf.seq_rec AS DOUBLE) AS invoicing_incoming
 FROM booking b LEFT JOIN receptive re ON b.grec_seq_rec = re.seq_rec
 LEFT JOIN receptive rf ON b.seq_rec_hbeds = rf.seq_rec""",
     "validity_range_join": """SELECT o.seq_rec, o.seq_reserva, o.nom_contrato, o.ind_tipo_otro,
@@ -685,7 +685,7 @@ FROM recharge_line GROUP BY grec_seq_rec, rres_seq_reserva""",
     CAST({_dec("coalesce(r.rate, 0)")} AS DOUBLE) AS rate
 FROM booking b LEFT JOIN daily_rate r ON CAST(b.fec_creacion AS DATE) = r.date
     AND b.gdiv_cod_divisa = r.currency""",
-    "asof_rate": f"""SELECT q.grec_seq_rec, q.seq_reserva, q.partner_ttoo, q.gdiv_cod_divisa,
+    "asof_rate": f"""SELECT q.grec_seq_rec, q.seq_reserva, CAST(q.partner_ttoo AS DOUBLE) AS partner_ttoo, q.gdiv_cod_divisa,
     CAST({_dec("CASE WHEN q.gdiv_cod_divisa = 'EUR' THEN 1 ELSE h.rate END")} AS DOUBLE) AS rate
 FROM (SELECT b.*, i.partner_ttoo, 'EUR' AS e FROM booking b
     LEFT JOIN interface i ON b.fint_cod_interface = i.cod_interface) q

@@ -38,16 +38,18 @@ WINDOW = ("1996-01-01 00:00:00", "1998-12-31 23:59:59")
 KEY = list(measures.BOOKING_KEY)
 
 
+# Integer outputs that hold nulls; data frames on the comparing side show them as doubles.
+NULLABLE_INTEGERS = ("days", "partner_ttoo", "invoicing_incoming")
+
+
 def comparable(frame: DataFrame) -> DataFrame:
-    """Decimals as doubles, so both engines report one type."""
-    return frame.select(
-        *[
-            F.col(field.name).cast("double").alias(field.name)
-            if isinstance(field.dataType, T.DecimalType)
-            else F.col(field.name)
-            for field in frame.schema
-        ]
-    )
+    """Decimals and nullable integers as doubles, so both engines report one type."""
+    doubles = {
+        field.name: F.col(field.name).cast("double")
+        for field in frame.schema
+        if isinstance(field.dataType, T.DecimalType) or field.name in NULLABLE_INTEGERS
+    }
+    return frame.withColumns(doubles) if doubles else frame
 
 
 def _text(name: str) -> Column:
@@ -62,10 +64,6 @@ def _converter(t: Mapping[str, DataFrame]) -> exchange.Converter:
     return exchange.asof_converter(t["partner_rate"])
 
 
-def _header(t: Mapping[str, DataFrame]) -> DataFrame:
-    return measures.measure_header(t["booking"], t["interface"], t["currency"])
-
-
 def _exclusion(t: Mapping[str, DataFrame]) -> DataFrame:
     return campaign_exclusion(t["extra"], t["discount_bond"], t["campaign"])
 
@@ -209,7 +207,10 @@ def scalar_functions(t: Tables) -> DataFrame:
 
 
 def fx_date_policy(t: Tables) -> DataFrame:
-    return _header(t).select(*KEY, _text("policy_date"))
+    policy = measures.measure_header(
+        t["booking"], t["interface"], t["currency"], measures.CLIENT_RAPPEL
+    )
+    return policy.select(*KEY, _text("policy_date"))
 
 
 def null_defaults(t: Tables) -> DataFrame:
@@ -496,7 +497,7 @@ def round_by_currency(t: Tables) -> DataFrame:
 
 
 def _fold(rows: Callable[[Tables], DataFrame], wanted: list) -> Callable[[Tables], DataFrame]:
-    return lambda t: measures.fold(_header(t), rows(t), wanted, _converter(t))
+    return lambda t: measures.booking_measures(t, rows(t), wanted, _converter(t))
 
 
 def component_tax_sum(t: Tables) -> DataFrame:
@@ -517,7 +518,7 @@ def union_distinct_literal(t: Tables) -> DataFrame:
 def _transfer(*columns: str) -> Callable[[Tables], DataFrame]:
     def run(t: Tables) -> DataFrame:
         priced = transfer.transfer_pricing(
-            _header(t), _components(t), _recharged_cost(t), _converter(t)
+            t, _components(t), _recharged_cost(t), _converter(t)
         )
         return priced.select(*KEY, *columns)
 
