@@ -1,20 +1,23 @@
 """Amount, tax and rounding expressions.
 
-Numeric policy: a line amount is computed in double precision, quantised once to
-``LINE_AMOUNT`` and summed exactly as a decimal, so totals do not depend on the
-order in which tasks deliver their rows.
+Numeric policy: a line amount is computed in double precision and quantised once to
+whole millionths, a 64-bit integer. Sums add those integers, so totals are exact and do
+not depend on the order in which tasks deliver their rows, and the inner loop stays on
+primitive types. Results are decimals with six places.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-LINE_AMOUNT = "decimal(18,6)"
 TOTAL_AMOUNT = "decimal(28,6)"
+PLACES = 6
+UNIT = 10**PLACES
 
-# Rounding scales that get their own sum in a line rollup. LINE_AMOUNT keeps six
-# decimals, so a currency with six or more needs no rounding at all.
+# Rounding scales that get their own sum in a line rollup; six places need none.
 SCALES = (0, 1, 2, 3, 4, 5)
 
 
@@ -22,9 +25,40 @@ def _double(value: Column) -> Column:
     return value.cast("double")
 
 
+def micros_sql(value: str) -> str:
+    """SQL text of ``micros``."""
+    return f"CAST({value} * {UNIT} + signum({value}) * 0.5 AS BIGINT)"
+
+
+def micros(value: Column) -> Column:
+    """A computed amount in millionths, halves away from zero."""
+    value = _double(value)
+    return (value * UNIT + F.signum(value) * 0.5).cast("bigint")
+
+
+def from_micros(value: Column) -> Column:
+    return (value.cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-PLACES))).cast(TOTAL_AMOUNT)
+
+
 def quantise(value: Column) -> Column:
-    """Fix a computed line amount to the summable decimal type."""
-    return _double(value).cast(LINE_AMOUNT)
+    """A computed amount as a decimal with six places."""
+    return from_micros(micros(value))
+
+
+def exact_sum_sql(amount: str, condition: str | None = None) -> str:
+    """SQL text summing amounts in millionths to a decimal; null for an empty group.
+
+    Whole units and the remainder are added apart, so a sum of any realistic number of
+    lines stays inside 64 bits.
+    """
+    whole, rest = f"{amount} DIV {UNIT}", f"{amount} % {UNIT}"
+    if condition:
+        whole = f"CASE WHEN {condition} THEN {whole} END"
+        rest = f"CASE WHEN {condition} THEN {rest} END"
+    return (
+        f"CAST(CAST(sum({whole}) AS DECIMAL(19,0)) "
+        f"+ CAST(sum({rest}) AS DECIMAL(19,0)) * 0.000001BD AS {TOTAL_AMOUNT})"
+    )
 
 
 def total(value: Column) -> Column:
@@ -32,6 +66,14 @@ def total(value: Column) -> Column:
     return F.coalesce(F.sum(value), F.lit(0)).cast(TOTAL_AMOUNT)
 
 
+def rounded_micros(value: Column, scale: int) -> Column:
+    """Millionths rounded HALF_UP to a number of places."""
+    step = 10 ** (PLACES - scale)
+    half = F.signum(value.cast("double")).cast("bigint") * (step // 2)
+    shifted = value + half
+    return shifted - shifted % step
+
+
 def service_days(start: Column, end: Column, unit_type: Column, days: Column | None = None) -> Column:
     """Nights for unit type N, calendar days for S, one otherwise; a non-zero ``days`` wins."""
     nights = F.datediff(F.to_date(end), F.to_date(start))

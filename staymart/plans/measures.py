@@ -14,7 +14,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staymart.functions.amounts import SCALES, TOTAL_AMOUNT, exchange_date
+from staymart.functions.amounts import (
+    SCALES,
+    TOTAL_AMOUNT,
+    exact_sum_sql,
+    exchange_date,
+    micros_sql,
+)
 from staymart.functions.codes import (
     COMMISSION_TYPES,
     COST_EXCLUDED,
@@ -281,22 +287,23 @@ def fold(
         if measure.rate in late
     }
     rows = rows.withColumns({name: F.expr(AMOUNTS[amount]) for amount, name in amounts.items()})
-    rows = rows.withColumns(
-        {
-            name: F.expr(
-                f"CAST(CAST({amounts[amount]} AS DOUBLE) * {rate.name} AS {TOTAL_AMOUNT})"
-            )
-            for (amount, rate), name in priced.items()
-        }
-    )
+    if priced:
+        rows = rows.withColumns(
+            {
+                name: F.expr(micros_sql(f"(CAST({amounts[amount]} AS DOUBLE) * {rate.name})"))
+                for (amount, rate), name in priced.items()
+            }
+        )
     outputs = [F.max(name).alias(name) for name in carry]
     for measure in measures:
-        value = priced.get((measure.amount, measure.rate), amounts[measure.amount])
-        condition = _rows_that_count(measure)
-        added = f"sum(CASE WHEN {condition} THEN {value} END)" if condition else f"sum({value})"
+        amount, condition = amounts[measure.amount], _rows_that_count(measure)
+        added = f"sum(CASE WHEN {condition} THEN {amount} END)" if condition else f"sum({amount})"
         if measure.rate in HEADER_RATES:
             # One rate per booking: convert the total.
-            added = f"CAST(CAST({added} AS DOUBLE) * max({measure.rate.name}) AS {TOTAL_AMOUNT})"
+            converted = micros_sql(f"(CAST({added} AS DOUBLE) * max({measure.rate.name}))")
+            added = f"CAST({converted} AS DECIMAL(19,0)) * 0.000001BD"
+        elif measure.rate:
+            added = exact_sum_sql(priced[measure.amount, measure.rate], condition)
         outputs.append(
             F.expr(f"CAST(coalesce({added}, 0) AS {TOTAL_AMOUNT}) AS {measure.output}")
         )

@@ -13,13 +13,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staymart.functions.amounts import (
-    LINE_AMOUNT,
     SCALES,
+    UNIT,
     canal_tax,
     canco_tax,
     contained_tax,
+    exact_sum_sql,
     extended_amount,
-    quantise,
+    micros,
+    rounded_micros,
     service_days,
     service_quantity,
 )
@@ -65,7 +67,7 @@ def rollup_lines(
     )
 
     def amount(unit):
-        return quantise(
+        return micros(
             extended_amount(
                 F.col("fec_desde"), F.col("fec_hasta"), unit, F.col("__days"), F.col("__quantity")
             )
@@ -74,29 +76,33 @@ def rollup_lines(
     unit_tax = F.col("__unit_tax")
     line_tax = amount(unit_tax)
     if explicit_tax:
-        line_tax = F.coalesce(quantise(F.col("imp_impuesto")), line_tax)
-    priced = rated.withColumns({"__gross": amount(F.col("imp_unitario")), "__tax": line_tax})
+        line_tax = F.coalesce(micros(F.col("imp_impuesto")), line_tax)
+    columns = {
+        "__gross": amount(F.col("imp_unitario")),
+        "__tax": line_tax,
+        "__unit_tax_raw": amount(unit_tax),
+    }
+    for scale in SCALES:
+        rounded = rounded_micros(micros(unit_tax), scale).cast("double") / UNIT
+        columns[f"__unit_tax_{scale}"] = amount(rounded)
+    priced = rated.withColumns(columns)
 
-    entry = F.col("ind_contra_apunte") == "N"
-    billable = F.col("ind_facturable") == "S"
-    other = F.coalesce(~billable, F.lit(True))
-    general, special = F.col("__regime") == GENERAL_REGIME, F.col("__regime") == SPECIAL_REGIME
+    entry = "ind_contra_apunte = 'N'"
+    billable, other = "ind_facturable = 'S'", "coalesce(ind_facturable <> 'S', true)"
+    regimes = {"gn": f"__regime = '{GENERAL_REGIME}'", "en": f"__regime = '{SPECIAL_REGIME}'"}
 
-    def added(condition, value, name):
-        return F.sum(F.when(condition, value)).alias(name)
+    def added(amount: str, name: str, *conditions: str):
+        return F.expr(f"{exact_sum_sql(amount, ' AND '.join(conditions))} AS {name}")
 
     sums = [
-        added(entry & billable, F.col("__gross"), "gross_s"),
-        added(entry & other, F.col("__gross"), "gross_n"),
-        added(entry & billable & general, F.col("__tax"), "gn_s"),
-        added(entry & other & general, F.col("__tax"), "gn_n"),
-        added(entry & billable & special, F.col("__tax"), "en_s"),
-        added(entry & other & special, F.col("__tax"), "en_n"),
-        added(entry & billable, amount(unit_tax), "unit_tax_raw"),
+        added("__gross", "gross_s", entry, billable),
+        added("__gross", "gross_n", entry, other),
     ]
-    for scale in SCALES:
-        rounded = F.round(quantise(unit_tax), scale)
-        sums.append(added(entry & billable, amount(rounded), f"unit_tax_{scale}"))
+    for regime, condition in regimes.items():
+        sums.append(added("__tax", f"{regime}_s", entry, billable, condition))
+        sums.append(added("__tax", f"{regime}_n", entry, other, condition))
+    for variant in ("raw", *SCALES):
+        sums.append(added(f"__unit_tax_{variant}", f"unit_tax_{variant}", entry, billable))
     keys = [
         F.col("grec_seq_rec").alias(ROLLUP_KEY[0]),
         F.col("rres_seq_reserva").alias(ROLLUP_KEY[1]),
@@ -105,9 +111,13 @@ def rollup_lines(
     ]
     if exclusion is None:
         return priced.groupBy(*keys).agg(*sums)
-    recharged = F.col("ind_tipo_registro") == RECHARGE_TYPE
-    sums.append(added(recharged & billable, F.col("__gross"), "recharge"))
-    keys.append(F.when(recharged, F.col("rext_ord_extra")).alias("recharge_ord"))
+    recharged = f"ind_tipo_registro = '{RECHARGE_TYPE}'"
+    sums.append(added("__gross", "recharge", recharged, billable))
+    keys.append(
+        F.when(F.col("ind_tipo_registro") == RECHARGE_TYPE, F.col("rext_ord_extra")).alias(
+            "recharge_ord"
+        )
+    )
     return exclude_keys(
         priced.groupBy(*keys).agg(*sums),
         exclusion,
@@ -127,7 +137,7 @@ def union_components(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def component_taxes(components: DataFrame, tax: DataFrame) -> DataFrame:
-    """Channel and channel-company tax per line.
+    """Channel and channel-company tax per line, in millionths.
 
     Sale and purchase percentage are two roles of one table under the same five
     key columns; lines without a tax row drop out.
@@ -149,11 +159,10 @@ def component_taxes(components: DataFrame, tax: DataFrame) -> DataFrame:
         F.col("pct_vta"),
         F.col("pct_cpa"),
     )
-    zero = F.lit(0).cast(LINE_AMOUNT)
     return rated.withColumns(
         {
-            "canal": F.coalesce(quantise(canal), zero),
-            "canco": F.coalesce(quantise(canco), zero),
+            "canal_micros": F.coalesce(micros(canal), F.lit(0)),
+            "canco_micros": F.coalesce(micros(canco), F.lit(0)),
         }
     )
 
@@ -173,7 +182,10 @@ def rollup_components(
         F.col("seq_reserva").alias(ROLLUP_KEY[1]),
         "component",
         campaign_extra.alias("component_ord"),
-    ).agg(F.sum("canal").alias("canal"), F.sum("canco").alias("canco"))
+    ).agg(
+        F.expr(f"{exact_sum_sql('canal_micros')} AS canal"),
+        F.expr(f"{exact_sum_sql('canco_micros')} AS canco"),
+    )
     if exclusion is None:
         return per_extra
     return exclude_keys(
@@ -185,9 +197,13 @@ def rollup_components(
 
 def rollup_commissions(commission: DataFrame) -> DataFrame:
     """Agent commission and its tax per booking."""
-    return commission.groupBy(
+    amounts = {
+        "agent_micros": micros(F.col("imp_com_age")),
+        "agent_tax_micros": micros(F.col("imp_comision_imp")),
+    }
+    return commission.withColumns(amounts).groupBy(
         F.col("seq_rec").alias(ROLLUP_KEY[0]), F.col("seq_reserva").alias(ROLLUP_KEY[1])
     ).agg(
-        F.sum(quantise(F.col("imp_com_age"))).alias("agent"),
-        F.sum(quantise(F.col("imp_comision_imp"))).alias("agent_tax"),
+        F.expr(f"{exact_sum_sql('agent_micros')} AS agent"),
+        F.expr(f"{exact_sum_sql('agent_tax_micros')} AS agent_tax"),
     )

@@ -81,14 +81,17 @@ def _amount(unit: str, alias: str = "l", days: str | None = None) -> str:
     )
 
 
-def _dec(value: str, width: int = 18) -> str:
-    """Decimal from the shortest text of a double, which rounds its true digits half up."""
-    return f"CAST(CAST({value} AS VARCHAR) AS DECIMAL({width},6))"
+def _dec(value: str) -> str:
+    """A double in whole millionths, halves away from zero, as a decimal."""
+    return (
+        f"(CAST(CAST(trunc(({value}) * 1000000 + sign({value}) * 0.5) AS BIGINT) AS DECIMAL(19,0)) "
+        "* CAST(0.000001 AS DECIMAL(7,6)))"
+    )
 
 
-def _round(value: str, decimals: str, width: int = 18) -> str:
+def _round(value: str, decimals: str) -> str:
     arms = " ".join(
-        f"WHEN {k} THEN CAST(round({_dec(value, width)}, {k}) AS DOUBLE)"
+        f"WHEN {k} THEN CAST(round({_dec(value)}, {k}) AS DOUBLE)"
         for k in range(6)
     )
     return f"CASE {decimals} {arms} ELSE CAST({value} AS DOUBLE) END"
@@ -115,14 +118,14 @@ SALE_TAX = f"coalesce({_dec('l.imp_impuesto')}, {_dec(_amount(UNIT_TAX))})"
 def _priced(amount: str, rate: str) -> str:
     """Sum of converted subtotals, 0 for none."""
     return (
-        f"CAST(coalesce(sum({_dec(f'CAST({amount} AS DOUBLE) * {rate}', 28)}), 0) AS DOUBLE)"
+        f"CAST(coalesce(sum({_dec(f'CAST({amount} AS DOUBLE) * {rate}')}), 0) AS DOUBLE)"
     )
 
 
 def _priced_total(amount: str, rate: str) -> str:
     """Converted total, for a rate that is one per booking."""
     return (
-        f"CAST(coalesce({_dec(f'CAST(sum({amount}) AS DOUBLE) * max({rate})', 28)}, 0) "
+        f"CAST(coalesce({_dec(f'CAST(sum({amount}) AS DOUBLE) * max({rate})')}, 0) "
         "AS DOUBLE)"
     )
 
@@ -337,17 +340,17 @@ GROUP BY b.grec_seq_rec, b.seq_reserva""",
     sum(canal) AS canal, sum(canco) AS canco
 FROM component_line GROUP BY seq_rec, seq_reserva, component""",
     "m_tp": f"""SELECT grec_seq_rec, seq_reserva,
-    CAST({_round("canal", "decimales", 28)} AS DOUBLE) AS Tax_Sales_Transfer_pricing,
-    CAST({_round("canal + canco_eur + dr", "decimales", 28)} AS DOUBLE) AS Transfer_pricing,
-    CAST({_round("canco + dr", "decimales", 28)} AS DOUBLE) AS Tax_Cost_Transfer_pricing,
+    CAST({_round("canal", "decimales")} AS DOUBLE) AS Tax_Sales_Transfer_pricing,
+    CAST({_round("canal + canco_eur + dr", "decimales")} AS DOUBLE) AS Transfer_pricing,
+    CAST({_round("canco + dr", "decimales")} AS DOUBLE) AS Tax_Cost_Transfer_pricing,
     CAST(canal_eur AS DOUBLE) AS Tax_Sales_Transfer_pricing_EUR,
     CAST(canal_eur + canco_eur + dr_eur AS DOUBLE) AS Tax_Transfer_pricing_EUR,
     CAST(canco_eur + dr_eur AS DOUBLE) AS Tax_Cost_Transfer_pricing_EUR
 FROM (SELECT b.grec_seq_rec, b.seq_reserva, b.decimales,
         coalesce(s.canal, 0) AS canal, coalesce(s.canco, 0) AS canco,
-        coalesce({_dec("CAST(s.canal AS DOUBLE) * be.rate", 28)}, 0) AS canal_eur,
-        coalesce({_dec("CAST(s.canco AS DOUBLE) * be.rate", 28)}, 0) AS canco_eur,
-        {_dec("d.dr_cost", 28)} AS dr, {_dec("d.dr_cost_EUR", 28)} AS dr_eur
+        coalesce({_dec("CAST(s.canal AS DOUBLE) * be.rate")}, 0) AS canal_eur,
+        coalesce({_dec("CAST(s.canco AS DOUBLE) * be.rate")}, 0) AS canco_eur,
+        {_dec("d.dr_cost")} AS dr, {_dec("d.dr_cost_EUR")} AS dr_eur
     FROM hdr b
     LEFT JOIN (SELECT seq_rec AS rec, seq_reserva AS res, sum(canal) AS canal,
             sum(canco) AS canco FROM component_line GROUP BY seq_rec, seq_reserva) s
@@ -502,7 +505,7 @@ for _table, _columns in STORED.items():
         _value = f"CAST(coalesce(m_{_table}.{_column}, 0) AS DECIMAL(28,6))"
         _STORED_COLUMNS[_output] = f"CAST({_value} AS DOUBLE)"
         if _euro:
-            _priced_value = _dec(f"CAST({_value} AS DOUBLE) * coalesce(fx.rate, 0)", 28)
+            _priced_value = _dec(f"CAST({_value} AS DOUBLE) * coalesce(fx.rate, 0)")
             _STORED_COLUMNS[_euro] = f"CAST({_priced_value} AS DOUBLE)"
 CTES["stored_measures"] = (
     f"SELECT b.grec_seq_rec, b.seq_reserva, b.gdiv_cod_divisa, {_select(_STORED_COLUMNS)} "
@@ -704,7 +707,7 @@ FROM booking b LEFT JOIN receptive rf ON b.seq_rec_hbeds = rf.seq_rec""",
     "fx_convert": f"""SELECT {_KEY}, gdiv_cod_divisa, target_ccy,
     {_round('''CASE WHEN f = t THEN amount
         ELSE amount * rate * (1 + CASE WHEN t = 'EUR' THEN pct_spread ELSE 0 END / 100) END''',
-        "c.decimales", 28)} AS exchanged
+        "c.decimales")} AS exchanged
 FROM convert_rated r LEFT JOIN currency c ON r.t = c.cod_divisa""",
     "round_by_currency": f"""SELECT l.rres_seq_reserva, l.gdiv_cod_divisa,
     CAST({_dec("l.imp_unitario / 7")} AS DOUBLE) AS amount,

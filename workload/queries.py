@@ -57,7 +57,7 @@ def _text(name: str) -> Column:
 
 
 def _exact(value: Column, name: str) -> Column:
-    return amounts.total(amounts.quantise(value)).alias(name)
+    return amounts.from_micros(F.sum(amounts.micros(value))).alias(name)
 
 
 def _converter(t: Mapping[str, DataFrame]) -> exchange.Converter:

@@ -29,7 +29,7 @@ class Dialect:
     seconds: Callable[[str, str], str]
     quarters: str
     both: str
-    text: str
+    micros: Callable[[str], str]
 
 
 SPARK = Dialect(
@@ -40,7 +40,9 @@ SPARK = Dialect(
         "INTERVAL '3' MONTH))"
     ),
     both="explode(array(0, 1))",
-    text="STRING",
+    micros=lambda v: (
+        f"CAST({v} * 1000000 + signum({v}) * 0.5 AS BIGINT) * CAST(0.000001 AS DECIMAL(7,6))"
+    ),
 )
 DUCKDB = Dialect(
     days=lambda ts, n: f"({ts} + to_days(CAST({n} AS INTEGER)))",
@@ -50,7 +52,10 @@ DUCKDB = Dialect(
         "INTERVAL 3 MONTH))"
     ),
     both="unnest([0, 1])",
-    text="VARCHAR",
+    micros=lambda v: (
+        f"CAST(trunc(({v}) * 1000000 + sign({v}) * 0.5) AS BIGINT) "
+        "* CAST(0.000001 AS DECIMAL(7,6))"
+    ),
 )
 
 
@@ -316,7 +321,7 @@ GROUP BY CAST(o_orderdate AS DATE), {_currency("o_orderkey % 26")}""",
         }
     for name, columns in stored.items():
         sums = ", ".join(
-            f"sum(CAST(CAST({value} AS {d.text}) AS DECIMAL(18,6))) AS {column}"
+            f"sum({d.micros(value)}) AS {column}"
             for column, value in columns.items()
         )
         tables[f"measure_{name}"] = (
