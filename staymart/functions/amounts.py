@@ -27,13 +27,12 @@ def _double(value: Column) -> Column:
 
 def micros_sql(value: str) -> str:
     """SQL text of ``micros``."""
-    return f"CAST({value} * {UNIT} + signum({value}) * 0.5 AS BIGINT)"
+    return f"CAST(rint({value} * {UNIT}) AS BIGINT)"
 
 
 def micros(value: Column) -> Column:
-    """A computed amount in millionths, halves away from zero."""
-    value = _double(value)
-    return (value * UNIT + F.signum(value) * 0.5).cast("bigint")
+    """A computed amount in millionths, to the nearest."""
+    return F.rint(_double(value) * UNIT).cast("bigint")
 
 
 def from_micros(value: Column) -> Column:
@@ -48,16 +47,16 @@ def quantise(value: Column) -> Column:
 def exact_sum_sql(amount: str, condition: str | None = None) -> str:
     """SQL text summing amounts in millionths to a decimal; null for an empty group.
 
-    Whole units and the remainder are added apart, so a sum of any realistic number of
-    lines stays inside 64 bits.
+    The upper bits and the lower twenty are added apart, so a sum of any realistic
+    number of lines stays inside 64 bits.
     """
-    whole, rest = f"{amount} DIV {UNIT}", f"{amount} % {UNIT}"
+    upper, lower = f"shiftright({amount}, 20)", f"({amount} & 1048575L)"
     if condition:
-        whole = f"CASE WHEN {condition} THEN {whole} END"
-        rest = f"CASE WHEN {condition} THEN {rest} END"
+        upper = f"CASE WHEN {condition} THEN {upper} END"
+        lower = f"CASE WHEN {condition} THEN {lower} END"
     return (
-        f"CAST(CAST(sum({whole}) AS DECIMAL(19,0)) "
-        f"+ CAST(sum({rest}) AS DECIMAL(19,0)) * 0.000001BD AS {TOTAL_AMOUNT})"
+        f"CAST((CAST(sum({upper}) AS DECIMAL(19,0)) * 1048576BD "
+        f"+ CAST(sum({lower}) AS DECIMAL(19,0))) * 0.000001BD AS {TOTAL_AMOUNT})"
     )
 
 
@@ -69,9 +68,9 @@ def total(value: Column) -> Column:
 def rounded_micros(value: Column, scale: int) -> Column:
     """Millionths rounded HALF_UP to a number of places."""
     step = 10 ** (PLACES - scale)
-    half = F.signum(value.cast("double")).cast("bigint") * (step // 2)
-    shifted = value + half
-    return shifted - shifted % step
+    shifted = F.abs(value) + step // 2
+    rounded = shifted - shifted % step
+    return F.when(value < 0, -rounded).otherwise(rounded)
 
 
 def service_days(start: Column, end: Column, unit_type: Column, days: Column | None = None) -> Column:
@@ -88,12 +87,9 @@ def service_quantity(units: Column, pax: Column, ps_flag: Column) -> Column:
     return F.when(ps_flag == "P", pax).otherwise(units)
 
 
-def extended_amount(
-    start: Column, end: Column, unit_amount: Column, days: Column, quantity: Column
-) -> Column:
-    """Unit amount x days x quantity; 0 when a service date is missing."""
-    amount = _double(unit_amount) * days * quantity
-    return F.when(start.isNull() | end.isNull(), F.lit(0.0)).otherwise(amount)
+def service_factor(start: Column, end: Column, days: Column, quantity: Column) -> Column:
+    """Days x quantity; 0 when a service date is missing."""
+    return F.when(start.isNull() | end.isNull(), F.lit(0)).otherwise(days * quantity)
 
 
 def night_amount(
@@ -107,13 +103,13 @@ def night_amount(
     days: Column | None = None,
 ) -> Column:
     """Amount of a service line over its nights or days."""
-    return extended_amount(
+    factor = service_factor(
         start,
         end,
-        unit_amount,
         service_days(start, end, unit_type, days),
         service_quantity(units, pax, ps_flag),
     )
+    return F.when(factor == 0, F.lit(0.0)).otherwise(_double(unit_amount) * factor)
 
 
 def contained_tax(gross: Column, pct: Column) -> Column:

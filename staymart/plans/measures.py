@@ -25,10 +25,12 @@ from staymart.functions.codes import (
     COMMISSION_TYPES,
     COST_EXCLUDED,
     EURO,
+    GENERAL_REGIME,
     HOTEL_PAY,
     OVERRIDE_TYPES,
     RECHARGE_TYPE,
     SALE_TAX_EXCLUDED,
+    SPECIAL_REGIME,
     TTV_EXCLUDED,
     UNTAXED_COMMISSION_TYPE,
     UNTAXED_SALE_TYPE,
@@ -78,20 +80,20 @@ def of(source: str, measures: Sequence[Measure]) -> list[Measure]:
     return [replace(measure, source=source) for measure in measures]
 
 
-def _payable(sums: str) -> str:
-    """Sale lines by payment mode: billable ones, or all but CH when paid at the hotel."""
-    return (
-        f"CASE WHEN ind_tippag IS NULL THEN {sums}_s WHEN record_type <> 'CH' "
-        f"THEN coalesce({sums}_s, 0) + coalesce({sums}_n, 0) END"
-    )
+# Sale lines by payment mode: billable ones, or all but CH when paid at the hotel.
+_PAYABLE = (
+    "(ind_tippag IS NULL AND billable) OR (ind_tippag IS NOT NULL AND record_type <> 'CH')"
+)
+# Cost lines: billable ones, or all when paid at the hotel.
+_DUE = "billable OR ind_tippag IS NOT NULL"
 
 
-def _due(sums: str) -> str:
-    """Cost lines: billable ones, or all when paid at the hotel."""
-    return (
-        f"CASE WHEN ind_tippag IS NULL THEN {sums}_s "
-        f"ELSE coalesce({sums}_s, 0) + coalesce({sums}_n, 0) END"
-    )
+def _where(condition: str, amount: str) -> str:
+    return f"CASE WHEN {condition} THEN {amount} END"
+
+
+def _taxed(condition: str, regime: str) -> str:
+    return _where(f"({condition}) AND regime = '{regime}'", "tax")
 
 
 def _scaled_tax(decimals: str) -> str:
@@ -101,16 +103,15 @@ def _scaled_tax(decimals: str) -> str:
 
 
 AMOUNTS = {
-    "payable_gross": _payable("gross"),
-    "payable_gn": _payable("gn"),
-    "payable_en": _payable("en"),
-    "due_gross": _due("gross"),
-    "due_gn": _due("gn"),
-    "due_en": _due("en"),
-    "billed_gross": "gross_s",
-    "billed_tax": _scaled_tax("decimales"),
-    "billed_tax_eur": _scaled_tax("decimales_eur"),
-    "recharged": "recharge",
+    "payable_gross": _where(_PAYABLE, "gross"),
+    "payable_gn": _taxed(_PAYABLE, GENERAL_REGIME),
+    "payable_en": _taxed(_PAYABLE, SPECIAL_REGIME),
+    "due_gross": _where(_DUE, "gross"),
+    "due_gn": _taxed(_DUE, GENERAL_REGIME),
+    "due_en": _taxed(_DUE, SPECIAL_REGIME),
+    "billed_gross": _where("billable", "gross"),
+    "billed_tax": _where("billable", _scaled_tax("decimales")),
+    "billed_tax_eur": _where("billable", _scaled_tax("decimales_eur")),
     "agent_gross": "agent",
     "agent_taxed": "agent_tax",
     "canal_tax": "canal",
@@ -175,8 +176,8 @@ COST = [
     Measure("tax_cost_EUR_TOMS", "due_en", _COST_TAX, LINE_TO_EURO),
 ]
 RECHARGE = [
-    Measure("dr_cost", "recharged", _RECHARGE, RECHARGE_TO_BOOKING),
-    Measure("dr_cost_EUR", "recharged", _RECHARGE, LINE_TO_EURO),
+    Measure("dr_cost", "billed_gross", _RECHARGE, RECHARGE_TO_BOOKING),
+    Measure("dr_cost_EUR", "billed_gross", _RECHARGE, LINE_TO_EURO),
 ]
 HOTEL_PAYMENT = [
     measure

@@ -1,10 +1,10 @@
 """Reduction of booking lines before anything is joined to them.
 
-Lines are aggregated straight from the scan to one row per (booking, currency,
-record type). What depends on the booking header - payment mode, exchange date,
-rounding scale - is kept as alternative sums and decided afterwards, so raw lines
-never cross the network and a booking holding a large share of all lines is
-pre-aggregated by every task that reads a piece of it.
+Lines are aggregated straight from the scan to one row per booking and line class
+(currency, record type, billable, tax regime). What depends on the booking header -
+payment mode, exchange date, rounding scale - is kept apart by class or as alternative
+sums and decided afterwards, so raw lines never cross the network and a booking holding
+a large share of all lines is pre-aggregated by every task that reads a piece of it.
 """
 
 from __future__ import annotations
@@ -19,10 +19,10 @@ from staymart.functions.amounts import (
     canco_tax,
     contained_tax,
     exact_sum_sql,
-    extended_amount,
     micros,
     rounded_micros,
     service_days,
+    service_factor,
     service_quantity,
 )
 from staymart.functions.codes import (
@@ -45,83 +45,63 @@ def rollup_lines(
     explicit_tax: bool = False,
     exclusion: DataFrame | None = None,
 ) -> DataFrame:
-    """Sums per (booking, currency, record type).
+    """Sums per (booking, currency, record type, billable, tax regime).
 
-    Suffix ``_s`` marks billable lines, ``_n`` the others; ``gn``/``en`` is tax under
-    the general and the special regime, ``unit_tax_<k>`` tax whose unit amount was
-    rounded to k decimals first. Counter-entries are left out, except from
-    ``recharge``. With ``exclusion`` set, recharge lines of excluded extras go.
-    Columns nobody selects are pruned, and with them the tax lookup.
+    ``gross`` and ``tax`` are line amounts, ``unit_tax_<k>`` is tax whose unit amount was
+    rounded to k places first. Counter-entries are left out, except among recharged
+    costs. With ``exclusion`` set, recharged lines of excluded extras go. Columns nobody
+    selects are pruned, and with them the tax lookup.
     """
-    rated = tax_lookup(lines, tax).withColumns(
+    recharged = F.col("ind_tipo_registro") == RECHARGE_TYPE
+    counted = lines.filter((F.col("ind_contra_apunte") == "N") | recharged)
+    regime = F.concat("ind_tipo_regimen", F.coalesce("ind_trfprc", F.lit("N")))
+    keys = {
+        ROLLUP_KEY[0]: F.col("grec_seq_rec"),
+        ROLLUP_KEY[1]: F.col("rres_seq_reserva"),
+        "line_ccy": F.col(currency),
+        "record_type": F.col("ind_tipo_registro"),
+        "billable": F.coalesce(F.col("ind_facturable") == "S", F.lit(False)),
+        "regime": F.when(regime.isin(GENERAL_REGIME, SPECIAL_REGIME), regime),
+    }
+    if exclusion is not None:
+        keys["recharge_ord"] = F.when(recharged, F.col("rext_ord_extra"))
+    unit = F.col("imp_unitario").cast("double")
+    # One step per layer, so that no expression is spelled out twice in generated code.
+    rated = tax_lookup(counted, tax).select(
+        *[value.alias(name) for name, value in keys.items()],
+        unit.alias("unit_amount"),
+        contained_tax(unit, F.col("pct_impuesto")).alias("unit_tax"),
+        service_factor(
+            F.col("fec_desde"),
+            F.col("fec_hasta"),
+            service_days(F.col("fec_desde"), F.col("fec_hasta"), F.col("ind_tipo_unid")),
+            service_quantity(F.col("nro_unidades"), F.col("nro_pax"), F.col("ind_p_s")),
+        ).alias("factor"),
+        (micros(F.col("imp_impuesto")) if explicit_tax else F.lit(None).cast("bigint")).alias(
+            "given_tax"
+        ),
+    )
+    factor = F.col("factor")
+    extended = rated.withColumns(
         {
-            "__days": service_days(
-                F.col("fec_desde"), F.col("fec_hasta"), F.col("ind_tipo_unid")
-            ),
-            "__quantity": service_quantity(
-                F.col("nro_unidades"), F.col("nro_pax"), F.col("ind_p_s")
-            ),
-            "__unit_tax": contained_tax(F.col("imp_unitario"), F.col("pct_impuesto")),
-            "__regime": F.concat("ind_tipo_regimen", F.coalesce("ind_trfprc", F.lit("N"))),
+            "gross": micros(F.col("unit_amount") * factor),
+            "unit_tax_raw": micros(F.col("unit_tax") * factor),
+            "unit_micros": micros(F.col("unit_tax")),
         }
     )
-
-    def amount(unit):
-        return micros(
-            extended_amount(
-                F.col("fec_desde"), F.col("fec_hasta"), unit, F.col("__days"), F.col("__quantity")
-            )
-        )
-
-    unit_tax = F.col("__unit_tax")
-    line_tax = amount(unit_tax)
-    if explicit_tax:
-        line_tax = F.coalesce(micros(F.col("imp_impuesto")), line_tax)
-    columns = {
-        "__gross": amount(F.col("imp_unitario")),
-        "__tax": line_tax,
-        "__unit_tax_raw": amount(unit_tax),
-    }
+    variants = {"tax": F.coalesce("given_tax", "unit_tax_raw")}
     for scale in SCALES:
-        rounded = rounded_micros(micros(unit_tax), scale).cast("double") / UNIT
-        columns[f"__unit_tax_{scale}"] = amount(rounded)
-    priced = rated.withColumns(columns)
-
-    entry = "ind_contra_apunte = 'N'"
-    billable, other = "ind_facturable = 'S'", "coalesce(ind_facturable <> 'S', true)"
-    regimes = {"gn": f"__regime = '{GENERAL_REGIME}'", "en": f"__regime = '{SPECIAL_REGIME}'"}
-
-    def added(amount: str, name: str, *conditions: str):
-        return F.expr(f"{exact_sum_sql(amount, ' AND '.join(conditions))} AS {name}")
-
-    sums = [
-        added("__gross", "gross_s", entry, billable),
-        added("__gross", "gross_n", entry, other),
-    ]
-    for regime, condition in regimes.items():
-        sums.append(added("__tax", f"{regime}_s", entry, billable, condition))
-        sums.append(added("__tax", f"{regime}_n", entry, other, condition))
-    for variant in ("raw", *SCALES):
-        sums.append(added(f"__unit_tax_{variant}", f"unit_tax_{variant}", entry, billable))
-    keys = [
-        F.col("grec_seq_rec").alias(ROLLUP_KEY[0]),
-        F.col("rres_seq_reserva").alias(ROLLUP_KEY[1]),
-        F.col(currency).alias("line_ccy"),
-        F.col("ind_tipo_registro").alias("record_type"),
-    ]
-    if exclusion is None:
-        return priced.groupBy(*keys).agg(*sums)
-    recharged = f"ind_tipo_registro = '{RECHARGE_TYPE}'"
-    sums.append(added("__gross", "recharge", recharged, billable))
-    keys.append(
-        F.when(F.col("ind_tipo_registro") == RECHARGE_TYPE, F.col("rext_ord_extra")).alias(
-            "recharge_ord"
-        )
+        rounded = rounded_micros(F.col("unit_micros"), scale).cast("double") / UNIT
+        variants[f"unit_tax_{scale}"] = micros(rounded * factor)
+    priced = extended.withColumns(variants)
+    amounts = ["gross", "unit_tax_raw", *variants]
+    rolled = priced.groupBy(*keys).agg(
+        *[F.expr(f"{exact_sum_sql(name)} AS {name}") for name in amounts]
     )
+    if exclusion is None:
+        return rolled
     return exclude_keys(
-        priced.groupBy(*keys).agg(*sums),
-        exclusion,
-        dict(zip((*ROLLUP_KEY, "recharge_ord"), EXCLUDED_KEY, strict=True)),
+        rolled, exclusion, dict(zip((*ROLLUP_KEY, "recharge_ord"), EXCLUDED_KEY, strict=True))
     )
 
 

@@ -77,14 +77,14 @@ def _amount(unit: str, alias: str = "l", days: str | None = None) -> str:
     )
     return (
         f"CASE WHEN {alias}.fec_desde IS NULL OR {alias}.fec_hasta IS NULL THEN 0.0 "
-        f"ELSE CAST({unit} AS DOUBLE) * ({days}) * ({quantity}) END"
+        f"ELSE CAST({unit} AS DOUBLE) * (({days}) * ({quantity})) END"
     )
 
 
 def _dec(value: str) -> str:
-    """A double in whole millionths, halves away from zero, as a decimal."""
+    """A double in whole millionths, to the nearest, as a decimal."""
     return (
-        f"(CAST(CAST(trunc(({value}) * 1000000 + sign({value}) * 0.5) AS BIGINT) AS DECIMAL(19,0)) "
+        f"(CAST(CAST(round_even(({value}) * 1000000, 0) AS BIGINT) AS DECIMAL(19,0)) "
         "* CAST(0.000001 AS DECIMAL(7,6)))"
     )
 
@@ -223,7 +223,8 @@ WHERE c.ind_rentabilidad = 'N'""",
     sum(CASE WHEN l.ind_facturable = 'S'
         THEN {_dec(_amount(_round(UNIT_TAX, "b.decimales")))} END) AS billed_tax
 FROM hdr b JOIN sale l ON {BOOKING_LINE} {TAX_JOIN}
-WHERE {NORMAL} GROUP BY b.grec_seq_rec, b.seq_reserva, l.gdiv_cod_divisa, l.ind_tipo_registro""",
+WHERE {NORMAL} GROUP BY b.grec_seq_rec, b.seq_reserva, l.gdiv_cod_divisa, l.ind_tipo_registro,
+    l.ind_facturable = 'S', CASE WHEN {REGIME} IN ('GN', 'EN') THEN {REGIME} END""",
     "cost_sub": f"""SELECT b.grec_seq_rec AS rec, b.seq_reserva AS res, l.sdiv_cod_divisa AS ccy,
     l.ind_tipo_registro AS tipo,
     sum(CASE WHEN l.ind_facturable = 'S' OR b.ind_tippag IS NOT NULL
@@ -238,9 +239,11 @@ WHERE {NORMAL} GROUP BY b.grec_seq_rec, b.seq_reserva, l.gdiv_cod_divisa, l.ind_
     sum(CASE WHEN l.ind_facturable = 'S'
         THEN {_dec(_amount(_round(UNIT_TAX, "b.decimales_eur")))} END) AS billed_tax_eur
 FROM hdr b JOIN cost l ON {BOOKING_LINE} {TAX_JOIN}
-WHERE {NORMAL} GROUP BY b.grec_seq_rec, b.seq_reserva, l.sdiv_cod_divisa, l.ind_tipo_registro""",
+WHERE {NORMAL} GROUP BY b.grec_seq_rec, b.seq_reserva, l.sdiv_cod_divisa, l.ind_tipo_registro,
+    l.ind_facturable = 'S', CASE WHEN {REGIME} IN ('GN', 'EN') THEN {REGIME} END""",
     "recharge_line": f"""SELECT l.grec_seq_rec, l.rres_seq_reserva, l.rext_ord_extra,
-    l.sdiv_cod_divisa, {_dec(_amount("l.imp_unitario"))} AS amount, l.imp_unitario
+    l.sdiv_cod_divisa, {_dec(_amount("l.imp_unitario"))} AS amount, l.imp_unitario,
+    CASE WHEN {REGIME} IN ('GN', 'EN') THEN {REGIME} END AS regime
 FROM cost l WHERE l.ind_tipo_registro = 'DR' AND l.ind_facturable = 'S'
     AND NOT EXISTS (SELECT 1 FROM excluded e WHERE e.excl_seq_rec = l.grec_seq_rec
         AND e.excl_seq_reserva = l.rres_seq_reserva AND e.excl_ord_extra = l.rext_ord_extra)""",
@@ -318,7 +321,7 @@ CTES |= {
 FROM hdr b LEFT JOIN (
     SELECT grec_seq_rec AS rec, rres_seq_reserva AS res, sdiv_cod_divisa AS ccy, rext_ord_extra,
         sum(amount) AS amount FROM recharge_line
-    GROUP BY grec_seq_rec, rres_seq_reserva, sdiv_cod_divisa, rext_ord_extra) s
+    GROUP BY grec_seq_rec, rres_seq_reserva, sdiv_cod_divisa, rext_ord_extra, regime) s
     ON b.grec_seq_rec = s.rec AND b.seq_reserva = s.res
 LEFT JOIN fx lb ON lb.f = s.ccy AND lb.t = b.gdiv_cod_divisa AND lb.moment = b.fec_creacion
 LEFT JOIN fx le ON le.f = s.ccy AND le.t = 'EUR' AND le.moment = b.fec_creacion

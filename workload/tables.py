@@ -41,7 +41,7 @@ SPARK = Dialect(
     ),
     both="explode(array(0, 1))",
     micros=lambda v: (
-        f"CAST({v} * 1000000 + signum({v}) * 0.5 AS BIGINT) * CAST(0.000001 AS DECIMAL(7,6))"
+        f"CAST(rint(({v}) * 1000000) AS BIGINT) * CAST(0.000001 AS DECIMAL(7,6))"
     ),
 )
 DUCKDB = Dialect(
@@ -53,7 +53,7 @@ DUCKDB = Dialect(
     ),
     both="unnest([0, 1])",
     micros=lambda v: (
-        f"CAST(trunc(({v}) * 1000000 + sign({v}) * 0.5) AS BIGINT) "
+        f"CAST(round_even(({v}) * 1000000, 0) AS BIGINT) "
         "* CAST(0.000001 AS DECIMAL(7,6))"
     ),
 )
