@@ -1,9 +1,9 @@
 """Amount, tax and rounding expressions.
 
 Numeric policy: a line amount is computed in double precision and quantised once to
-whole millionths, a 64-bit integer. Sums add those integers, so totals are exact and do
-not depend on the order in which tasks deliver their rows, and the inner loop stays on
-primitive types. Results are decimals with six places.
+whole millionths, a 64-bit integer. Sums add those integers as decimals, so totals are
+exact and do not depend on the order in which tasks deliver their rows. Results are
+decimals with six places.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ def _double(value: Column) -> Column:
 
 def micros_sql(value: str) -> str:
     """SQL text of ``micros``."""
-    return f"CAST(rint({value} * {UNIT}) AS BIGINT)"
+    return f"CAST(rint(({value}) * {UNIT}) AS BIGINT)"
 
 
 def micros(value: Column) -> Column:
@@ -45,19 +45,14 @@ def quantise(value: Column) -> Column:
 
 
 def exact_sum_sql(amount: str, condition: str | None = None) -> str:
-    """SQL text summing amounts in millionths to a decimal; null for an empty group.
-
-    The upper bits and the lower twenty are added apart, so a sum of any realistic
-    number of lines stays inside 64 bits.
-    """
-    upper, lower = f"shiftright({amount}, 20)", f"({amount} & 1048575L)"
-    if condition:
-        upper = f"CASE WHEN {condition} THEN {upper} END"
-        lower = f"CASE WHEN {condition} THEN {lower} END"
-    return (
-        f"CAST((CAST(sum({upper}) AS DECIMAL(19,0)) * 1048576BD "
-        f"+ CAST(sum({lower}) AS DECIMAL(19,0))) * 0.000001BD AS {TOTAL_AMOUNT})"
-    )
+    """SQL text summing amounts in millionths to a decimal; null for an empty group."""
+    added = filtered_sum_sql(f"CAST({amount} AS DECIMAL(18,0))", condition)
+    return f"CAST({added} * 0.000001BD AS {TOTAL_AMOUNT})"
+
+
+def filtered_sum_sql(value: str, condition: str | None = None) -> str:
+    """SQL text of a sum; rows outside ``condition`` do not touch its buffer."""
+    return f"sum({value}) FILTER (WHERE {condition})" if condition else f"sum({value})"
 
 
 def total(value: Column) -> Column:
@@ -65,12 +60,9 @@ def total(value: Column) -> Column:
     return F.coalesce(F.sum(value), F.lit(0)).cast(TOTAL_AMOUNT)
 
 
-def rounded_micros(value: Column, scale: int) -> Column:
-    """Millionths rounded HALF_UP to a number of places."""
-    step = 10 ** (PLACES - scale)
-    shifted = F.abs(value) + step // 2
-    rounded = shifted - shifted % step
-    return F.when(value < 0, -rounded).otherwise(rounded)
+def rounded_unit_sql(size: str, scale: int) -> str:
+    """SQL text rounding a size in millionths HALF_UP to a number of places, in units."""
+    return f"(floor({size} / {10 ** (PLACES - scale)}D + 0.5D) / {10**scale}D)"
 
 
 def service_days(start: Column, end: Column, unit_type: Column, days: Column | None = None) -> Column:

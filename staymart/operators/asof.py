@@ -10,6 +10,7 @@ intervals of one month.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,48 +23,52 @@ def _month(ts: Column) -> Column:
     return F.year(ts) * 12 + F.month(ts)
 
 
-def bucketed_intervals(
+@dataclass(frozen=True)
+class Intervals:
+    """A prepared history, usable for any number of lookups.
+
+    ``frame`` holds one row per interval and month, ``edge`` the outermost month.
+    """
+
+    frame: DataFrame
+    edge: Column
+    direction: str
+
+
+def intervals(
     history: DataFrame,
     by: Sequence[str],
     effective: str,
     direction: str = BACKWARD,
     tie_break: Sequence[str | Column] = (),
-) -> tuple[DataFrame, Column]:
-    """Intervals exploded over months, and the outermost month as a scalar.
+) -> Intervals:
+    """Validity intervals of a history, exploded over months.
 
     Backward rows hold from their date until the next one, forward rows from just
     after the previous date up to their own. Of several rows with one date only
     the last (backward) or first (forward) in ``tie_break`` order holds.
     """
     order = Window.partitionBy(*by).orderBy(effective, *tie_break)
-    months = history.select(_month(F.col(effective)).alias("month"))
+    own = F.col(effective)
+    months = history.select(_month(own).alias("month"))
     if direction == BACKWARD:
         edge = months.agg(F.max("month")).scalar()
-        bounded = history.withColumns(
-            {"__lo": F.col(effective), "__hi": F.lead(effective).over(order)}
-        )
+        bounds = {"__lo": own, "__hi": F.lead(effective).over(order)}
         first, last = _month(F.col("__lo")), F.coalesce(_month(F.col("__hi")), edge)
     else:
         edge = months.agg(F.min("month")).scalar()
-        bounded = history.withColumns(
-            {"__lo": F.lag(effective).over(order), "__hi": F.col(effective)}
-        )
+        bounds = {"__lo": F.lag(effective).over(order), "__hi": own}
         first, last = F.coalesce(_month(F.col("__lo")), edge), _month(F.col("__hi"))
-    live = bounded.filter(
-        F.col("__lo").isNull() | F.col("__hi").isNull() | (F.col("__lo") < F.col("__hi"))
+    frame = (
+        history.withColumns(bounds)
+        .filter("__lo IS NULL OR __hi IS NULL OR __lo < __hi")
+        .withColumn("__month", F.explode(F.sequence(first, last)))
     )
-    return live.withColumn("__month", F.explode(F.sequence(first, last))), edge
+    return Intervals(frame, edge, direction)
 
 
 def asof_lookup(
-    rows: DataFrame,
-    history: DataFrame,
-    by: dict[str, str],
-    at: str,
-    effective: str,
-    columns: dict[str, str],
-    direction: str = BACKWARD,
-    tie_break: Sequence[str | Column] = (),
+    rows: DataFrame, history: Intervals, by: dict[str, str], at: str, columns: dict[str, str]
 ) -> DataFrame:
     """Left lookup of the history row in force at ``at``.
 
@@ -71,11 +76,8 @@ def asof_lookup(
     output names. Backward takes the latest date <= ``at``, forward the earliest
     date >= ``at``.
     """
-    intervals, edge = bucketed_intervals(
-        history, list(by.values()), effective, direction, tie_break
-    )
     tag = "__asof_" + "_".join(columns.values())
-    side = intervals.select(
+    side = history.frame.select(
         *[F.col(name).alias(f"{tag}_by_{name}") for name in by.values()],
         F.col("__lo").alias(f"{tag}_lo"),
         F.col("__hi").alias(f"{tag}_hi"),
@@ -84,14 +86,11 @@ def asof_lookup(
     )
     moment, lo, hi = F.col(at), F.col(f"{tag}_lo"), F.col(f"{tag}_hi")
     # Rows beyond the outermost month meet the open interval stored there.
-    clamp = F.least if direction == BACKWARD else F.greatest
-    keyed = rows.withColumn(f"{tag}_at", clamp(_month(moment), edge))
+    clamp = F.least if history.direction == BACKWARD else F.greatest
     match = [F.col(name) == F.col(f"{tag}_by_{other}") for name, other in by.items()]
-    match.append(F.col(f"{tag}_at") == F.col(f"{tag}_month"))
-    if direction == BACKWARD:
+    match.append(clamp(_month(moment), history.edge) == F.col(f"{tag}_month"))
+    if history.direction == BACKWARD:
         match.append((lo <= moment) & (hi.isNull() | (moment < hi)))
     else:
         match.append((moment <= hi) & (lo.isNull() | (lo < moment)))
-    spent = [f"{tag}_lo", f"{tag}_hi", f"{tag}_month", f"{tag}_at"]
-    spent += [f"{tag}_by_{name}" for name in by.values()]
-    return keyed.join(side, match, "left").drop(*spent)
+    return rows.join(side, match, "left").select(*rows.columns, *columns.values())

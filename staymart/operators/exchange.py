@@ -19,7 +19,7 @@ from staymart.functions.codes import (
     SPREAD_COLUMNS,
     UNKNOWN_RATE_TYPE,
 )
-from staymart.operators.asof import FORWARD, asof_lookup
+from staymart.operators.asof import FORWARD, Intervals, asof_lookup, intervals
 
 Converter = Callable[[DataFrame, str, str | None, str, str], DataFrame]
 
@@ -42,32 +42,40 @@ def pair_history(rates: DataFrame) -> DataFrame:
     return rates.select("seq_ttoo", "fec_desde", F.inline(F.array(stored, inverse)))
 
 
+def rate_book(rates: DataFrame, by_partner: bool = False) -> Intervals:
+    """Rates prepared for lookups; of two rates with one date the stored pair wins."""
+    keys = ["from_ccy", "to_ccy"]
+    if by_partner:
+        keys = ["seq_ttoo", *keys]
+    return intervals(
+        pair_history(rates), keys, "fec_desde", tie_break=["preference", "rate"]
+    )
+
+
 def partner_rate(
     rows: DataFrame,
-    rates: DataFrame,
+    book: Intervals,
     partner: str | None,
     from_ccy: str,
     to_ccy: str,
     at: str,
     out: str,
 ) -> DataFrame:
-    """Latest rate on or before ``at``, stored pair before inverse; 1 for one currency."""
-    history = pair_history(rates)
+    """Latest rate on or before ``at``; 1 within one currency, null when unknown.
+
+    With ``partner`` the book has to be one by partner.
+    """
     by = {from_ccy: "from_ccy", to_ccy: "to_ccy"}
     if partner is not None:
         by = {partner: "seq_ttoo", **by}
-    found = asof_lookup(
-        rows, history, by, at, "fec_desde", {"rate": f"__{out}"}, tie_break=["preference", "rate"]
-    )
-    same = F.col(from_ccy) == F.col(to_ccy)
-    return found.withColumn(out, F.when(same, F.lit(1.0)).otherwise(F.col(f"__{out}"))).drop(
-        f"__{out}"
-    )
+    found = asof_lookup(rows, book, by, at, {"rate": f"__{out}"})
+    rate = F.when(F.col(from_ccy) == F.col(to_ccy), F.lit(1.0)).otherwise(F.col(f"__{out}"))
+    return found.select(*rows.columns, rate.alias(out))
 
 
 def triangulated_rate(
     rows: DataFrame,
-    rates: DataFrame,
+    book: Intervals,
     partner: str | None,
     from_ccy: str,
     to_ccy: str,
@@ -76,27 +84,28 @@ def triangulated_rate(
     pivot: str = EURO,
 ) -> DataFrame:
     """``partner_rate``, falling back to the two legs through ``pivot``."""
-    via, first, second = f"__{out}_via", f"__{out}_first", f"__{out}_second"
-    direct = partner_rate(rows, rates, partner, from_ccy, to_ccy, at, f"__{out}_direct")
-    legs = direct.withColumn(via, F.lit(pivot))
-    legs = partner_rate(legs, rates, partner, from_ccy, via, at, first)
-    legs = partner_rate(legs, rates, partner, via, to_ccy, at, second)
-    rate = F.coalesce(F.col(f"__{out}_direct"), F.col(first) * F.col(second))
-    return legs.withColumn(out, rate).drop(f"__{out}_direct", via, first, second)
+    via, direct = f"__{out}_via", f"__{out}_direct"
+    first, second = f"__{out}_first", f"__{out}_second"
+    legs = rows.withColumn(via, F.lit(pivot))
+    legs = partner_rate(legs, book, partner, from_ccy, to_ccy, at, direct)
+    legs = partner_rate(legs, book, partner, from_ccy, via, at, first)
+    legs = partner_rate(legs, book, partner, via, to_ccy, at, second)
+    rate = F.coalesce(F.col(direct), F.col(first) * F.col(second))
+    return legs.select(*rows.columns, rate.alias(out))
 
 
 def asof_converter(rates: DataFrame, pivot: str | None = EURO) -> Converter:
     """Converter over an effective-dated history; an unknown rate is null."""
+    book = rate_book(rates)
 
     def convert(df: DataFrame, from_ccy: str, to_ccy: str | None, at: str, out: str) -> DataFrame:
         if to_ccy is None:
             euro = df.withColumn(f"__{out}_euro", F.lit(EURO))
-            return partner_rate(euro, rates, None, from_ccy, f"__{out}_euro", at, out).drop(
-                f"__{out}_euro"
-            )
+            rated = partner_rate(euro, book, None, from_ccy, f"__{out}_euro", at, out)
+            return rated.drop(f"__{out}_euro")
         if pivot is None:
-            return partner_rate(df, rates, None, from_ccy, to_ccy, at, out)
-        return triangulated_rate(df, rates, None, from_ccy, to_ccy, at, out, pivot)
+            return partner_rate(df, book, None, from_ccy, to_ccy, at, out)
+        return triangulated_rate(df, book, None, from_ccy, to_ccy, at, out, pivot)
 
     return convert
 
@@ -159,9 +168,8 @@ def company_rate_type(
 ) -> DataFrame:
     """Rate type a company uses for a purpose (R, C, L or A) at a date."""
     names = {name: f"__{out}_{name}" for name in RATE_PURPOSE_COLUMNS.values()}
-    found = asof_lookup(
-        rows, company_types, {company: "semp_cod_emp"}, at, "fec_aplicacion", names, direction
-    )
+    history = intervals(company_types, ["semp_cod_emp"], "fec_aplicacion", direction)
+    found = asof_lookup(rows, history, {company: "semp_cod_emp"}, at, names)
     wanted = F.col(purpose) if isinstance(purpose, str) else purpose
     picked = None
     for code, name in RATE_PURPOSE_COLUMNS.items():
@@ -199,7 +207,8 @@ def spread_percent(
     """Spread in force for sale (V), purchase (C) or fixing (F); 0 when there is none."""
     names = {name: f"__{out}_{name}" for name in SPREAD_COLUMNS.values()}
     by = {rate_type: "tipo_cambio", from_ccy: "cod_div_origen", to_ccy: "cod_div_destino"}
-    found = asof_lookup(rows, spreads, by, at, "fec_aplicacion", names)
+    history = intervals(spreads, list(by.values()), "fec_aplicacion")
+    found = asof_lookup(rows, history, by, at, names)
     picked = None
     for code, name in SPREAD_COLUMNS.items():
         value = F.col(names[name]).cast("double")
@@ -251,7 +260,8 @@ def currency_exchange(
     Within one currency neither rate nor spread applies; an unknown rate gives null.
     """
     rate, pct, raw = f"__{out}_rate", f"__{out}_pct", f"__{out}_raw"
-    priced = triangulated_rate(rows, rates, partner, from_ccy, to_ccy, at, rate)
+    book = rate_book(rates, by_partner=partner is not None)
+    priced = triangulated_rate(rows, book, partner, from_ccy, to_ccy, at, rate)
     priced = spread_percent(priced, spreads, rate_type, from_ccy, to_ccy, at, spread_kind, pct)
     value = F.col(amount).cast("double")
     converted = F.when(F.col(from_ccy) == F.col(to_ccy), value).otherwise(

@@ -19,6 +19,7 @@ from staymart.functions.amounts import (
     TOTAL_AMOUNT,
     exact_sum_sql,
     exchange_date,
+    filtered_sum_sql,
     micros_sql,
 )
 from staymart.functions.codes import (
@@ -298,7 +299,7 @@ def fold(
     outputs = [F.max(name).alias(name) for name in carry]
     for measure in measures:
         amount, condition = amounts[measure.amount], _rows_that_count(measure)
-        added = f"sum(CASE WHEN {condition} THEN {amount} END)" if condition else f"sum({amount})"
+        added = filtered_sum_sql(amount, condition)
         if measure.rate in HEADER_RATES:
             # One rate per booking: convert the total.
             converted = micros_sql(f"(CAST({added} AS DOUBLE) * max({measure.rate.name}))")

@@ -20,7 +20,8 @@ from staymart.functions.amounts import (
     contained_tax,
     exact_sum_sql,
     micros,
-    rounded_micros,
+    micros_sql,
+    rounded_unit_sql,
     service_days,
     service_factor,
     service_quantity,
@@ -66,7 +67,6 @@ def rollup_lines(
     if exclusion is not None:
         keys["recharge_ord"] = F.when(recharged, F.col("rext_ord_extra"))
     unit = F.col("imp_unitario").cast("double")
-    # One step per layer, so that no expression is spelled out twice in generated code.
     rated = tax_lookup(counted, tax).select(
         *[value.alias(name) for name, value in keys.items()],
         unit.alias("unit_amount"),
@@ -76,27 +76,30 @@ def rollup_lines(
             F.col("fec_hasta"),
             service_days(F.col("fec_desde"), F.col("fec_hasta"), F.col("ind_tipo_unid")),
             service_quantity(F.col("nro_unidades"), F.col("nro_pax"), F.col("ind_p_s")),
-        ).alias("factor"),
-        (micros(F.col("imp_impuesto")) if explicit_tax else F.lit(None).cast("bigint")).alias(
-            "given_tax"
-        ),
+        )
+        .cast("double")
+        .alias("factor"),
+        F.col("imp_impuesto" if explicit_tax else "imp_unitario").cast("double").alias("given_tax"),
     )
-    factor = F.col("factor")
-    extended = rated.withColumns(
+    priced = rated.withColumns(
         {
-            "gross": micros(F.col("unit_amount") * factor),
-            "unit_tax_raw": micros(F.col("unit_tax") * factor),
-            "unit_micros": micros(F.col("unit_tax")),
+            "tax_size": F.abs(F.rint(F.col("unit_tax") * UNIT)),
+            "tax_factor": F.signum("unit_tax") * F.col("factor"),
         }
     )
-    variants = {"tax": F.coalesce("given_tax", "unit_tax_raw")}
+    # The amounts are spelled out inside the sums, which Spark compiles one by one;
+    # a projection of all of them would be too large a method to be optimised.
+    line_tax = micros_sql("unit_tax * factor")
+    amounts = {
+        "gross": micros_sql("unit_amount * factor"),
+        "tax": f"coalesce({micros_sql('given_tax')}, {line_tax})" if explicit_tax else line_tax,
+        "unit_tax_raw": line_tax,
+    }
     for scale in SCALES:
-        rounded = rounded_micros(F.col("unit_micros"), scale).cast("double") / UNIT
-        variants[f"unit_tax_{scale}"] = micros(rounded * factor)
-    priced = extended.withColumns(variants)
-    amounts = ["gross", "unit_tax_raw", *variants]
+        rounded = rounded_unit_sql("tax_size", scale)
+        amounts[f"unit_tax_{scale}"] = micros_sql(f"{rounded} * tax_factor")
     rolled = priced.groupBy(*keys).agg(
-        *[F.expr(f"{exact_sum_sql(name)} AS {name}") for name in amounts]
+        *[F.expr(f"{exact_sum_sql(amount)} AS {name}") for name, amount in amounts.items()]
     )
     if exclusion is None:
         return rolled

@@ -403,7 +403,7 @@ def fx_daily_rate(t: Tables) -> DataFrame:
 def asof_rate(t: Tables) -> DataFrame:
     rated = exchange.partner_rate(
         _partnered(t),
-        t["partner_rate"],
+        exchange.rate_book(t["partner_rate"], by_partner=True),
         "partner_ttoo",
         "gdiv_cod_divisa",
         "euro",
@@ -456,7 +456,13 @@ def asof_spread(t: Tables) -> DataFrame:
 def fx_triangulate(t: Tables) -> DataFrame:
     rows = t["booking"].withColumn("target_ccy", F.coalesce("cod_divisa_p", F.lit("C9")))
     rated = exchange.triangulated_rate(
-        rows, t["partner_rate"], None, "gdiv_cod_divisa", "target_ccy", "fec_desde", "rate"
+        rows,
+        exchange.rate_book(t["partner_rate"]),
+        None,
+        "gdiv_cod_divisa",
+        "target_ccy",
+        "fec_desde",
+        "rate",
     )
     return rated.select(*KEY, "gdiv_cod_divisa", "target_ccy", _six("rate"))
 

@@ -29,9 +29,14 @@ class Dialect:
     seconds: Callable[[str, str], str]
     quarters: str
     both: str
+    pick: Callable[[str, list[str]], str]
     micros: Callable[[str], str]
 
 
+def _codes(codes: list[str]) -> str:
+    return ", ".join(f"'{code}'" for code in codes)
+
+
 SPARK = Dialect(
     days=lambda ts, n: f"({ts} + make_dt_interval(CAST({n} AS INT)))",
     seconds=lambda ts, n: f"({ts} + make_dt_interval(0, 0, 0, CAST({n} AS INT)))",
@@ -40,6 +45,7 @@ SPARK = Dialect(
         "INTERVAL '3' MONTH))"
     ),
     both="explode(array(0, 1))",
+    pick=lambda n, codes: f"array({_codes(codes)})[CAST({n} AS INT)]",
     micros=lambda v: (
         f"CAST(rint(({v}) * 1000000) AS BIGINT) * CAST(0.000001 AS DECIMAL(7,6))"
     ),
@@ -52,6 +58,7 @@ DUCKDB = Dialect(
         "INTERVAL 3 MONTH))"
     ),
     both="unnest([0, 1])",
+    pick=lambda n, codes: f"([{_codes(codes)}])[CAST({n} AS INTEGER) + 1]",
     micros=lambda v: (
         f"CAST(round_even(({v}) * 1000000, 0) AS BIGINT) "
         "* CAST(0.000001 AS DECIMAL(7,6))"
@@ -67,11 +74,6 @@ def _currency(number: str) -> str:
     return f"CASE WHEN {number} = 0 THEN 'EUR' ELSE concat('C', {number}) END"
 
 
-def _pick(number: str, codes: list[str]) -> str:
-    arms = " ".join(f"WHEN {i} THEN '{code}'" for i, code in enumerate(codes))
-    return f"CASE {number} {arms} END"
-
-
 def _tax_keys(number: str, names: list[str]) -> str:
     parts = [
         f"CASE WHEN {number} % 2 = 0 THEN 'V' ELSE 'C' END",
@@ -109,7 +111,7 @@ def _line(d: Dialect, codes: list[str]) -> str:
     CASE l_returnflag WHEN 'A' THEN 'N' WHEN 'N' THEN 'S' ELSE 'P' END AS ind_tipo_unid,
     CASE l_linestatus WHEN 'F' THEN 'P' ELSE 'S' END AS ind_p_s,
     l_extendedprice AS imp_unitario,
-    {_pick(f"l_partkey % {len(codes)}", codes)} AS ind_tipo_registro,
+    {d.pick(f"l_partkey % {len(codes)}", codes)} AS ind_tipo_registro,
     CASE WHEN l_suppkey % 5 = 0 THEN 'N' ELSE 'S' END AS ind_facturable,
     CASE WHEN l_partkey % 17 = 0 THEN 'S' ELSE 'N' END AS ind_contra_apunte,
     CASE l_suppkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 'N' ELSE 'S' END AS ind_trfprc,
@@ -247,7 +249,7 @@ FROM {{lineitem}}""",
     CAST(p_size % 22 AS DOUBLE) AS pct_impuesto
 FROM {{part}}""",
         "components": f"""SELECT {_component()},
-    {_pick("l_suppkey % 6", _COMPONENT_NAMES)} AS component
+    {d.pick("l_suppkey % 6", _COMPONENT_NAMES)} AS component
 FROM {{lineitem}}""",
         "extra": f"""SELECT {_office("l_orderkey")} AS grec_seq_rec,
     l_orderkey AS rres_seq_reserva, CAST(l_linenumber AS BIGINT) AS ord_extra,
@@ -262,7 +264,7 @@ FROM {part}""",
     CASE WHEN p_size % 2 = 0 THEN 'N' ELSE 'S' END AS ind_rentabilidad
 FROM {part}""",
         "resale": f"""SELECT {_office("o_orderkey")} AS seq_rec, o_orderkey AS seq_reserva,
-    {_pick("o_orderkey % 6", ["RR", "CN", "RL", "RV", "RS", "ZZ"])} AS ind_status
+    {d.pick("o_orderkey % 6", ["RR", "CN", "RL", "RV", "RS", "ZZ"])} AS ind_status
 FROM {{orders}} WHERE o_orderpriority <> '5-LOW'""",
         "currency": f"""SELECT {_currency("n_nationkey")} AS cod_divisa,
     CASE WHEN n_nationkey = 0 THEN 2 ELSE n_nationkey % 4 END AS decimales
@@ -314,7 +316,7 @@ GROUP BY CAST(o_orderdate AS DATE), {_currency("o_orderkey % 26")}""",
     }
     for number, name in enumerate(HOTEL_PAY_TABLES):
         code = COST_CODES[number]
-        line_code = _pick(f"l_partkey % {len(COST_CODES)}", COST_CODES)
+        line_code = d.pick(f"l_partkey % {len(COST_CODES)}", COST_CODES)
         stored[name] = {
             "gross_eur": f"CASE WHEN {line_code} = '{code}' THEN l_extendedprice END",
             "tax_eur": f"CASE WHEN {line_code} = '{code}' THEN l_extendedprice * l_tax END",
