@@ -44,6 +44,8 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        # The widest aggregation has 52 decimal sums of two buffer fields each.
+        .config("spark.sql.codegen.maxFields", "300")
         .config("spark.ui.enabled", "false")
         .config("spark.log.level", "ERROR")
         .getOrCreate()
