@@ -53,10 +53,6 @@ def resale_status(code: Column, cancelled: Column, conditional_code: str = "RL")
     )
 
 
-def merchant(payment_type: Column) -> Column:
-    return payment_type.isNull()
-
-
 def payable(payment_type: Column, billable: Column, record_type: Column) -> Column:
     """Sale line counts: billable for merchant bookings, anything but CH when paid at the hotel."""
     return (payment_type.isNull() & (billable == "S")) | (
