@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import pieces
+from .hyperminhash import near_duplicates
 from .line_dedup import line_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,7 +22,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(_table(spark, sf_dir, "documents"))
 
 
+def op4_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 80 % of their four-word shingles."""
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids and of the text decoded from them, per document."""
+    import public_tokenizers
+
+    return pieces.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {
+    "op4_hyperminhash": op4_hyperminhash,
+    "op8_sentencepiece": op8_sentencepiece,
     "op10_line_dedup": op10_line_dedup,
 }
 
