@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 import sentencepiece
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 MARKER = "▁"
 TABLE_CHUNKS = 150_000
 STORED_CHARS = 64
+GROUP_CHARS = 500_000
 _CHUNKS = re.compile(" +[^ ]*|[^ ]+")
 
 
@@ -57,22 +59,36 @@ class ChunkTable:
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[str, int, str]]:
         """(ids joined by one space, their number, decoded text) of each text."""
-        for text in texts:
-            if not text:
-                yield "", 0, ""
-                continue
-            chunks = split(text)
-            known = self.known
+        for group in _groups(texts):
+            cut = [split(t) if t else [] for t in group]
+            known, extra = self.known, {}
             if len(known) > self.chunks:
                 known.clear()
-            extra: dict[str, tuple[str, int, str]] = {}
-            fresh = [c for c in dict.fromkeys(chunks) if c not in known]
-            for c, found in zip(fresh, self._segment(fresh), strict=True) if fresh else ():
-                (known if len(c) <= STORED_CHARS else extra)[c] = found
-            rows = [known[c] if c in known else extra[c] for c in chunks] if extra else [known[c] for c in chunks]
-            ids, counts, decoded = zip(*rows, strict=True)
-            # The space that the library puts before a text is not part of it.
-            yield " ".join(ids), sum(counts), "".join(decoded)[1:]
+            fresh = [c for c in dict.fromkeys(chain.from_iterable(cut)) if c not in known]
+            if fresh:
+                for c, found in zip(fresh, self._segment(fresh), strict=True):
+                    (known if len(c) <= STORED_CHARS else extra)[c] = found
+            for chunks in cut:
+                if not chunks:
+                    yield "", 0, ""
+                    continue
+                rows = [known.get(c) or extra[c] for c in chunks] if extra else [known[c] for c in chunks]
+                ids, counts, decoded = zip(*rows, strict=True)
+                # The space that the library puts before a text is not part of it.
+                yield " ".join(ids), sum(counts), "".join(decoded)[1:]
+
+
+def _groups(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """Runs of texts of GROUP_CHARS or a little more; a longer text is a run of its own."""
+    group, chars = [], 0
+    for text in texts:
+        group.append(text)
+        chars += len(text or "")
+        if chars >= GROUP_CHARS:
+            yield group
+            group, chars = [], 0
+    if group:
+        yield group
 
 
 def split(text: str) -> list[str]:
@@ -90,8 +106,8 @@ def encoded(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str
         model = sentencepiece.SentencePieceProcessor(model_file=model_file)
         table, end = ChunkTable(model), model.eos_id()
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
+            for start in range(0, batch.num_rows, 1024):
+                part = batch.slice(start, 1024)
                 ids, decoded = [], []
                 for joined, _, back in table.encode(part.column(1).to_pylist()):
                     ids.append([int(i) for i in joined.split()] + [end])
@@ -112,8 +128,8 @@ def digests(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str
         model = sentencepiece.SentencePieceProcessor(model_file=model_file)
         table, end = ChunkTable(model), str(model.eos_id())
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
+            for start in range(0, batch.num_rows, 1024):
+                part = batch.slice(start, 1024)
                 counts, of_ids, of_text = [], [], []
                 for joined, n, back in table.encode(part.column(1).to_pylist()):
                     counts.append(n + 1)
