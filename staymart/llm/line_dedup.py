@@ -5,7 +5,8 @@ goes if an earlier line, by (document id, text, line number), has a set with Jac
 similarity of ``threshold`` or more; what happens to that earlier line doesn't matter. Lines
 without a word stay. Equal sets are one class, found by a 128-bit sum; only the classes enter
 the join. It orders a class's words by rarity and indexes its prefix, keeps pairs that the
-length and the positional filter allow, and verifies the Jaccard similarity on the sets.
+length and the positional filter allow, and verifies the Jaccard similarity on the sets. A
+posting also has 64 parities of its set: sets differ in as many words as these do at least.
 
 Rarity comes from counts of hashed words over all lines, in ``2**rarity_bits`` buckets; any
 order gives the same result, so buckets shared by several words cost time, not pairs. A
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,11 +68,6 @@ def rarity(docs: DataFrame, text: str = "text", bits: int = RARITY_BITS) -> np.n
     return out
 
 
-def _sets(chunk: Words, cut: Lines) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct words of every line: the words, the line of each, and sizes."""
-    return _distinct(chunk.hashes.copy(), cut.bounds)
-
-
 def _distinct(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         if b - a > 1:
@@ -96,47 +93,83 @@ def prefix_length(sizes: np.ndarray, threshold: tuple[int, int]) -> np.ndarray:
     return np.where(sizes > 0, sizes - (sizes * num + den - 1) // den + 1, 0)
 
 
-def line_table(docs: DataFrame, levels: np.ndarray, doc_id: str, text: str, threshold: tuple[int, int]) -> DataFrame:
-    """A row per line (``word`` null) and, once per class and task, a row per prefix word."""
-    bits = int(np.log2(len(levels)))
-    shared = docs.sparkSession.sparkContext.broadcast(levels)
+def _ranked(chunk: Words, cut: Lines, level: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words of every line, rarest first: a byte of rarity, then 56 bits of the hash."""
+    bits = int(np.log2(len(level)))
+    rank = level[(chunk.hashes >> np.uint64(64 - bits)).astype(np.int64)]
+    values = (rank.astype(np.uint64) << np.uint64(56)) | (mix(chunk.hashes ^ _SALT) >> np.uint64(8))
+    return _distinct(values, cut.bounds)
+
+
+def _class_of(values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    mixed = mix(values)
+    return _sums(mixed, sizes), _sums(mix(mixed ^ _SALT), sizes)
+
+
+def line_table(docs: DataFrame, shared: Broadcast, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, row_key, line, c1, c2, size) per line; c1 and c2 tell its set."""
+
+    def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in words(batch.column(1)):
+                cut = lines(chunk)
+                values, _, sizes = _ranked(chunk, cut, shared.value)
+                one, two = _class_of(values, sizes)
+                row_key = _sums(mix(chunk.hashes), np.diff(chunk.bounds))[cut.row]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(chunk.first + cut.row)).cast(pa.int64()),
+                        pa.array(row_key.view(np.int64)),
+                        pa.array(cut.number.astype(np.int32)),
+                        pa.array(one.view(np.int64), mask=sizes == 0),
+                        pa.array(two.view(np.int64), mask=sizes == 0),
+                        pa.array(sizes.astype(np.int32)),
+                    ],
+                    ["doc_id", "row_key", "line", "c1", "c2", "size"],
+                )
+
+    kept = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return kept.mapInArrow(table, "doc_id long, row_key long, line int, c1 long, c2 long, size int")
+
+
+def posting_table(docs: DataFrame, shared: Broadcast, text: str, threshold: tuple[int, int]) -> DataFrame:
+    """(word, c1, parity, at) per prefix word of a class, once per task; at is size * 2**32 + place.
+
+    Postings tell a class by c1 alone. Should two classes share it, both are verified.
+    """
     num, den = threshold
     smallest = max(1, -(-num // (den - num)))  # two different sets below this are never similar enough
 
     def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = shared.value
         seen: set[int] = set()
         for batch in batches:
-            ids = batch.column(0)
-            for chunk in words(batch.column(1)):
-                cut = lines(chunk)
-                hashes = chunk.hashes
-                rank = level[(hashes >> np.uint64(64 - bits)).astype(np.int64)]
-                # The bytes of the sorted value: rarity, then 56 bits of the hash.
-                values = (rank.astype(np.uint64) << np.uint64(56)) | (mix(hashes ^ _SALT) >> np.uint64(8))
-                values, of, sizes = _distinct(values, cut.bounds)
-                mixed = mix(values)
-                one = _sums(mixed, sizes)
-                two = _sums(mix(mixed ^ _SALT), sizes)
-                row_key = _sums(mix(hashes), np.diff(chunk.bounds))[cut.row]
-                there = pa.array(ids.take(pa.array(chunk.first + cut.row)))
-                full = sizes > 0
-                yield _rows(there, row_key, cut.number, one, two, sizes, full, None, None)
-                fresh = np.flatnonzero(sizes >= smallest)
-                first = np.fromiter((_first(seen, c) for c in one[fresh].tolist()), bool, len(fresh))
+            for chunk in words(batch.column(0)):
+                values, of, sizes = _ranked(chunk, lines(chunk), shared.value)
+                one, _ = _class_of(values, sizes)
+                large = np.flatnonzero(sizes >= smallest)
                 wanted = np.zeros(len(sizes), bool)
-                wanted[fresh[first]] = True
+                wanted[[i for i, c in zip(large.tolist(), one[large].tolist(), strict=True) if _first(seen, c)]] = True
                 starts = np.cumsum(sizes) - sizes
                 place = np.arange(len(values)) - starts[of]
-                pick = wanted[of] & (place < prefix_length(sizes, threshold)[of])
-                pick &= (values >> np.uint64(56)) > 1
+                pick = wanted[of] & (place < prefix_length(sizes, threshold)[of]) & (values >> np.uint64(56) > 1)
+                parity = np.zeros(len(sizes), np.uint64)
+                some = sizes > 0
+                if some.any():
+                    bit = np.uint64(1) << (values & np.uint64(63))
+                    parity[some] = np.bitwise_xor.reduceat(bit, starts[some])
                 at = of[pick]
-                yield _rows(None, None, None, one[at], two[at], sizes[at], None, values[pick], place[pick])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(values[pick].view(np.int64)),
+                        pa.array(one[at].view(np.int64)),
+                        pa.array(parity[at].view(np.int64)),
+                        pa.array((sizes[at].astype(np.int64) << 32) | place[pick]),
+                    ],
+                    ["word", "c1", "parity", "at"],
+                )
 
-    kept = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return kept.mapInArrow(
-        table, "doc_id long, row_key long, line int, c1 long, c2 long, size int, word long, place int"
-    )
+    kept = docs.select(F.col(text).alias("text"))
+    return kept.mapInArrow(table, "word long, c1 long, parity long, at long")
 
 
 def _first(seen: set[int], value: int) -> bool:
@@ -146,49 +179,24 @@ def _first(seen: set[int], value: int) -> bool:
     return True
 
 
-def _rows(ids, row_key, number, one, two, sizes, full, word, place) -> pa.RecordBatch:
-    n = len(one)
-
-    def long(x: np.ndarray | None, keep: np.ndarray | None = None) -> pa.Array:
-        if x is None:
-            return pa.nulls(n, pa.int64())
-        return pa.array(x.view(np.int64), mask=None if keep is None else ~keep)
-
-    def short(x: np.ndarray | None) -> pa.Array:
-        return pa.nulls(n, pa.int32()) if x is None else pa.array(x.astype(np.int32))
-
-    columns = [
-        pa.nulls(n, pa.int64()) if ids is None else ids.cast(pa.int64()),
-        long(row_key),
-        short(number),
-        long(one, full),
-        long(two, full),
-        short(sizes),
-        long(word),
-        short(place),
-    ]
-    return pa.RecordBatch.from_arrays(columns, ["doc_id", "row_key", "line", "c1", "c2", "size", "word", "place"])
-
-
 def similar_classes(postings: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """Pairs of classes that pass the prefix, length and positional filters, once each."""
     num, den = threshold
-    p = postings.repartition("word").dropDuplicates(["word", "c1", "c2"])
-    x = p.select("word", *(F.col(c).alias(f"x_{c}") for c in ("c1", "c2", "size", "place")))
-    y = p.select("word", *(F.col(c).alias(f"y_{c}") for c in ("c1", "c2", "size", "place")))
-    smaller = (F.col("x_size") < F.col("y_size")) | (
-        (F.col("x_size") == F.col("y_size")) & (F.struct("x_c1", "x_c2") < F.struct("y_c1", "y_c2"))
+    p = postings.repartition("word").groupBy("word", "c1").agg(F.first("parity").alias("parity"), F.first("at").alias("at"))
+    size, place = F.shiftright("at", 32), F.col("at").bitwiseAND(0xFFFFFFFF)
+    x, y = (
+        p.select("word", *(c.alias(f"{side}_{n}") for n, c in (("c1", F.col("c1")), ("size", size), ("place", place), ("parity", F.col("parity")))))
+        for side in "xy"
     )
+    both = F.col("x_size") + F.col("y_size")
+    smaller = (F.col("x_size") < F.col("y_size")) | ((F.col("x_size") == F.col("y_size")) & (F.col("x_c1") < F.col("y_c1")))
     length = F.col("x_size") * den >= F.col("y_size") * num
     # What two sets can share from their first common word on must reach the overlap needed.
     rest = F.least(F.col("x_size") - F.col("x_place"), F.col("y_size") - F.col("y_place"))
-    position = rest * (num + den) >= (F.col("x_size") + F.col("y_size")) * num
-    return (
-        x.join(y, "word")
-        .where(length & smaller & position)
-        .select("x_c1", "x_c2", "y_c1", "y_c2")
-        .distinct()
-    )
+    position = rest * (num + den) >= both * num
+    apart = F.bit_count(F.col("x_parity").bitwiseXOR(F.col("y_parity")))
+    parity = (both - apart) * (num + den) >= both * num * 2
+    return x.join(y, "word").where(length & smaller & position & parity).select("x_c1", "y_c1").distinct()
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -245,18 +253,14 @@ def repeated_lines(
 ) -> DataFrame:
     """A row (doc_id, row_key, line, size, removed) per line of every document."""
     num, den = threshold
-    levels = rarity(docs, text, rarity_bits)
-    table = keep(line_table(docs, levels, doc_id, text, threshold))
-    every = table.where("word IS NULL AND line IS NOT NULL").drop("word", "place")
-    postings = table.where("word IS NOT NULL").select("word", "c1", "c2", "size", "place")
-    pairs = keep(similar_classes(postings, threshold))
+    shared = docs.sparkSession.sparkContext.broadcast(rarity(docs, text, rarity_bits))
+    every = keep(line_table(docs, shared, doc_id, text))
+    pairs = keep(similar_classes(posting_table(docs, shared, text, threshold), threshold))
     at = F.struct("doc_id", "row_key", "line")
-    classes = keep(every.where("size > 0").groupBy("c1", "c2").agg(F.min(at).alias("first"), F.count("*").alias("n"), F.max("size").alias("size")))
+    classes = keep(every.where("size > 0").groupBy("c1", "c2").agg(F.min(at).alias("first"), F.count("*").alias("n")))
 
-    asked = pairs.select(F.col("x_c1").alias("c1"), F.col("x_c2").alias("c2")).union(
-        pairs.select(F.col("y_c1").alias("c1"), F.col("y_c2").alias("c2"))
-    ).distinct()
-    of_class = asked.join(classes, ["c1", "c2"]).select("c1", "c2", "first", "first.*")
+    asked = pairs.select(F.explode(F.array("x_c1", "y_c1")).alias("c1")).distinct()
+    of_class = asked.join(classes, "c1").select("c1", "c2", "first", "first.*")
     sets = class_sets(docs, of_class.select("doc_id", "row_key", "line"), doc_id, text)
     same = (
         F.col("s.doc_id").eqNullSafe(F.col("k.doc_id"))
@@ -271,12 +275,12 @@ def repeated_lines(
             F.col("first").alias(f"{name}_first"), F.col("words").alias(f"{name}_words"),
         )
 
-    shared = F.size(F.array_intersect("x_words", "y_words"))
-    union = F.size("x_words") + F.size("y_words") - shared
+    common = F.size(F.array_intersect("x_words", "y_words"))
+    union = F.size("x_words") + F.size("y_words") - common
     linked = (
-        pairs.join(side("x"), ["x_c1", "x_c2"])
-        .join(side("y"), ["y_c1", "y_c2"])
-        .where(shared * den >= union * num)
+        pairs.join(side("x"), "x_c1")
+        .join(side("y"), "y_c1")
+        .where(common * den >= union * num)
     )
     # The later of the two classes learns of the earlier one.
     x_later = F.col("x_first") > F.col("y_first")
