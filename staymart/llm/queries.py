@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pieces
+from pyspark.sql import functions as F
+
+from . import bradley_terry, pieces, toxicity
 from .hyperminhash import near_duplicates
+from .labelled import fold
 from .line_dedup import line_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +25,22 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(_table(spark, sf_dir, "documents"))
 
 
+def op1_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; labels of two folds of three are learned from."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    ranking = bradley_terry.train(docs, labels.where(~fold("doc_id", 3, 1)))
+    rows = bradley_terry.scored(docs.select("doc_id", "text"), ranking)
+    return rows.select("doc_id", fold("doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of four folds of five are learned from."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(~fold("doc_id", 5, 0)))
+    rows = toxicity.scored(docs, model)
+    return rows.select("doc_id", fold("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share 80 % of their four-word shingles."""
     return near_duplicates(_table(spark, sf_dir, "documents"))
@@ -35,6 +54,8 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_bradley_terry": op1_bradley_terry,
+    "op5_toxicity": op5_toxicity,
     "op4_hyperminhash": op4_hyperminhash,
     "op8_sentencepiece": op8_sentencepiece,
     "op10_line_dedup": op10_line_dedup,

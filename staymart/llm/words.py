@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 21
+MAX_ROWS = 1 << 20
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _RANDOM.integers(0, 1 << 64, 256, dtype=np.uint64) | np.uint64(1)
@@ -23,6 +24,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BYTE = _BYTE[_LOWER]
 _NEWLINE = 10
+#: Bytes that stand between runs of letters; every byte of a non-ASCII character counts as a letter.
+_NO_LETTER = np.array([not (b >= 128 or chr(b).isalpha()) for b in range(256)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -63,12 +66,25 @@ class Words:
     starts: np.ndarray
     text: np.ndarray
     offsets: np.ndarray
+    lengths: np.ndarray
+    sums: np.ndarray
 
+    def row(self) -> np.ndarray:
+        """The row of each word."""
+        return np.repeat(np.arange(self.rows), np.diff(self.bounds))
 
-def words(column: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Words]:
+    def prefixes(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the first ``n`` bytes of the words that long, and where those words are."""
+        at = np.flatnonzero(self.lengths >= n)
+        starts = self.starts[at]
+        _, down = _tables(len(self.text) + 1)
+        return mix((self.sums[starts + n] - self.sums[starts]) * down[starts]), at
+
+
+def words(column: pa.Array, chunk_bytes: int = CHUNK_BYTES, letters: bool = False) -> Iterator[Words]:
     """Chunks of whole rows of about ``chunk_bytes``; a longer row is a chunk of its own.
 
-    A null text has no words.
+    A null text has no words. With ``letters`` a word is a run of letters.
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -84,18 +100,18 @@ def words(column: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Words]:
     first = 0
     while first < n:
         last = int(np.searchsorted(offsets, offsets[first] + chunk_bytes, "right")) - 1
-        last = min(n, max(last, first + 1))
-        yield _chunk(data[offsets[first] : offsets[last]], offsets[first : last + 1], first)
+        last = min(n, first + MAX_ROWS, max(last, first + 1))
+        yield _chunk(data[offsets[first] : offsets[last]], offsets[first : last + 1], first, _NO_LETTER if letters else _SPACE)
         first = last
 
 
-def _chunk(text: np.ndarray, offsets: np.ndarray, first: int) -> Words:
+def _chunk(text: np.ndarray, offsets: np.ndarray, first: int, between: np.ndarray) -> Words:
     offsets = offsets - offsets[0]
     rows, n = len(offsets) - 1, len(text)
     if n == 0:
         none = np.zeros(0, np.int64)
-        return Words(first, rows, none.astype(np.uint64), np.zeros(rows + 1, np.int64), none, text, offsets)
-    solid = ~_SPACE[text]
+        return Words(first, rows, none.astype(np.uint64), np.zeros(rows + 1, np.int64), none, text, offsets, none, none)
+    solid = ~between[text]
     begins, ends = solid.copy(), solid.copy()
     begins[1:] &= ~solid[:-1]
     ends[:-1] &= ~solid[1:]
@@ -110,7 +126,13 @@ def _chunk(text: np.ndarray, offsets: np.ndarray, first: int) -> Words:
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE[text] * up[:n], out=sums[1:])
     hashes = mix((sums[stops] - sums[starts]) * down[starts])
-    return Words(first, rows, hashes, np.searchsorted(starts, offsets), starts, text, offsets)
+    bounds = np.searchsorted(starts, offsets)
+    return Words(first, rows, hashes, bounds, starts, text, offsets, stops - starts, sums)
+
+
+def hashed(terms: list[str]) -> np.ndarray:
+    """Hashes of whole words, as ``words`` gives them."""
+    return np.concatenate([c.hashes for c in words(pa.array(terms, pa.string()), letters=True)])
 
 
 @dataclass
