@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bradley_terry, pieces, toxicity
+from .decontaminate import contaminated
 from .hyperminhash import near_duplicates
 from .labelled import fold
 from .line_dedup import line_report
@@ -46,6 +47,11 @@ def op4_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that documents hold."""
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the text decoded from them, per document."""
     import public_tokenizers
@@ -57,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op1_bradley_terry": op1_bradley_terry,
     "op5_toxicity": op5_toxicity,
     "op4_hyperminhash": op4_hyperminhash,
+    "op6_simhash_decontamination": op6_simhash_decontamination,
     "op8_sentencepiece": op8_sentencepiece,
     "op10_line_dedup": op10_line_dedup,
 }
