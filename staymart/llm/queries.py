@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import bradley_terry, pieces, toxicity
+from . import bradley_terry, chat_windows, pieces, toxicity
 from .decontaminate import contaminated
 from .hyperminhash import near_duplicates
 from .labelled import fold
 from .line_dedup import line_report
+from .scratch import keep
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +53,18 @@ def op6_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations and of one full of markers, read back from their windows."""
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    return chat_windows.digests(keep(chat_windows.windows(turns.union(marked))))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the text decoded from them, per document."""
     import public_tokenizers
@@ -64,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op5_toxicity": op5_toxicity,
     "op4_hyperminhash": op4_hyperminhash,
     "op6_simhash_decontamination": op6_simhash_decontamination,
+    "op7_chat_windows": op7_chat_windows,
     "op8_sentencepiece": op8_sentencepiece,
     "op10_line_dedup": op10_line_dedup,
 }
