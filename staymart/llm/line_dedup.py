@@ -8,9 +8,17 @@ the join. It orders a class's words by rarity and indexes its prefix, keeps pair
 length and the positional filter allow, and verifies the Jaccard similarity on the sets. A
 posting also has 64 parities of its set: sets differ in as many words as these do at least.
 
+A class needs one earlier match only, so a group of near copies isn't listed in pairs. The
+postings of a word pass through a task in document order, and each class takes from them the
+nearest earlier class that no filter rules out. Where verification refuses those, the class is
+compared with all classes of the words concerned. Memory in that task grows with one word's
+postings, 40 bytes each, not with their pairs.
+
 Rarity comes from counts of hashed words over all lines, in ``2**rarity_bits`` buckets; any
 order gives the same result, so buckets shared by several words cost time, not pairs. A
-bucket counted once holds a word no other line has, which needs no posting.
+bucket counted once holds a word no other line has, which needs no posting. Which classes and
+words a later scan has to look at is told by a bitmap of fixed size, whose chance hits an
+exact join drops.
 
 Null texts count as one empty line; a null id sorts before all others. Rows that repeat both
 id and text are treated alike; other columns pass through untouched, whatever their names.
@@ -18,57 +26,70 @@ id and text are treated alike; other columns pass through untouched, whatever th
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import keep
-from .words import Lines, Words, lines, mix, words
+from .words import Words, lines, mix, words
 
 THRESHOLD = (4, 5)  # a fraction, so that limits are exact
 RARITY_BITS = 22
+#: Buckets of the bitmaps that tell later scans what to look at.
+MAP_BITS = 24
 _SLICE_BITS = 12
+_NO_ID = -(1 << 63)
+_WORD = np.uint64((1 << 56) - 1)
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 
 
-def rarity(docs: DataFrame, text: str = "text", bits: int = RARITY_BITS) -> np.ndarray:
-    """A byte per bucket that grows with the count of its words; ``2**bits`` bytes whatever the
-    size of the input."""
-    shift = np.uint64(64 - bits)
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << bits, np.int64)
-        for batch in batches:
-            for chunk in words(batch.column(0)):
-                total += np.bincount((chunk.hashes >> shift).astype(np.int64), minlength=1 << bits)
-        there = np.flatnonzero(total)
-        for part in np.array_split(there, len(there) // 100_000 + 1):
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], ["bucket", "n"])
+def _sliced(frame: DataFrame, bits: int, level: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """A byte per bucket of (bucket, n): ``2**bits`` bytes, whatever the size of the input."""
 
     def packed(key: tuple, table: pa.Table) -> pa.Table:
         out = np.zeros(1 << _SLICE_BITS, np.uint8)
-        n = table["n"].to_numpy().astype(np.float64)
-        grown = 128 + np.floor(4 * np.log2(np.maximum(n, 128) / 128))
-        out[table["bucket"].to_numpy() & ((1 << _SLICE_BITS) - 1)] = np.minimum(255, np.where(n < 128, n, grown))
+        out[table["bucket"].to_numpy() & ((1 << _SLICE_BITS) - 1)] = level(table["n"].to_numpy())
         return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "levels": pa.array([out.tobytes()], pa.binary())})
 
-    sums = docs.select(text).mapInArrow(counted, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     slices = (
-        sums.withColumn("slice", F.shiftright("bucket", _SLICE_BITS))
+        frame.groupBy("bucket")
+        .agg(F.sum("n").alias("n"))
+        .withColumn("slice", F.shiftright("bucket", _SLICE_BITS))
         .groupBy("slice")
         .applyInArrow(packed, "slice int, levels binary")
     )
     out = np.zeros(1 << bits, np.uint8)
-    for number, levels in slices.collect():  # 2**bits bytes in all
+    for number, levels in slices.collect():
         out[number << _SLICE_BITS : (number + 1) << _SLICE_BITS] = np.frombuffer(levels, np.uint8)
     return out
 
 
+def _level(n: np.ndarray) -> np.ndarray:
+    grown = 128 + np.floor(4 * np.log2(np.maximum(n, 128) / 128))
+    return np.minimum(255, np.where(n < 128, n, grown))
+
+
+def _bucket(values: np.ndarray, bits: int) -> np.ndarray:
+    return (mix(values.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _bitmap(values: DataFrame, bits: int) -> np.ndarray:
+    """A byte per bucket, 1 where the bucket holds a value of the one column of ``values``."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            there = np.unique(_bucket(batch.column(0).to_numpy(), bits)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(np.ones(len(there), np.int64))], ["bucket", "n"])
+
+    return _sliced(values.mapInArrow(hashed, "bucket int, n long"), bits, lambda n: np.ones(len(n), np.uint8))
+
+
 def _distinct(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct values of each run, the run of each, and sizes; sorts in place."""
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         if b - a > 1:
             values[a:b].sort()
@@ -87,53 +108,82 @@ def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return total[ends] - total[ends - sizes]
 
 
+def _row_keys(chunk: Words) -> np.ndarray:
+    return _sums(mix(chunk.hashes), np.diff(chunk.bounds)).view(np.int64)
+
+
 def prefix_length(sizes: np.ndarray, threshold: tuple[int, int]) -> np.ndarray:
     """Words of which two sets of that similarity share one at least."""
     num, den = threshold
     return np.where(sizes > 0, sizes - (sizes * num + den - 1) // den + 1, 0)
 
 
-def _ranked(chunk: Words, cut: Lines, level: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct words of every line, rarest first: a byte of rarity, then 56 bits of the hash."""
-    bits = int(np.log2(len(level)))
-    rank = level[(chunk.hashes >> np.uint64(64 - bits)).astype(np.int64)]
-    values = (rank.astype(np.uint64) << np.uint64(56)) | (mix(chunk.hashes ^ _SALT) >> np.uint64(8))
-    return _distinct(values, cut.bounds)
+def _word_values(chunk: Words) -> np.ndarray:
+    """The 56 bits that stand for each word."""
+    return mix(chunk.hashes ^ _SALT) >> np.uint64(8)
 
 
 def _class_of(values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    mixed = mix(values)
+    mixed = mix(values & _WORD)
     return _sums(mixed, sizes), _sums(mix(mixed ^ _SALT), sizes)
 
 
-def line_table(docs: DataFrame, shared: Broadcast, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, row_key, line, c1, c2, size) per line; c1 and c2 tell its set."""
+def line_table(docs: DataFrame, doc_id: str, text: str, bits: int) -> DataFrame:
+    """(doc_id, row_key, line, c1, c2, size) per line, c1 and c2 telling its set, and, with a
+    null line, (bucket, n) per bucket of words and task."""
 
     def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << bits, np.int64)
+        waiting, many = [], 0
         for batch in batches:
             for chunk in words(batch.column(1)):
                 cut = lines(chunk)
-                values, _, sizes = _ranked(chunk, cut, shared.value)
+                values = _word_values(chunk)
+                waiting.append((values >> np.uint64(56 - bits)).astype(np.int64))
+                many += len(values)
+                if many > 1 << bits:
+                    total += np.bincount(np.concatenate(waiting), minlength=1 << bits)
+                    waiting, many = [], 0
+                values, _, sizes = _distinct(values, cut.bounds)
                 one, two = _class_of(values, sizes)
-                row_key = _sums(mix(chunk.hashes), np.diff(chunk.bounds))[cut.row]
+                n = len(sizes)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(chunk.first + cut.row)).cast(pa.int64()),
-                        pa.array(row_key.view(np.int64)),
+                        pa.array(_row_keys(chunk)[cut.row]),
                         pa.array(cut.number.astype(np.int32)),
                         pa.array(one.view(np.int64), mask=sizes == 0),
                         pa.array(two.view(np.int64), mask=sizes == 0),
                         pa.array(sizes.astype(np.int32)),
+                        pa.nulls(n, pa.int32()),
+                        pa.nulls(n, pa.int64()),
                     ],
-                    ["doc_id", "row_key", "line", "c1", "c2", "size"],
+                    _LINE_NAMES,
                 )
+        if many:
+            total += np.bincount(np.concatenate(waiting), minlength=1 << bits)
+        there = np.flatnonzero(total)
+        for part in np.array_split(there, len(there) // 100_000 + 1):
+            none = [pa.nulls(len(part), t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32())]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(part.astype(np.int32)), pa.array(total[part])], _LINE_NAMES)
 
     kept = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return kept.mapInArrow(table, "doc_id long, row_key long, line int, c1 long, c2 long, size int")
+    return kept.mapInArrow(table, "doc_id long, row_key long, line int, c1 long, c2 long, size int, bucket int, n long")
+
 
+_LINE_NAMES = ["doc_id", "row_key", "line", "c1", "c2", "size", "bucket", "n"]
 
-def posting_table(docs: DataFrame, shared: Broadcast, text: str, threshold: tuple[int, int]) -> DataFrame:
-    """(word, c1, parity, at) per prefix word of a class, once per task; at is size * 2**32 + place.
+
+def posting_table(
+    docs: DataFrame,
+    shared: Broadcast,
+    doc_id: str,
+    text: str,
+    threshold: tuple[int, int],
+    only: Broadcast | None = None,
+) -> DataFrame:
+    """(word, c1, parity, size, place, doc) per prefix word of a class, for the class's first
+    document in a task; with ``only``, a bitmap of words, just for those, with the class's set.
 
     Postings tell a class by c1 alone. Should two classes share it, both are verified.
     """
@@ -141,107 +191,168 @@ def posting_table(docs: DataFrame, shared: Broadcast, text: str, threshold: tupl
     smallest = max(1, -(-num // (den - num)))  # two different sets below this are never similar enough
 
     def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: dict[int, int] = {}
+        level = shared.value
+        bits = len(level).bit_length() - 1
         for batch in batches:
-            for chunk in words(batch.column(0)):
-                values, of, sizes = _ranked(chunk, lines(chunk), shared.value)
+            ids = batch.column(0).cast(pa.int64()).fill_null(_NO_ID).to_numpy()
+            for chunk in words(batch.column(1)):
+                cut = lines(chunk)
+                rank = _word_values(chunk)
+                rank |= level[(rank >> np.uint64(56 - bits)).astype(np.int64)].astype(np.uint64) << np.uint64(56)
+                values, of, sizes = _distinct(rank, cut.bounds)
                 one, _ = _class_of(values, sizes)
-                large = np.flatnonzero(sizes >= smallest)
-                wanted = np.zeros(len(sizes), bool)
-                wanted[[i for i, c in zip(large.tolist(), one[large].tolist(), strict=True) if _first(seen, c)]] = True
                 starts = np.cumsum(sizes) - sizes
                 place = np.arange(len(values)) - starts[of]
-                pick = wanted[of] & (place < prefix_length(sizes, threshold)[of]) & (values >> np.uint64(56) > 1)
+                pick = (sizes >= smallest)[of] & (place < prefix_length(sizes, threshold)[of]) & (values >> np.uint64(56) > 1)
+                if only is not None:
+                    map_bits = len(only.value).bit_length() - 1
+                    pick[pick] &= only.value[_bucket(values[pick], map_bits)] > 0
+                doc = ids[chunk.first + cut.row]
+                some = np.zeros(len(sizes), bool)
+                some[of[pick]] = True
+                asked = np.flatnonzero(some)
+                earlier = [i for i, c, d in zip(asked.tolist(), one[asked].tolist(), doc[asked].tolist(), strict=True) if _earlier(seen, c, d)]
+                wanted = np.zeros(len(sizes), bool)
+                wanted[earlier] = True
+                pick &= wanted[of]
                 parity = np.zeros(len(sizes), np.uint64)
-                some = sizes > 0
-                if some.any():
-                    bit = np.uint64(1) << (values & np.uint64(63))
-                    parity[some] = np.bitwise_xor.reduceat(bit, starts[some])
+                full = sizes > 0
+                if full.any():
+                    parity[full] = np.bitwise_xor.reduceat(np.uint64(1) << (values & np.uint64(63)), starts[full])
                 at = of[pick]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(values[pick].view(np.int64)),
-                        pa.array(one[at].view(np.int64)),
-                        pa.array(parity[at].view(np.int64)),
-                        pa.array((sizes[at].astype(np.int64) << 32) | place[pick]),
-                    ],
-                    ["word", "c1", "parity", "at"],
-                )
+                columns = [
+                    pa.array(values[pick].view(np.int64)),
+                    pa.array(one[at].view(np.int64)),
+                    pa.array(parity[at].view(np.int64)),
+                    pa.array(sizes[at].astype(np.int32)),
+                    pa.array(place[pick].astype(np.int32)),
+                    pa.array(doc[at]),
+                ]
+                if only is None:
+                    yield pa.RecordBatch.from_arrays(columns, _POSTING_NAMES)
+                else:
+                    for part in range(0, len(at), 10_000):
+                        rows = at[part : part + 10_000]
+                        yield pa.RecordBatch.from_arrays(
+                            [*(c.slice(part, 10_000) for c in columns), _lists(values & _WORD, starts, sizes, rows)],
+                            [*_POSTING_NAMES, "words"],
+                        )
 
-    kept = docs.select(F.col(text).alias("text"))
-    return kept.mapInArrow(table, "word long, c1 long, parity long, at long")
+    kept = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    schema = "word long, c1 long, parity long, size int, place int, doc long"
+    return kept.mapInArrow(table, schema if only is None else schema + ", words array<long>")
 
 
-def _first(seen: set[int], value: int) -> bool:
-    if value in seen:
-        return False
-    seen.add(value)
-    return True
+_POSTING_NAMES = ["word", "c1", "parity", "size", "place", "doc"]
 
 
-def similar_classes(postings: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Pairs of classes that pass the prefix, length and positional filters, once each."""
-    num, den = threshold
-    p = postings.repartition("word").groupBy("word", "c1").agg(F.first("parity").alias("parity"), F.first("at").alias("at"))
-    size, place = F.shiftright("at", 32), F.col("at").bitwiseAND(0xFFFFFFFF)
-    x, y = (
-        p.select("word", *(c.alias(f"{side}_{n}") for n, c in (("c1", F.col("c1")), ("size", size), ("place", place), ("parity", F.col("parity")))))
-        for side in "xy"
-    )
-    both = F.col("x_size") + F.col("y_size")
-    smaller = (F.col("x_size") < F.col("y_size")) | ((F.col("x_size") == F.col("y_size")) & (F.col("x_c1") < F.col("y_c1")))
-    length = F.col("x_size") * den >= F.col("y_size") * num
-    # What two sets can share from their first common word on must reach the overlap needed.
-    rest = F.least(F.col("x_size") - F.col("x_place"), F.col("y_size") - F.col("y_place"))
-    position = rest * (num + den) >= both * num
-    apart = F.bit_count(F.col("x_parity").bitwiseXOR(F.col("y_parity")))
-    parity = (both - apart) * (num + den) >= both * num * 2
-    return x.join(y, "word").where(length & smaller & position & parity).select("x_c1", "y_c1").distinct()
+def _earlier(seen: dict[int, int], value: int, doc: int) -> bool:
+    """Whether the class is new in this task or in an earlier document than before."""
+    if seen.get(value, doc + 1) > doc:
+        seen[value] = doc
+        return True
+    return False
 
 
-def class_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Word sets of the classes of ``wanted`` (doc_id, row_key, line), read from their lines."""
-    per_doc = wanted.groupBy("doc_id", "row_key").agg(F.collect_set("line").alias("wanted")).groupBy("doc_id").agg(
-        F.collect_list(F.struct("row_key", "wanted")).alias("wanted")
-    )
+def _lists(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> pa.ListArray:
+    """The runs ``rows`` of ``values`` as lists."""
+    n = sizes[rows]
+    ends = np.cumsum(n)
+    flat = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[rows] - (ends - n), n)
+    return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(values[flat].view(np.int64)))
+
+
+def nearest_earlier(postings: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """(word, y, x): for a class y of a word's postings the nearest x in document order that may
+    be similar and isn't of a later document."""
+    num, den = threshold
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[np.ndarray] | None = None
+        for batch in batches:
+            columns = [batch.column(i).to_numpy() for i in range(6)]
+            if rest is not None:
+                columns = [np.concatenate(p) for p in zip(rest, columns, strict=True)]
+            word = columns[0]
+            if not len(word):
+                continue
+            # The last word may go on in the next batch.
+            cut = int(np.searchsorted(word, word[-1]))
+            rest = [c[cut:].copy() for c in columns]
+            if cut:
+                yield from found([c[:cut] for c in columns])
+        if rest is not None:
+            yield from found(rest)
+
+    def found(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        word, c1, parity, size, place, doc = columns
+        size, place = size.astype(np.int64), place.astype(np.int64)
+        at_word, at_y, at_x = [], [], []
+
+        def look(waiting: np.ndarray, step: int, within: np.ndarray | None) -> np.ndarray:
+            """Rows of ``waiting`` that found none in steps over the rows of their word."""
+            none, lag = [], step
+            while len(waiting):
+                other = waiting + lag
+                inside = (other >= 0) & (other < len(word))
+                same = np.zeros(len(waiting), bool)
+                same[inside] = word[other[inside]] == word[waiting[inside]]
+                if within is not None:
+                    same[same] = within[other[same]] == within[waiting[same]]
+                none.append(waiting[~same])
+                waiting, other = waiting[same], other[same]
+                a, b = size[other], size[waiting]
+                both = a + b
+                good = np.minimum(a, b) * den >= np.maximum(a, b) * num
+                good &= np.minimum(a - place[other], b - place[waiting]) * (num + den) >= both * num
+                good &= c1[other] != c1[waiting]
+                some = np.flatnonzero(good)
+                apart = np.bitwise_count((parity[other[some]] ^ parity[waiting[some]]).view(np.uint64)).astype(np.int64)
+                good[some] = (both[some] - apart) * (num + den) >= both[some] * num * 2
+                at_word.append(word[waiting[good]])
+                at_y.append(c1[waiting[good]])
+                at_x.append(c1[other[good]])
+                waiting = waiting[~good]
+                lag += step
+            return np.concatenate(none) if none else waiting
+
+        # Lines of one document stand in no order here, so those after are looked at too.
+        look(np.sort(look(np.arange(len(word)), -1, None)), 1, doc)
+        out = [pa.array(np.concatenate(p)) if p else pa.array([], pa.int64()) for p in (at_word, at_y, at_x)]
+        yield pa.RecordBatch.from_arrays(out, ["word", "y", "x"])
+
+    ordered = postings.repartition("word").sortWithinPartitions("word", "doc", "c1")
+    return ordered.select("word", "c1", "parity", "size", "place", "doc").mapInArrow(stream, "word long, y long, x long")
+
+
+def class_sets(docs: DataFrame, wanted: Broadcast, text: str) -> DataFrame:
+    """(c1, c2, words) of the classes that a bitmap of c1 has."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = len(wanted.value).bit_length() - 1
+        seen: dict[int, int] = {}
         for batch in batches:
-            asked = batch.column(1).to_pylist()
             for chunk in words(batch.column(0)):
-                cut = lines(chunk)
-                keys = _sums(mix(chunk.hashes), np.diff(chunk.bounds)).view(np.int64)
-                firsts = np.searchsorted(cut.row, np.arange(chunk.rows))
-                picked = [
-                    firsts[r] + line
-                    for r in range(chunk.rows)
-                    for group in asked[chunk.first + r]
-                    if group["row_key"] == keys[r]
-                    for line in sorted(group["wanted"])
-                ]
-                if not picked:
-                    continue
-                picked = np.array(picked)
-                sizes = cut.bounds[picked + 1] - cut.bounds[picked]
-                ends = np.cumsum(sizes)
-                flat = np.arange(ends[-1]) + np.repeat(cut.bounds[picked] - (ends - sizes), sizes)
-                values, _, counts = _distinct(mix(chunk.hashes[flat] ^ _SALT) >> np.uint64(8), np.append(0, ends))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(2).take(pa.array(chunk.first + cut.row[picked])).cast(pa.int64()),
-                        pa.array(keys[cut.row[picked]]),
-                        pa.array(cut.number[picked].astype(np.int32)),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(values.view(np.int64))
-                        ),
-                    ],
-                    ["doc_id", "row_key", "line", "words"],
-                )
+                values, _, sizes = _distinct(_word_values(chunk), lines(chunk).bounds)
+                one, two = _class_of(values, sizes)
+                rows = np.flatnonzero((wanted.value[_bucket(one, bits)] > 0) & (sizes > 0))
+                rows = np.array([i for i, c in zip(rows.tolist(), one[rows].tolist(), strict=True) if _earlier(seen, c, 0)], np.int64)
+                starts = np.cumsum(sizes) - sizes
+                for part in range(0, len(rows), 10_000):
+                    r = rows[part : part + 10_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(one[r].view(np.int64)), pa.array(two[r].view(np.int64)), _lists(values, starts, sizes, r)],
+                        ["c1", "c2", "words"],
+                    )
 
-    d = docs.select(F.col(text).alias("text"), F.col(doc_id).alias("d_id"))
-    joined = d.join(per_doc, F.col("d_id").eqNullSafe(F.col("doc_id"))).select("text", "wanted", "doc_id")
-    rows = joined.mapInArrow(sets, "doc_id long, row_key long, line int, words array<long>")
-    return rows.dropDuplicates(["doc_id", "row_key", "line"])
+    return docs.select(F.col(text).alias("text")).mapInArrow(sets, "c1 long, c2 long, words array<long>")
+
+
+def _similar(a: str, b: str, threshold: tuple[int, int]) -> Column:
+    num, den = threshold
+    common = F.size(F.array_intersect(a, b))
+    return common * den >= (F.size(a) + F.size(b) - common) * num
 
 
 def repeated_lines(
@@ -250,53 +361,67 @@ def repeated_lines(
     text: str = "text",
     threshold: tuple[int, int] = THRESHOLD,
     rarity_bits: int = RARITY_BITS,
+    map_bits: int = MAP_BITS,
 ) -> DataFrame:
     """A row (doc_id, row_key, line, size, removed) per line of every document."""
     num, den = threshold
-    shared = docs.sparkSession.sparkContext.broadcast(rarity(docs, text, rarity_bits))
-    every = keep(line_table(docs, shared, doc_id, text))
-    pairs = keep(similar_classes(posting_table(docs, shared, text, threshold), threshold))
+    share = docs.sparkSession.sparkContext.broadcast
+    table = keep(line_table(docs, doc_id, text, rarity_bits))
+    every = table.where("line IS NOT NULL").drop("bucket", "n")
+    levels = share(_sliced(table.where("line IS NULL").select("bucket", "n"), rarity_bits, _level))
     at = F.struct("doc_id", "row_key", "line")
     classes = keep(every.where("size > 0").groupBy("c1", "c2").agg(F.min(at).alias("first"), F.count("*").alias("n")))
 
-    asked = pairs.select(F.explode(F.array("x_c1", "y_c1")).alias("c1")).distinct()
-    of_class = asked.join(classes, "c1").select("c1", "c2", "first", "first.*")
-    sets = class_sets(docs, of_class.select("doc_id", "row_key", "line"), doc_id, text)
-    same = (
-        F.col("s.doc_id").eqNullSafe(F.col("k.doc_id"))
-        & (F.col("s.row_key") == F.col("k.row_key"))
-        & (F.col("s.line") == F.col("k.line"))
-    )
-    sets = keep(of_class.alias("k").join(sets.alias("s"), same).select("k.c1", "k.c2", "k.first", "s.words"))
+    near = keep(nearest_earlier(posting_table(docs, levels, doc_id, text, threshold), threshold))
+    # Of the candidates that its words give a class, two are tried.
+    tried = near.groupBy("y").agg(F.min("x").alias("a"), F.max("x").alias("b"))
+    pairs = keep(tried.select("y", F.explode(F.array_distinct(F.array("a", "b"))).alias("x")))
+    asked = pairs.select(F.explode(F.array("x", "y")).alias("c1")).distinct()
+    sets = class_sets(docs, share(_bitmap(asked, map_bits)), text).dropDuplicates(["c1", "c2"])
+    sets = keep(sets.join(asked, "c1", "left_semi").join(classes.drop("n"), ["c1", "c2"]))
+
+    def side(frame: DataFrame, name: str) -> DataFrame:
+        return frame.select(*(F.col(c).alias(name if c == "c1" else f"{name}_{c}") for c in frame.columns))
+
+    linked = pairs.join(side(sets, "x"), "x").join(side(sets, "y"), "y").where(_similar("x_words", "y_words", threshold))
+    matched = keep(_later(linked))
+
+    # Classes with candidates of which none held: against all of the words concerned.
+    left = near.join(matched.select(F.col("c1").alias("y")).distinct(), "y", "left_anti")
+    left = keep(left.select("word", "y").distinct())
+    only = share(_bitmap(left.select("word").distinct(), map_bits))
+    again = posting_table(docs, levels, doc_id, text, threshold, only)
+    again = again.join(left.select("word").distinct(), "word", "left_semi")
+    again = keep(again.groupBy("word", "c1").agg(*(F.min_by(c, "doc").alias(c) for c in ("parity", "size", "place", "words")), F.min("doc").alias("doc")))
+    y = side(again, "y").join(left.select(F.col("word").alias("y_word"), "y"), ["y_word", "y"], "left_semi")
+    x = side(again, "x")
+    both = F.col("x_size") + F.col("y_size")
+    length = F.least("x_size", "y_size") * den >= F.greatest("x_size", "y_size") * num
+    # What two sets can share from their first common word on must reach the overlap needed.
+    rest = F.least(F.col("x_size") - F.col("x_place"), F.col("y_size") - F.col("y_place"))
+    position = rest * (num + den) >= both * num
+    apart = F.bit_count(F.col("x_parity").bitwiseXOR(F.col("y_parity")))
+    parity = (both - apart) * (num + den) >= both * num * 2
+    filters = (F.col("x") != F.col("y")) & (F.col("x_doc") <= F.col("y_doc")) & length & position & parity
+    more = y.join(x, (F.col("x_word") == F.col("y_word")) & filters & _similar("x_words", "y_words", threshold)).select("x", "y").distinct()
+    names = classes.select("c1", "c2", "first")
+    more = more.join(side(names, "x"), "x").join(side(names, "y"), "y")
+    matched = matched.union(_later(more)).distinct()
 
-    def side(name: str) -> DataFrame:
-        return sets.select(
-            F.col("c1").alias(f"{name}_c1"), F.col("c2").alias(f"{name}_c2"),
-            F.col("first").alias(f"{name}_first"), F.col("words").alias(f"{name}_words"),
-        )
+    own = classes.where("n > 1").select("c1", "c2", "first", F.lit(False).alias("matched"))
+    known = own.union(matched.join(names, ["c1", "c2"]).select("c1", "c2", "first", F.lit(True)))
+    known = known.groupBy("c1", "c2").agg(F.first("first").alias("first"), F.max("matched").alias("matched"))
+    removed = F.coalesce(F.col("matched") | (F.col("first") < at), F.lit(False))
+    return every.join(known, ["c1", "c2"], "left").select("doc_id", "row_key", "line", "size", removed.alias("removed"))
 
-    common = F.size(F.array_intersect("x_words", "y_words"))
-    union = F.size("x_words") + F.size("y_words") - common
-    linked = (
-        pairs.join(side("x"), "x_c1")
-        .join(side("y"), "y_c1")
-        .where(common * den >= union * num)
-    )
-    # The later of the two classes learns of the earlier one.
+
+def _later(linked: DataFrame) -> DataFrame:
+    """(c1, c2) of the later class of each linked pair."""
     x_later = F.col("x_first") > F.col("y_first")
-    earlier = (
-        linked.select(
-            F.when(x_later, F.col("x_c1")).otherwise(F.col("y_c1")).alias("c1"),
-            F.when(x_later, F.col("x_c2")).otherwise(F.col("y_c2")).alias("c2"),
-            F.least("x_first", "y_first").alias("first"),
-        )
-        .groupBy("c1", "c2")
-        .agg(F.min("first").alias("first"))
-    )
-    own = classes.where("n > 1").select("c1", "c2", "first")
-    first = own.union(earlier).groupBy("c1", "c2").agg(F.min("first").alias("first"))
-    removed = F.coalesce(F.col("first") < at, F.lit(False))
-    return every.join(first, ["c1", "c2"], "left").select("doc_id", "row_key", "line", "size", removed.alias("removed"))
+    return linked.select(
+        F.when(x_later, F.col("x")).otherwise(F.col("y")).alias("c1"),
+        F.when(x_later, F.col("x_c2")).otherwise(F.col("y_c2")).alias("c2"),
+    ).distinct()
 
 
 def line_report(docs: DataFrame, **options) -> DataFrame:
@@ -344,7 +469,7 @@ def without_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str =
             asked = found.to_pylist()
             stays = np.ones(batch.num_rows, bool)
             for chunk in words(batch.column(1)):
-                keys = _sums(mix(chunk.hashes), np.diff(chunk.bounds)).view(np.int64)
+                keys = _row_keys(chunk)
                 for r in range(chunk.rows):
                     for group in asked[chunk.first + r] or ():
                         if group["row_key"] == keys[r]:

@@ -13,6 +13,7 @@ from .decontaminate import contaminated
 from .hyperminhash import near_duplicates
 from .labelled import fold
 from .line_dedup import line_report
+from .neighbour_graph import nearest
 from .scratch import keep
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +23,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op9_neighbour_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector."""
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document the lines that repeat an earlier one at Jaccard 0.8 or more."""
     return line_report(_table(spark, sf_dir, "documents"))
@@ -79,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op6_simhash_decontamination": op6_simhash_decontamination,
     "op7_chat_windows": op7_chat_windows,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_neighbour_graph": op9_neighbour_graph,
     "op10_line_dedup": op10_line_dedup,
 }
 
