@@ -31,7 +31,7 @@ from .scratch import keep
 
 SHARD, BLOCK = 8192, 1024
 DEGREE, BEAM, ALPHA = 24, 48, 1.2
-SEARCH_BEAM = 96
+SEARCH_BEAM = 160
 _BATCH, _EXPAND, _POOL = 256, 4, 64
 
 
@@ -99,7 +99,8 @@ def prune(points: np.ndarray, centre: np.ndarray, pool: np.ndarray, far: np.ndar
     the centre is.
     """
     m, width = pool.shape
-    vectors = points[np.maximum(pool, 0)]
+    # Seen from the centre, so that gaps far smaller than the vectors keep their precision.
+    vectors = points[np.maximum(pool, 0)] - points[centre][:, None]
     norms = np.einsum("mwd,mwd->mw", vectors, vectors)
     between = norms[:, :, None] + norms[:, None, :] - 2 * vectors @ vectors.transpose(0, 2, 1)
     open_ = (pool >= 0) & (pool != centre[:, None])
@@ -117,7 +118,8 @@ def prune(points: np.ndarray, centre: np.ndarray, pool: np.ndarray, far: np.ndar
 def build(points: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alpha: float = ALPHA, seed: int = 3) -> Graph:
     n = len(points)
     middle = int(np.argmin(((points - points.mean(0)) ** 2).sum(1)))
-    graph = Graph(points, np.full((n, degree), -1, np.int32), middle)
+    # Half as many slots again, so that few back edges make a node be pruned at once.
+    graph = Graph(points, np.full((n, degree + degree // 2), -1, np.int32), middle)
     order = np.random.Generator(np.random.PCG64(seed)).permutation(n)
     order = order[order != middle]
     at = 0
@@ -126,14 +128,15 @@ def build(points: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alpha: flo
         at += len(batch)
         nodes, far = graph.search(points[batch], beam)
         # Points of one batch may be each other's neighbours too.
-        gaps = ((points[batch][:, None] - points[batch][None]) ** 2).sum(2) if len(batch) <= 64 else _gaps(points[batch])
+        gaps = _gaps(points[batch])
         np.fill_diagonal(gaps, np.inf)
         near = np.argsort(gaps, 1)[:, : min(8, len(batch) - 1)]
+        gap = points[batch[near]] - points[batch][:, None]
         pool = np.hstack([nodes, batch[near]])
-        d = np.hstack([far, np.take_along_axis(gaps, near, 1)]).astype(np.float32)
+        d = np.hstack([far, np.einsum("ijk,ijk->ij", gap, gap)])
         rank = np.argsort(d, 1, kind="stable")
         pool, d = np.take_along_axis(pool, rank, 1), np.take_along_axis(d, rank, 1)
-        graph.edges[batch] = prune(points, batch, pool, d, degree, alpha)
+        graph.edges[batch, :degree] = prune(points, batch, pool, d, degree, alpha)
         _link_back(graph, batch, degree, alpha)
     return graph
 
@@ -145,7 +148,8 @@ def _gaps(x: np.ndarray) -> np.ndarray:
 
 def _link_back(graph: Graph, batch: np.ndarray, degree: int, alpha: float) -> None:
     points, edges = graph.points, graph.edges
-    to, of = edges[batch].ravel(), np.repeat(batch, degree)
+    slots = edges.shape[1]
+    to, of = edges[batch].ravel(), np.repeat(batch, slots)
     to, of = to[to >= 0], of[to >= 0]
     nodes = np.unique(to)
     old = edges[nodes]
@@ -164,10 +168,11 @@ def _link_back(graph: Graph, batch: np.ndarray, degree: int, alpha: float) -> No
     pool = np.full((len(nodes), _POOL), -1, np.int64)
     far = np.full((len(nodes), _POOL), np.inf, np.float32)
     pool[row[inside], col[inside]], far[row[inside], col[inside]] = starts[inside], d[inside]
-    few = (pool >= 0).sum(1) <= degree
-    edges[nodes[few]] = pool[few, :degree]
+    few = (pool >= 0).sum(1) <= slots
+    edges[nodes[few]] = pool[few, :slots]
     if (~few).any():
-        edges[nodes[~few]] = prune(points, nodes[~few], pool[~few], far[~few], degree, alpha)
+        edges[nodes[~few]] = -1
+        edges[nodes[~few], :degree] = prune(points, nodes[~few], pool[~few], far[~few], degree, alpha)
 
 
 def valid(vector: str) -> Column:
