@@ -460,15 +460,16 @@ def without_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str =
         .agg(F.collect_list(F.struct("row_key", "gone", "left")).alias("found"))
     )
     wanted = F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)))
-    d = docs.select(wanted.alias("doc"), F.col(doc_id).alias("d_id"), F.col(text).alias("text"))
+    d = docs.select(wanted.alias("doc"), F.col(doc_id).alias("d_id"))
+    place = docs.columns.index(text)
     joined = d.join(gone, F.col("d_id").eqNullSafe(F.col("doc_id")), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, found = batch.column(1).to_pylist(), batch.column(2)
-            asked = found.to_pylist()
+            column = batch.column(0).field(place)
+            texts, asked = column.to_pylist(), batch.column(1).to_pylist()
             stays = np.ones(batch.num_rows, bool)
-            for chunk in words(batch.column(1)):
+            for chunk in words(column):
                 keys = _row_keys(chunk)
                 for r in range(chunk.rows):
                     for group in asked[chunk.first + r] or ():
@@ -481,7 +482,7 @@ def without_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str =
             yield out.filter(pa.array(stays))
 
     doc_type = joined.select("doc").schema["doc"].dataType.simpleString()
-    rows = joined.select("doc", "text", "found").mapInArrow(cut, f"doc {doc_type}, text string")
+    rows = joined.select("doc", "found").mapInArrow(cut, f"doc {doc_type}, text string")
     return rows.select(
         *(F.col("text").alias(c) if c == text else F.col(f"doc.c{i}").alias(c) for i, c in enumerate(docs.columns))
     )

@@ -18,6 +18,7 @@ import re
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -108,13 +109,14 @@ def encoded(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 part = batch.slice(start, 1024)
-                ids, decoded = [], []
-                for joined, _, back in table.encode(part.column(1).to_pylist()):
-                    ids.append([int(i) for i in joined.split()] + [end])
+                ids, ends, decoded = [], [0], []
+                for joined, n, back in table.encode(part.column(1).to_pylist()):
+                    ids.append(np.fromstring(f"{joined} {end}", np.int32, sep=" "))
+                    ends.append(ends[-1] + n + 1)
                     decoded.append(back)
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).cast(pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())],
-                    ["doc_id", "ids", "decoded"],
+                    [part.column(0).cast(pa.int64()), lists, pa.array(decoded, pa.string())], ["doc_id", "ids", "decoded"]
                 )
 
     kept = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import bradley_terry, chat_windows, pieces, toxicity
+from . import bradley_terry, chat_windows, pieces, secret_forest, surrogates, toxicity
 from .decontaminate import contaminated
 from .hyperminhash import near_duplicates
 from .labelled import fold
@@ -49,6 +49,19 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", fold("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with surrogates for its personal data."""
+    return surrogates.with_surrogates(_table(spark, sf_dir, "documents"), b"a key for the tables of the query")
+
+
+def op3_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate for a secret with the forest's score."""
+    docs = _table(spark, sf_dir, "documents")
+    found = keep(secret_forest.candidates(docs))
+    rows = secret_forest.scored(found, secret_forest.rule_labels(found), secret_forest.dictionary(docs))
+    return rows.select("doc_id", "word_no", F.length("candidate").alias("n_chars"), F.sha2("candidate", 256).alias("sha256"), "score", "secret")
+
+
 def op4_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share 80 % of their four-word shingles."""
     return near_duplicates(_table(spark, sf_dir, "documents"))
@@ -80,6 +93,8 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_bradley_terry": op1_bradley_terry,
+    "op2_pii_surrogates": op2_pii_surrogates,
+    "op3_secret_forest": op3_secret_forest,
     "op5_toxicity": op5_toxicity,
     "op4_hyperminhash": op4_hyperminhash,
     "op6_simhash_decontamination": op6_simhash_decontamination,
