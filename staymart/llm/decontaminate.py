@@ -4,10 +4,11 @@ Words are runs of letters, marks and digits in lower case. A shingle is five wor
 (all words of an item that has fewer) and weighs its number of characters; the similarity of
 two word sequences is the weighted Jaccard of their shingles with repeats: sum of the smaller
 over sum of the larger weights. A document holds an item if a window of the item's number of
-words (the whole document, if it is shorter) reaches ``PERCENT``.
+words (the whole document, if it is shorter) reaches ``PERCENT``; windows stand where a shingle
+of the item lies on the same shingle of the document.
 
 Only windows that share a shingle with an item can have a similarity over zero. So every such
-window, aligned on the shared shingle, gets a 64-bit SimHash of its weighted shingles, and
+window gets a 64-bit SimHash of its weighted shingles, and
 no other. Fingerprints and items meet in RADIUS + 1 blocks of bits: if at most RADIUS bits
 differ, one block is equal. At the threshold about 10 bits differ, with a deviation of 3;
 RADIUS is 23. Candidates are verified by the exact similarity. Equal windows are handled once.
