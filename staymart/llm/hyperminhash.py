@@ -13,7 +13,8 @@ Jaccard estimate, corrected for registers that agree by chance, then drops pairs
 standard deviations below the threshold, and whole sets decide.
 
 Pairs inside a band are never all listed: members are linked to a centre first, and only
-pairs whose components still differ follow, so a group of copies costs its size.
+pairs whose components still differ follow, so a group of copies costs its size. Of those,
+none is listed that the shingles no other of these documents has rule out.
 
 Null ids take no part in links; null texts are empty. Rows sharing an id share its decision.
 Other columns may have any name.
@@ -244,12 +245,21 @@ def near_duplicates(
     split = now.join(main.where("k > 1").select("band", "key", "main.component"), ["band", "key"], "left_semi")
     main = main.where("k > 1").select("band", "key", F.col("main.component").alias("main"))
     strangers = now.join(main, ["band", "key"]).where("component <> main").drop("main")
-    s = strangers.select("band", "key", F.col("u").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    t = split.select("band", "key", F.col("u").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
+    lone = keep(_lone_shingles(split, sets))
+
+    def side(frame: DataFrame, name: str) -> DataFrame:
+        known = frame.join(lone, "u", "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
+        # Lone shingles are in no intersection and in every union.
+        known = known.where((F.col("n") - F.col("lone")) * 100 >= F.col("n") * percent)
+        return known.select("band", "key", *(F.col(c).alias(f"{c}_{name}") for c in ("u", "n", "component", "lone")))
+
+    most = F.least(F.col("n_a") - F.col("lone_a"), F.col("n_b") - F.col("lone_b"))
+    possible = most * 100 >= (F.col("n_a") + F.col("n_b") - most) * percent
     pairs = (
-        s.join(t, ["band", "key"])
-        .where((F.col("c_a") != F.col("c_b")) & _sizes_fit("n_a", "n_b", percent))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        side(strangers, "a")
+        .join(side(split, "b"), ["band", "key"])
+        .where((F.col("component_a") != F.col("component_b")) & possible)
+        .select(F.least("u_a", "u_b").alias("a"), F.greatest("u_a", "u_b").alias("b"))
         .distinct()
     )
     links = links.union(_linked(pairs, classes, sets, percent))
@@ -271,6 +281,14 @@ def near_duplicates(
     )
 
 
+def _lone_shingles(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(u, lone): how many of its shingles none of the other ``members`` has."""
+    held = sets.join(members.select(F.col("u").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    held = held.select(F.col("doc_id").alias("u"), F.explode("shingles").alias("h"))
+    once = held.groupBy("h").agg(F.count("*").alias("m"), F.min("u").alias("u")).where("m = 1")
+    return once.groupBy("u").agg(F.count("*").alias("lone"))
+
+
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(labels, members["u"] == labels["node"], "left").select(
         "band", "key", "u", "n", F.coalesce("component", "u").alias("component")
