@@ -1,10 +1,11 @@
 """Effective-dated lookup.
 
-A history is turned into validity intervals, and each interval is laid over the
-calendar buckets (months) it touches. The lookup is then an equi join on key and
-bucket with a range check inside the bucket: no window runs over the driving
-rows, a hot key is spread over its buckets, and a driving row meets only the few
-intervals of one month.
+A history is turned into validity intervals. One of up to ``SHORT_WEEKS`` weeks is laid over
+the calendar weeks it touches; a longer one, and the open one at the end of a history, stays
+one row per key. So a history of n rows has at most (SHORT_WEEKS + 1) * n interval rows,
+whatever dates are in it, and a key has few long ones. The lookup is two equi joins, on key
+and week and on key, with a range check: no window runs over the driving rows, a hot key is
+spread over its weeks, and a driving row meets the few intervals of one week.
 """
 
 from __future__ import annotations
@@ -17,21 +18,22 @@ from pyspark.sql import functions as F
 
 BACKWARD = "backward"
 FORWARD = "forward"
+SHORT_WEEKS = 26
 
 
-def _month(ts: Column) -> Column:
-    return F.year(ts) * 12 + F.month(ts)
+def _week(ts: Column) -> Column:
+    return F.floor(F.unix_date(F.to_date(ts)) / 7).cast("int")
 
 
 @dataclass(frozen=True)
 class Intervals:
     """A prepared history, usable for any number of lookups.
 
-    ``frame`` holds one row per interval and month, ``edge`` the outermost month.
+    ``short`` holds one row per interval and week, ``long`` one per long or open interval.
     """
 
-    frame: DataFrame
-    edge: Column
+    short: DataFrame
+    long: DataFrame
     direction: str
 
 
@@ -42,29 +44,28 @@ def intervals(
     direction: str = BACKWARD,
     tie_break: Sequence[str | Column] = (),
 ) -> Intervals:
-    """Validity intervals of a history, exploded over months.
+    """Validity intervals of a history.
 
     Backward rows hold from their date until the next one, forward rows from just
     after the previous date up to their own. Of several rows with one date only
-    the last (backward) or first (forward) in ``tie_break`` order holds.
+    the last (backward) or first (forward) in ``tie_break`` order holds. Rows without
+    a date never hold.
     """
     order = Window.partitionBy(*by).orderBy(effective, *tie_break)
     own = F.col(effective)
-    months = history.select(_month(own).alias("month"))
     if direction == BACKWARD:
-        edge = months.agg(F.max("month")).scalar()
         bounds = {"__lo": own, "__hi": F.lead(effective).over(order)}
-        first, last = _month(F.col("__lo")), F.coalesce(_month(F.col("__hi")), edge)
     else:
-        edge = months.agg(F.min("month")).scalar()
         bounds = {"__lo": F.lag(effective).over(order), "__hi": own}
-        first, last = F.coalesce(_month(F.col("__lo")), edge), _month(F.col("__hi"))
+    first, last = _week(F.col("__lo")), _week(F.col("__hi"))
     frame = (
-        history.withColumns(bounds)
+        history.filter(own.isNotNull())
+        .withColumns(bounds)
         .filter("__lo IS NULL OR __hi IS NULL OR __lo < __hi")
-        .withColumn("__month", F.explode(F.sequence(first, last)))
+        .withColumn("__short", F.coalesce(last - first <= SHORT_WEEKS, F.lit(False)))
     )
-    return Intervals(frame, edge, direction)
+    short = frame.filter("__short").withColumn("__week", F.explode(F.sequence(first, last)))
+    return Intervals(short.drop("__short"), frame.filter("NOT __short").drop("__short"), direction)
 
 
 def asof_lookup(
@@ -77,20 +78,34 @@ def asof_lookup(
     date >= ``at``.
     """
     tag = "__asof_" + "_".join(columns.values())
-    side = history.frame.select(
-        *[F.col(name).alias(f"{tag}_by_{name}") for name in by.values()],
-        F.col("__lo").alias(f"{tag}_lo"),
-        F.col("__hi").alias(f"{tag}_hi"),
-        F.col("__month").alias(f"{tag}_month"),
-        *[F.col(name).alias(output) for name, output in columns.items()],
+    found = rows
+    moment = F.col(at)
+    for kind, frame in (("short", history.short), ("long", history.long)):
+        own = f"{tag}_{kind}"
+        lo, hi = F.col(f"{own}_lo"), F.col(f"{own}_hi")
+        side = frame.select(
+            *[F.col(name).alias(f"{own}_by_{name}") for name in by.values()],
+            F.col("__lo").alias(f"{own}_lo"),
+            F.col("__hi").alias(f"{own}_hi"),
+            *([F.col("__week").alias(f"{own}_week")] if kind == "short" else []),
+            *[F.col(name).alias(f"{own}_{output}") for name, output in columns.items()],
+            F.lit(True).alias(f"{own}_found"),
+        )
+        match = [F.col(name) == F.col(f"{own}_by_{other}") for name, other in by.items()]
+        if kind == "short":
+            match.append(_week(moment) == F.col(f"{own}_week"))
+        if history.direction == BACKWARD:
+            match.append((lo <= moment) & (hi.isNull() | (moment < hi)))
+        else:
+            match.append((moment <= hi) & (lo.isNull() | (lo < moment)))
+        found = found.join(side, match, "left")
+    # The intervals of a key don't overlap, so a row meets one of them at most.
+    return found.select(
+        *rows.columns,
+        *[
+            F.when(F.col(f"{tag}_short_found"), F.col(f"{tag}_short_{output}"))
+            .otherwise(F.col(f"{tag}_long_{output}"))
+            .alias(output)
+            for output in columns.values()
+        ],
     )
-    moment, lo, hi = F.col(at), F.col(f"{tag}_lo"), F.col(f"{tag}_hi")
-    # Rows beyond the outermost month meet the open interval stored there.
-    clamp = F.least if history.direction == BACKWARD else F.greatest
-    match = [F.col(name) == F.col(f"{tag}_by_{other}") for name, other in by.items()]
-    match.append(clamp(_month(moment), history.edge) == F.col(f"{tag}_month"))
-    if history.direction == BACKWARD:
-        match.append((lo <= moment) & (hi.isNull() | (moment < hi)))
-    else:
-        match.append((moment <= hi) & (lo.isNull() | (lo < moment)))
-    return rows.join(side, match, "left").select(*rows.columns, *columns.values())

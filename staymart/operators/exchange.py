@@ -113,12 +113,13 @@ def asof_converter(rates: DataFrame, pivot: str | None = EURO) -> Converter:
 def daily_rate(
     rows: DataFrame, daily: DataFrame, ccy: str, at: str, out: str, missing: float | None = 0.0
 ) -> DataFrame:
-    """Rate of the day for a currency, ``missing`` when there is none."""
-    side = daily.select(
-        F.col("date").alias(f"__{out}_date"),
-        F.col("currency").alias(f"__{out}_ccy"),
-        F.col("rate").cast("double").alias(f"__{out}_rate"),
-    )
+    """Rate of the day for a currency, ``missing`` when there is none.
+
+    Of several rates of one day the largest counts.
+    """
+    side = daily.groupBy(
+        F.col("date").alias(f"__{out}_date"), F.col("currency").alias(f"__{out}_ccy")
+    ).agg(F.max(F.col("rate").cast("double")).alias(f"__{out}_rate"))
     match = [F.to_date(F.col(at)) == F.col(f"__{out}_date"), F.col(ccy) == F.col(f"__{out}_ccy")]
     return (
         rows.join(side, match, "left")
@@ -157,6 +158,32 @@ def identity_converter() -> Converter:
     return convert
 
 
+def company_rate_types(
+    rows: DataFrame,
+    company_types: DataFrame,
+    company: str,
+    purposes: dict[str, str | Column],
+    at: str,
+    direction: str = FORWARD,
+) -> DataFrame:
+    """Rate types a company uses at a date, all from one lookup.
+
+    ``purposes`` maps output names to purposes (R, C, L or A; a column name or a column).
+    """
+    tag = "__" + "_".join(purposes)
+    names = {name: f"{tag}_{name}" for name in RATE_PURPOSE_COLUMNS.values()}
+    history = intervals(company_types, ["semp_cod_emp"], "fec_aplicacion", direction)
+    found = asof_lookup(rows, history, {company: "semp_cod_emp"}, at, names)
+    outputs = {}
+    for out, purpose in purposes.items():
+        wanted = F.col(purpose) if isinstance(purpose, str) else purpose
+        picked = F.lit(None).cast("string")
+        for code, name in RATE_PURPOSE_COLUMNS.items():
+            picked = F.when(wanted == code, F.col(names[name])).otherwise(picked)
+        outputs[out] = F.coalesce(picked, F.lit(UNKNOWN_RATE_TYPE))
+    return found.withColumns(outputs).drop(*names.values())
+
+
 def company_rate_type(
     rows: DataFrame,
     company_types: DataFrame,
@@ -166,20 +193,8 @@ def company_rate_type(
     out: str,
     direction: str = FORWARD,
 ) -> DataFrame:
-    """Rate type a company uses for a purpose (R, C, L or A) at a date."""
-    names = {name: f"__{out}_{name}" for name in RATE_PURPOSE_COLUMNS.values()}
-    history = intervals(company_types, ["semp_cod_emp"], "fec_aplicacion", direction)
-    found = asof_lookup(rows, history, {company: "semp_cod_emp"}, at, names)
-    wanted = F.col(purpose) if isinstance(purpose, str) else purpose
-    picked = None
-    for code, name in RATE_PURPOSE_COLUMNS.items():
-        value = F.col(names[name])
-        picked = F.when(wanted == code, value) if picked is None else picked.when(
-            wanted == code, value
-        )
-    return found.withColumn(out, F.coalesce(picked, F.lit(UNKNOWN_RATE_TYPE))).drop(
-        *names.values()
-    )
+    """``company_rate_types`` for one purpose."""
+    return company_rate_types(rows, company_types, company, {out: purpose}, at, direction)
 
 
 def valid_rate_request(
@@ -223,9 +238,12 @@ def with_spread(amount: Column, pct: Column) -> Column:
 
 
 def currency_decimals(rows: DataFrame, currencies: DataFrame, ccy: str, out: str) -> DataFrame:
-    """Attach a currency's number of decimals; null for an unknown currency."""
-    side = currencies.select(
-        F.col("cod_divisa").alias(f"__{out}_ccy"), F.col("decimales").cast("int").alias(out)
+    """Attach a currency's number of decimals; null for an unknown currency.
+
+    Of several rows of one currency the one with most decimals counts.
+    """
+    side = currencies.groupBy(F.col("cod_divisa").alias(f"__{out}_ccy")).agg(
+        F.max(F.col("decimales").cast("int")).alias(out)
     )
     return rows.join(side, F.col(ccy) == F.col(f"__{out}_ccy"), "left").drop(f"__{out}_ccy")
 

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# --- fixed values: column names of the tax keys ---
 TAX_KEYS = ("ind_tipo_imp", "cod_impuesto", "cod_esquema", "cod_clasif", "cod_emp_atlas")
 LINE_TAX_KEYS = (
     "rvp_ind_tipo_imp",
@@ -27,6 +28,7 @@ COMPONENT_TAX_KEYS = (
     "cod_clasif_vta_fac",
     "cod_empresa_vta_fac",
 )
+# --- end of fixed values ---
 
 
 def restrict_to_keys(rows: DataFrame, keys: DataFrame, on: dict[str, str]) -> DataFrame:
@@ -43,6 +45,20 @@ def exclude_keys(rows: DataFrame, keys: DataFrame, on: dict[str, str]) -> DataFr
     return rows.join(unwanted, match, "left_anti")
 
 
+def exclude_keys_not_in(
+    rows: DataFrame, keys: DataFrame, on: dict[str, str], nullable: str
+) -> DataFrame:
+    """Drop rows as SQL's NOT IN does, for keys of which one part may be null in ``rows``.
+
+    A row without that part goes if the rest of its key is among ``keys``: whether the whole
+    key is, is unknown. ``keys`` hold no nulls.
+    """
+    rest = {left: right for left, right in on.items() if left != nullable}
+    whole = exclude_keys(rows.filter(F.col(nullable).isNotNull()), keys, on)
+    open_ = exclude_keys(rows.filter(F.col(nullable).isNull()), keys, rest)
+    return whole.unionByName(open_)
+
+
 def first_row(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """One row per key, the first in ``order``.
 
@@ -91,17 +107,33 @@ def dimension_lookup(
     """Attach dimension ``columns`` (dimension name -> output name) under a role.
 
     Calling it twice with different output names plays the same dimension in two
-    roles.
+    roles. Of several rows with one key the smallest by ``columns`` counts, nulls
+    first, so a lookup never multiplies rows.
     """
     role = "__role_" + "_".join(columns.values())
-    side = dimension.select(
-        F.col(dimension_key).alias(role),
-        *[F.col(name).alias(output) for name, output in columns.items()],
+    side = one_row(
+        dimension.select(
+            F.col(dimension_key).alias(role),
+            *[F.col(name).alias(output) for name, output in columns.items()],
+        ),
+        [role],
     )
     left = F.col(key) if isinstance(key, str) else key
     return rows.join(side, left == F.col(role), how).drop(role)
 
 
+def one_row(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: the smallest by the other columns, nulls first."""
+    others = [name for name in rows.columns if name not in keys]
+    if not others:
+        return rows.distinct()
+    return (
+        rows.groupBy(*keys)
+        .agg(F.min(F.struct(*others)).alias("__row"))
+        .select(*keys, *[F.col(f"__row.{name}").alias(name) for name in others])
+    )
+
+
 def within_validity(
     rows: DataFrame,
     ranges: DataFrame,

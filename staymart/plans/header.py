@@ -16,7 +16,7 @@ from staymart.functions.attributes import (
     status_date,
 )
 from staymart.functions.codes import CREATION_EVENT, DESTINATION_LANGUAGE, NO_DESTINATION
-from staymart.operators.lookups import dimension_lookup, first_row, within_validity
+from staymart.operators.lookups import dimension_lookup, first_row, one_row, within_validity
 from staymart.plans.measures import BOOKING_KEY
 
 
@@ -204,23 +204,26 @@ def _named_places(destination: DataFrame) -> DataFrame:
 def hotel_destination(
     hotel_sale: DataFrame, hotel: DataFrame, destination: DataFrame
 ) -> DataFrame:
-    """Destination of the lowest-numbered hotel with a named destination."""
-    placed = dimension_lookup(
+    """Destination of the lowest-numbered hotel with a named destination.
+
+    Hotels get their destination first, so service lines are joined once.
+    """
+    places = dimension_lookup(
+        hotel, _named_places(destination), "izge_cod_destino", "ides_cod_destino",
+        {"nom_destino": "label"}, "inner",
+    ).withColumn("place", F.concat("izge_cod_destino", F.lit("-"), "label"))
+    named = dimension_lookup(
         hotel_sale.select("grec_seq_rec", "rres_seq_reserva", "ghor_seq_hotel"),
-        hotel,
+        places,
         "ghor_seq_hotel",
         "seq_hotel",
-        {"izge_cod_destino": "place"},
-        "inner",
-    )
-    named = dimension_lookup(
-        placed, _named_places(destination), "place", "ides_cod_destino", {"nom_destino": "label"},
+        {"place": "hotel_destination"},
         "inner",
     ).select(
         F.col("grec_seq_rec").alias(BOOKING_KEY[0]),
         F.col("rres_seq_reserva").alias(BOOKING_KEY[1]),
         "ghor_seq_hotel",
-        F.concat("place", F.lit("-"), "label").alias("hotel_destination"),
+        "hotel_destination",
     )
     order = ["ghor_seq_hotel", "hotel_destination"]
     return first_row(named, BOOKING_KEY, order).drop("ghor_seq_hotel")
@@ -287,10 +290,13 @@ def resale_labels(
     booking: DataFrame, resale: DataFrame, conditional_code: str = "RL"
 ) -> DataFrame:
     """Resale label per booking, null without a resale record."""
-    record = resale.select(
-        F.col("seq_rec").alias(BOOKING_KEY[0]),
-        F.col("seq_reserva").alias(BOOKING_KEY[1]),
-        "ind_status",
+    record = one_row(
+        resale.select(
+            F.col("seq_rec").alias(BOOKING_KEY[0]),
+            F.col("seq_reserva").alias(BOOKING_KEY[1]),
+            "ind_status",
+        ),
+        BOOKING_KEY,
     )
     return (
         booking.select(*BOOKING_KEY, "fec_cancelacion")

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staymart.functions.amounts import (
@@ -154,17 +154,18 @@ TAX_TTV_TOMS = [
     Measure("tax_ttv_toms", "payable_en", _SALE_TAX),
     Measure("Tax_TTV_EUR_TOMS", "payable_en", _SALE_TAX, BOOKING_TO_EURO),
 ]
+# Sale lines have no currency of their own: they are in the booking's.
 CLIENT_COMMISSION = [
-    Measure("Client_Commision", "billed_gross", _COMMISSION, LINE_TO_BOOKING),
-    Measure("Client_EUR_Commision", "billed_gross", _COMMISSION, LINE_TO_EURO),
-    Measure("Tax_Client_commision", "billed_tax", _COMMISSION_TAX, LINE_TO_BOOKING),
-    Measure("Tax_Client_EUR_commision", "billed_tax", _COMMISSION_TAX, LINE_TO_EURO),
+    Measure("Client_Commision", "billed_gross", _COMMISSION),
+    Measure("Client_EUR_Commision", "billed_gross", _COMMISSION, BOOKING_TO_EURO),
+    Measure("Tax_Client_commision", "billed_tax", _COMMISSION_TAX),
+    Measure("Tax_Client_EUR_commision", "billed_tax", _COMMISSION_TAX, BOOKING_TO_EURO),
 ]
 CLIENT_RAPPEL = [
-    Measure("client_rappel", "billed_gross", _OVERRIDE, LINE_TO_BOOKING),
-    Measure("Client_EUR_rappel", "billed_gross", _OVERRIDE, LINE_TO_EURO),
-    Measure("tax_client_rappel", "billed_tax", _OVERRIDE, LINE_TO_BOOKING),
-    Measure("tax_Client_EUR_rappel", "billed_tax", _OVERRIDE, LINE_TO_EURO),
+    Measure("client_rappel", "billed_gross", _OVERRIDE),
+    Measure("Client_EUR_rappel", "billed_gross", _OVERRIDE, BOOKING_TO_EURO),
+    Measure("tax_client_rappel", "billed_tax", _OVERRIDE),
+    Measure("tax_Client_EUR_rappel", "billed_tax", _OVERRIDE, BOOKING_TO_EURO),
 ]
 SALE = [*TTV, *TAX_TTV, *TAX_TTV_TOMS, *CLIENT_COMMISSION, *CLIENT_RAPPEL]
 
@@ -257,17 +258,31 @@ def _rows_that_count(measure: Measure) -> str:
     return " AND ".join(tests)
 
 
+UNRATED = ("null", "skip", "raise")
+
+
+def _flags(tests: Sequence[str]) -> Column:
+    """One number whose bit i tells whether test i holds for any row of a group."""
+    bits = " | ".join(f"CASE WHEN {test} THEN {1 << i}L ELSE 0L END" for i, test in enumerate(tests))
+    return F.bit_or(F.expr(bits))
+
+
 def fold(
     header: DataFrame,
     rollup: DataFrame,
     measures: Sequence[Measure],
     convert: Converter | None = None,
     carry: Sequence[str] = (),
+    unrated: str = "null",
 ) -> DataFrame:
     """All measures per booking; 0 where nothing counts, every booking kept.
 
+    A measure with an amount for which there is no rate is null, as what could be added up
+    is not the total; ``unrated`` = "skip" leaves such amounts out, "raise" fails.
     ``carry`` names header columns to pass through.
     """
+    if unrated not in UNRATED:
+        raise ValueError(f"unrated is one of {UNRATED}")
     used = {measure.rate.name: measure.rate for measure in measures if measure.rate}
     early = [rate for rate in HEADER_RATES if rate.name in used]
     late = [rate for rate in used.values() if rate not in HEADER_RATES]
@@ -297,6 +312,16 @@ def fold(
             }
         )
     outputs = [F.max(name).alias(name) for name in carry]
+    # A measure without a rate for an amount, told by its bit: 63 in a number.
+    rated = [measure for measure in measures if measure.rate and unrated != "skip"]
+    bit = {measure.output: (f"__unrated_{i // 63}", i % 63) for i, measure in enumerate(rated)}
+    for at in range(0, len(rated), 63):
+        tests = []
+        for measure in rated[at : at + 63]:
+            missing = f"{measure.rate.name} IS NULL AND {amounts[measure.amount]} <> 0"
+            condition = _rows_that_count(measure)
+            tests.append(f"({condition}) AND {missing}" if condition else missing)
+        outputs.append(_flags(tests).alias(f"__unrated_{at // 63}"))
     for measure in measures:
         amount, condition = amounts[measure.amount], _rows_that_count(measure)
         added = filtered_sum_sql(amount, condition)
@@ -309,7 +334,60 @@ def fold(
         outputs.append(
             F.expr(f"CAST(coalesce({added}, 0) AS {TOTAL_AMOUNT}) AS {measure.output}")
         )
-    return rows.groupBy(*BOOKING_KEY).agg(*outputs)
+    folded = rows.groupBy(*BOOKING_KEY).agg(*outputs)
+    if not rated:
+        return folded
+
+    def checked(name: str) -> Column:
+        if name not in bit:
+            return F.col(name)
+        flags, place = bit[name]
+        bad = F.col(flags).bitwiseAND(1 << place) != 0
+        instead = F.lit(None)
+        if unrated == "raise":
+            instead = F.raise_error(F.concat(F.lit(f"{name}: no rate for booking "), *BOOKING_KEY))
+        return F.when(bad, instead.cast(TOTAL_AMOUNT)).otherwise(F.col(name)).alias(name)
+
+    names = [*BOOKING_KEY, *carry, *[measure.output for measure in measures]]
+    return folded.select(*[checked(name) for name in names])
+
+
+def unrated_amounts(
+    header: DataFrame, rollup: DataFrame, measures: Sequence[Measure], convert: Converter
+) -> DataFrame:
+    """What measures miss for want of a rate: bookings and amount per measure and currency.
+
+    The rates come with the rows, so nothing is looked up twice; an amount of 0 misses nothing.
+    """
+    used = {measure.rate.name: measure.rate for measure in measures if measure.rate}
+    rows = header
+    match = [F.col(key) == F.col(line) for key, line in zip(BOOKING_KEY, ROLLUP_KEY, strict=True)]
+    rows = rows.join(rollup, match)
+    for rate in used.values():
+        rows = convert(rows, rate.source, rate.target, rate.at, rate.name)
+    found = []
+    for measure in measures:
+        if not measure.rate:
+            continue
+        amount = AMOUNTS[measure.amount]
+        missing = f"{measure.rate.name} IS NULL AND {amount} <> 0"
+        condition = _rows_that_count(measure)
+        test = f"({condition}) AND {missing}" if condition else missing
+        found.append(
+            F.when(
+                F.expr(test),
+                F.struct(
+                    F.lit(measure.output).alias("measure"),
+                    F.col(measure.rate.source).alias("currency"),
+                    F.expr(amount).alias("amount"),
+                ),
+            )
+        )
+    rows = rows.select(*BOOKING_KEY, F.explode(F.array_compact(F.array(*found))).alias("m"))
+    per_booking = rows.groupBy(*BOOKING_KEY, "m.measure", "m.currency").agg(F.sum("m.amount").alias("amount"))
+    return per_booking.groupBy("measure", "currency").agg(
+        F.count(F.lit(1)).alias("n_bookings"), F.sum("amount").cast(TOTAL_AMOUNT).alias("amount")
+    )
 
 
 def booking_measures(

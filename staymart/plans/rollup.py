@@ -42,12 +42,14 @@ ROLLUP_KEY = ("line_seq_rec", "line_seq_reserva")
 def rollup_lines(
     lines: DataFrame,
     tax: DataFrame,
-    currency: str,
+    currency: str | None = None,
     explicit_tax: bool = False,
     exclusion: DataFrame | None = None,
 ) -> DataFrame:
     """Sums per (booking, currency, record type, billable, tax regime).
 
+    Without ``currency`` lines are in the booking's.
+
     ``gross`` and ``tax`` are line amounts, ``unit_tax_<k>`` is tax whose unit amount was
     rounded to k places first. Counter-entries are left out, except among recharged
     costs. With ``exclusion`` set, recharged lines of excluded extras go. Columns nobody
@@ -59,7 +61,7 @@ def rollup_lines(
     keys = {
         ROLLUP_KEY[0]: F.col("grec_seq_rec"),
         ROLLUP_KEY[1]: F.col("rres_seq_reserva"),
-        "line_ccy": F.col(currency),
+        **({"line_ccy": F.col(currency)} if currency else {}),
         "record_type": F.col("ind_tipo_registro"),
         "billable": F.coalesce(F.col("ind_facturable") == "S", F.lit(False)),
         "regime": F.when(regime.isin(GENERAL_REGIME, SPECIAL_REGIME), regime),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Sequence
 from datetime import date
 
@@ -37,3 +39,19 @@ def read_extract(
     spark: SparkSession, base: str, run_date: date | str, fmt: str = "parquet"
 ) -> DataFrame:
     return spark.read.format(fmt).load(run_path(base, run_date))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A fresh folder under ``spark.checkpoint.dir``, removed when the driver's file system closes.
+
+    Only a local master may go without the setting; it then gets a temporary folder.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="staymart-")
+    folder = f"{base.rstrip('/')}/staymart-{uuid.uuid4().hex}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return folder

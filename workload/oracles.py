@@ -6,6 +6,7 @@ import re
 
 from workload.tables import HOTEL_PAY_TABLES, oracle_definitions
 
+# --- fixed values: record type -> output names ---
 HOTEL_PAY = {
     "CA": (
         "Agency_commision_hotel_payment",
@@ -59,6 +60,7 @@ HOTEL_PAY = {
         "tax_partner_third_comm_eur",
     ),
 }
+# --- end of fixed values ---
 
 
 def _days(alias: str = "l") -> str:
@@ -115,19 +117,24 @@ REGIME = "l.ind_tipo_regimen || coalesce(l.ind_trfprc, 'N')"
 SALE_TAX = f"coalesce({_dec('l.imp_impuesto')}, {_dec(_amount(UNIT_TAX))})"
 
 
+def _unrated(amount: str, rate: str, value: str) -> str:
+    """Null where an amount has no rate."""
+    return f"CASE WHEN bool_or({amount} <> 0 AND {rate} IS NULL) THEN NULL ELSE {value} END"
+
+
 def _priced(amount: str, rate: str) -> str:
-    """Sum of converted subtotals, 0 for none."""
-    return (
-        f"CAST(coalesce(sum({_dec(f'CAST({amount} AS DOUBLE) * {rate}')}), 0) AS DOUBLE)"
-    )
+    """Sum of converted subtotals, 0 for none, null if one has no rate."""
+    value = f"CAST(coalesce(sum({_dec(f'CAST({amount} AS DOUBLE) * {rate}')}), 0) AS DOUBLE)"
+    return _unrated(amount, rate, value)
 
 
 def _priced_total(amount: str, rate: str) -> str:
     """Converted total, for a rate that is one per booking."""
-    return (
+    value = (
         f"CAST(coalesce({_dec(f'CAST(sum({amount}) AS DOUBLE) * max({rate})')}, 0) "
         "AS DOUBLE)"
     )
+    return _unrated(amount, rate, value)
 
 
 def _plain(amount: str) -> str:
@@ -140,8 +147,6 @@ def _only(condition: str, amount: str) -> str:
 
 def _fx_requests() -> str:
     wanted = [
-        ("l.gdiv_cod_divisa", "b.gdiv_cod_divisa", "b.policy_date", "sale"),
-        ("l.gdiv_cod_divisa", "'EUR'", "b.fec_creacion", "sale"),
         ("l.sdiv_cod_divisa", "b.gdiv_cod_divisa", "b.policy_date", "cost"),
         ("l.sdiv_cod_divisa", "b.gdiv_cod_divisa", "b.fec_creacion", "cost"),
         ("l.sdiv_cod_divisa", "'EUR'", "b.fec_creacion", "cost"),
@@ -281,14 +286,14 @@ _SALE = {
     "tax_ttv_eur": _priced_total(_only(_TAX, "s.tax_gn"), "be.rate"),
     "tax_ttv_toms": _plain(_only(_TAX, "s.tax_en")),
     "Tax_TTV_EUR_TOMS": _priced_total(_only(_TAX, "s.tax_en"), "be.rate"),
-    "Client_Commision": _priced(_only("s.tipo IN ('O', 'V')", "s.billed"), "lb.rate"),
-    "Client_EUR_Commision": _priced(_only("s.tipo IN ('O', 'V')", "s.billed"), "le.rate"),
-    "Tax_Client_commision": _priced(_only("s.tipo = 'O'", "s.billed_tax"), "lb.rate"),
-    "Tax_Client_EUR_commision": _priced(_only("s.tipo = 'O'", "s.billed_tax"), "le.rate"),
-    "client_rappel": _priced(_only("s.tipo = 'D'", "s.billed"), "lb.rate"),
-    "Client_EUR_rappel": _priced(_only("s.tipo = 'D'", "s.billed"), "le.rate"),
-    "tax_client_rappel": _priced(_only("s.tipo = 'D'", "s.billed_tax"), "lb.rate"),
-    "tax_Client_EUR_rappel": _priced(_only("s.tipo = 'D'", "s.billed_tax"), "le.rate"),
+    "Client_Commision": _plain(_only("s.tipo IN ('O', 'V')", "s.billed")),
+    "Client_EUR_Commision": _priced_total(_only("s.tipo IN ('O', 'V')", "s.billed"), "be.rate"),
+    "Tax_Client_commision": _plain(_only("s.tipo = 'O'", "s.billed_tax")),
+    "Tax_Client_EUR_commision": _priced_total(_only("s.tipo = 'O'", "s.billed_tax"), "be.rate"),
+    "client_rappel": _plain(_only("s.tipo = 'D'", "s.billed")),
+    "Client_EUR_rappel": _priced_total(_only("s.tipo = 'D'", "s.billed"), "be.rate"),
+    "tax_client_rappel": _plain(_only("s.tipo = 'D'", "s.billed_tax")),
+    "tax_Client_EUR_rappel": _priced_total(_only("s.tipo = 'D'", "s.billed_tax"), "be.rate"),
 }
 _COSTS = {
     "cost_booking_currency": _priced(_only(f"{_COST} AND s.tipo <> 'SC'", "s.gross"), "lb.rate"),
@@ -351,8 +356,10 @@ FROM component_line GROUP BY seq_rec, seq_reserva, component""",
     CAST(canco_eur + dr_eur AS DOUBLE) AS Tax_Cost_Transfer_pricing_EUR
 FROM (SELECT b.grec_seq_rec, b.seq_reserva, b.decimales,
         coalesce(s.canal, 0) AS canal, coalesce(s.canco, 0) AS canco,
-        coalesce({_dec("CAST(s.canal AS DOUBLE) * be.rate")}, 0) AS canal_eur,
-        coalesce({_dec("CAST(s.canco AS DOUBLE) * be.rate")}, 0) AS canco_eur,
+        CASE WHEN s.canal <> 0 AND be.rate IS NULL THEN NULL
+            ELSE coalesce({_dec("CAST(s.canal AS DOUBLE) * be.rate")}, 0) END AS canal_eur,
+        CASE WHEN s.canco <> 0 AND be.rate IS NULL THEN NULL
+            ELSE coalesce({_dec("CAST(s.canco AS DOUBLE) * be.rate")}, 0) END AS canco_eur,
         {_dec("d.dr_cost")} AS dr, {_dec("d.dr_cost_EUR")} AS dr_eur
     FROM hdr b
     LEFT JOIN (SELECT seq_rec AS rec, seq_reserva AS res, sum(canal) AS canal,
@@ -756,6 +763,23 @@ UNION ALL SELECT 'active_services', count(*) FROM direct""",
     {_without_key("m_tp")}
 FROM attributes d {_join("m_sale")} {_join("m_cost")} {_join("m_agent")} {_join("m_tp")}""",
 }
+QUERIES["windowed_extract"] = f"""SELECT x.* FROM ({QUERIES["full_extract"]}) x
+JOIN booking b ON x.operative_incoming = b.grec_seq_rec AND x.booking_id = b.seq_reserva
+WHERE b.fec_creacion BETWEEN TIMESTAMP {_WINDOW} AND b.fec_modifica BETWEEN TIMESTAMP {_WINDOW}"""
+QUERIES["unrated_amounts"] = "\nUNION ALL\n".join(
+    f"""SELECT '{name}' AS measure, s.ccy AS currency,
+    count(DISTINCT (b.grec_seq_rec, b.seq_reserva)) AS n_bookings, CAST(sum({amount}) AS DOUBLE) AS amount
+FROM {_LINE_RATES.format(sub="cost_sub")}
+WHERE {condition} AND {amount} <> 0 AND {rate} IS NULL GROUP BY s.ccy"""
+    for name, condition, amount, rate in (
+        ("cost_booking_currency", f"{_COST} AND s.tipo <> 'SC'", "s.gross", "lb.rate"),
+        ("cost_eur_currency", f"{_COST} AND s.tipo <> 'SC'", "s.gross", "le.rate"),
+        ("tax_cost", _COST, "s.tax_gn", "lb.rate"),
+        ("tax_cost_EUR", _COST, "s.tax_gn", "le.rate"),
+        ("tax_cost_TOMS", _COST, "s.tax_en", "lb.rate"),
+        ("tax_cost_EUR_TOMS", _COST, "s.tax_en", "le.rate"),
+    )
+)
 QUERIES["sink_roundtrip"] = QUERIES["date_text_fields"]
 
 

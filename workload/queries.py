@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +16,7 @@ from staymart.operators.lookups import (
     COMPONENT_TAX_KEYS,
     dimension_lookup,
     exclude_keys,
+    exclude_keys_not_in,
     first_row,
     restrict_to_keys,
     tax_lookup,
@@ -31,7 +30,7 @@ from staymart.plans.measure_tables import (
 )
 from staymart.plans.star_sql import star_extract
 from staymart.sources.catalog import date_window, numbered, project
-from staymart.sources.sinks import read_extract, write_extract
+from staymart.sources.sinks import read_extract, shared_folder, write_extract
 from workload.tables import Tables
 
 WINDOW = ("1996-01-01 00:00:00", "1998-12-31 23:59:59")
@@ -69,7 +68,7 @@ def _exclusion(t: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def _sale(t: Mapping[str, DataFrame]) -> DataFrame:
-    return rollup.rollup_lines(t["sale"], t["tax"], "gdiv_cod_divisa", explicit_tax=True)
+    return rollup.rollup_lines(t["sale"], t["tax"], explicit_tax=True)
 
 
 def _cost(t: Mapping[str, DataFrame]) -> DataFrame:
@@ -208,7 +207,7 @@ def scalar_functions(t: Tables) -> DataFrame:
 
 def fx_date_policy(t: Tables) -> DataFrame:
     policy = measures.measure_header(
-        t["booking"], t["interface"], t["currency"], measures.CLIENT_RAPPEL
+        t["booking"], t["interface"], t["currency"], measures.COST
     )
     return policy.select(*KEY, _text("policy_date"))
 
@@ -284,7 +283,7 @@ def campaign_exclusion_set(t: Tables) -> DataFrame:
 def anti_join_not_in(t: Tables) -> DataFrame:
     on = dict(zip(["seq_rec", "seq_reserva", "ord_extra"], EXCLUDED_KEY, strict=True))
     return (
-        exclude_keys(t["canco_extra"], _exclusion(t), on)
+        exclude_keys_not_in(t["canco_extra"], _exclusion(t), on, "ord_extra")
         .groupBy("seq_rec", "seq_reserva")
         .agg(F.count(F.lit(1)).alias("n_lines"), _exact(F.col("imp_venta"), "sale_amount"))
     )
@@ -415,15 +414,13 @@ def asof_rate(t: Tables) -> DataFrame:
 
 def asof_next_type(t: Tables) -> DataFrame:
     rows = header.with_offices(t["booking"], t["receptive"])
-    for purpose in ("R", "C", "L", "A"):
-        rows = exchange.company_rate_type(
-            rows,
-            t["company_rate_type"],
-            "invoicing_company",
-            F.lit(purpose),
-            "fec_creacion",
-            f"rate_type_{purpose.lower()}",
-        )
+    rows = exchange.company_rate_types(
+        rows,
+        t["company_rate_type"],
+        "invoicing_company",
+        {f"rate_type_{purpose.lower()}": F.lit(purpose) for purpose in ("R", "C", "L", "A")},
+        "fec_creacion",
+    )
     return rows.select(*KEY, "rate_type_r", "rate_type_c", "rate_type_l", "rate_type_a")
 
 
@@ -521,6 +518,12 @@ def union_distinct_literal(t: Tables) -> DataFrame:
     return transfer.distinct_subtotals(rows, "canal", "canal_distinct")
 
 
+def unrated_amounts(t: Tables) -> DataFrame:
+    wanted = measures.COST
+    header_rows = measures.measure_header(t["booking"], t["interface"], t["currency"], wanted)
+    return measures.unrated_amounts(header_rows, _cost(t), wanted, _converter(t))
+
+
 def _transfer(*columns: str) -> Callable[[Tables], DataFrame]:
     def run(t: Tables) -> DataFrame:
         priced = transfer.transfer_pricing(
@@ -555,8 +558,7 @@ def final_projection_query(t: Tables) -> DataFrame:
 
 
 def sink_roundtrip(t: Tables) -> DataFrame:
-    base = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    base = f"{base.rstrip('/')}/staymart_{uuid.uuid4().hex}"
+    base = shared_folder(t.spark)
     rows = date_text_fields(t)
     write_extract(rows, base, "2017-03-26")
     return read_extract(t.spark, base, "2017-03-26")
@@ -564,16 +566,16 @@ def sink_roundtrip(t: Tables) -> DataFrame:
 
 def stage_counts(t: Tables) -> DataFrame:
     bookings = t["booking"].select(*KEY, "gtto_seq_ttoo", "cod_pais_cliente")
-    market = header.with_market(bookings, t["ttoo"], t["country"])
-    events = market.join(header.first_event(t["booking_information"]), KEY, "left")
-    services = events.join(header.active_services(t["hotel_sale"]), KEY, "left")
+    events = header.first_event(t["booking_information"])
+    services = header.active_services(t["hotel_sale"])
     return extract.stage_counts(
+        bookings,
         [
-            ("bookings", bookings),
-            ("market", market),
-            ("first_event", events),
-            ("active_services", services),
-        ]
+            ("bookings", lambda rows: rows),
+            ("market", lambda rows: header.with_market(rows, t["ttoo"], t["country"])),
+            ("first_event", lambda rows: rows.join(events, KEY, "left")),
+            ("active_services", lambda rows: rows.join(services, KEY, "left")),
+        ],
     )
 
 
@@ -581,6 +583,11 @@ def full_extract(t: Tables) -> DataFrame:
     return _dates_as_text(extract.full_extract(t, _converter(t)))
 
 
+def windowed_extract(t: Tables) -> DataFrame:
+    window = date_window(t["booking"], *WINDOW, on=("fec_modifica", "fec_creacion"))
+    return _dates_as_text(extract.windowed_extract(t, window, _converter(t)))
+
+
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "scan_projected": scan_projected,
     "scan_date_window": scan_date_window,
@@ -622,6 +629,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "client_commission": _fold(_sale, measures.CLIENT_COMMISSION),
     "client_rappel": _fold(_sale, measures.CLIENT_RAPPEL),
     "cost_measures": _fold(_cost, measures.COST),
+    "unrated_amounts": unrated_amounts,
     "gsa_commission": _fold(
         lambda t: rollup.rollup_commissions(t["commission"]), measures.AGENT
     ),
@@ -643,6 +651,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "sink_roundtrip": sink_roundtrip,
     "stage_counts": stage_counts,
     "full_extract": full_extract,
+    "windowed_extract": windowed_extract,
 }
 
 

@@ -143,7 +143,7 @@ def _component() -> str:
     l_extendedprice AS imp_venta,
     l_extendedprice * 0.8 AS imp_coste,
     {tax},
-    CAST(l_linenumber AS BIGINT) AS ord_extra"""
+    CASE WHEN l_suppkey % 11 <> 0 THEN CAST(l_linenumber AS BIGINT) END AS ord_extra"""
 
 
 def definitions(d: Dialect) -> dict[str, str]:
