@@ -30,9 +30,9 @@ from pyspark.sql.window import Window
 from .scratch import keep
 
 SHARD, BLOCK = 8192, 1024
-DEGREE, BEAM, ALPHA = 24, 48, 1.2
+DEGREE, BEAM, ALPHA = 24, 36, 1.2
 SEARCH_BEAM = 160
-_BATCH, _EXPAND, _POOL = 256, 4, 64
+_BATCH, _EXPAND, _POOL = 256, 4, 48
 
 
 @dataclass
