@@ -183,7 +183,8 @@ def posting_table(
     only: Broadcast | None = None,
 ) -> DataFrame:
     """(word, c1, parity, size, place, doc) per prefix word of a class, for the class's first
-    document in a task; with ``only``, a bitmap of words, just for those, with the class's set.
+    document in a task; with ``only``, a bitmap of words, just for those, and, with a null
+    word, (c1, c2, words) of their classes.
 
     Postings tell a class by c1 alone. Should two classes share it, both are verified.
     """
@@ -201,7 +202,7 @@ def posting_table(
                 rank = _word_values(chunk)
                 rank |= level[(rank >> np.uint64(56 - bits)).astype(np.int64)].astype(np.uint64) << np.uint64(56)
                 values, of, sizes = _distinct(rank, cut.bounds)
-                one, _ = _class_of(values, sizes)
+                one, two = _class_of(values, sizes)
                 starts = np.cumsum(sizes) - sizes
                 place = np.arange(len(values)) - starts[of]
                 pick = (sizes >= smallest)[of] & (place < prefix_length(sizes, threshold)[of]) & (values >> np.uint64(56) > 1)
@@ -232,19 +233,27 @@ def posting_table(
                 if only is None:
                     yield pa.RecordBatch.from_arrays(columns, _POSTING_NAMES)
                 else:
-                    for part in range(0, len(at), 10_000):
-                        rows = at[part : part + 10_000]
-                        yield pa.RecordBatch.from_arrays(
-                            [*(c.slice(part, 10_000) for c in columns), _lists(values & _WORD, starts, sizes, rows)],
-                            [*_POSTING_NAMES, "words"],
-                        )
+                    none = [pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.list_(pa.int64()))]
+                    yield pa.RecordBatch.from_arrays([*columns, *none], _CLASS_NAMES)
+                    for part in range(0, len(earlier), 10_000):
+                        rows = np.array(earlier[part : part + 10_000], np.int64)
+                        n = len(rows)
+                        class_columns = [
+                            pa.nulls(n, pa.int64()),
+                            pa.array(one[rows].view(np.int64)),
+                            *(pa.nulls(n, t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.int64())),
+                            pa.array(two[rows].view(np.int64)),
+                            _lists(values & _WORD, starts, sizes, rows),
+                        ]
+                        yield pa.RecordBatch.from_arrays(class_columns, _CLASS_NAMES)
 
     kept = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = "word long, c1 long, parity long, size int, place int, doc long"
-    return kept.mapInArrow(table, schema if only is None else schema + ", words array<long>")
+    return kept.mapInArrow(table, schema if only is None else schema + ", c2 long, words array<long>")
 
 
 _POSTING_NAMES = ["word", "c1", "parity", "size", "place", "doc"]
+_CLASS_NAMES = [*_POSTING_NAMES, "c2", "words"]
 
 
 def _earlier(seen: dict[int, int], value: int, doc: int) -> bool:
@@ -390,11 +399,12 @@ def repeated_lines(
     left = near.join(matched.select(F.col("c1").alias("y")).distinct(), "y", "left_anti")
     left = keep(left.select("word", "y").distinct())
     only = share(_bitmap(left.select("word").distinct(), map_bits))
-    again = posting_table(docs, levels, doc_id, text, threshold, only)
-    again = again.join(left.select("word").distinct(), "word", "left_semi")
-    again = keep(again.groupBy("word", "c1").agg(*(F.min_by(c, "doc").alias(c) for c in ("parity", "size", "place", "words")), F.min("doc").alias("doc")))
-    y = side(again, "y").join(left.select(F.col("word").alias("y_word"), "y"), ["y_word", "y"], "left_semi")
-    x = side(again, "x")
+    again = keep(posting_table(docs, levels, doc_id, text, threshold, only))
+    of_word = again.where("word IS NOT NULL").join(left.select("word").distinct(), "word", "left_semi")
+    numbers = ("parity", "size", "place")
+    of_word = keep(of_word.groupBy("word", "c1").agg(*(F.first(c).alias(c) for c in numbers), F.min("doc").alias("doc")))
+    y = side(of_word, "y").join(left.select(F.col("word").alias("y_word"), "y"), ["y_word", "y"], "left_semi")
+    x = side(of_word, "x")
     both = F.col("x_size") + F.col("y_size")
     length = F.least("x_size", "y_size") * den >= F.greatest("x_size", "y_size") * num
     # What two sets can share from their first common word on must reach the overlap needed.
@@ -403,9 +413,14 @@ def repeated_lines(
     apart = F.bit_count(F.col("x_parity").bitwiseXOR(F.col("y_parity")))
     parity = (both - apart) * (num + den) >= both * num * 2
     filters = (F.col("x") != F.col("y")) & (F.col("x_doc") <= F.col("y_doc")) & length & position & parity
-    more = y.join(x, (F.col("x_word") == F.col("y_word")) & filters & _similar("x_words", "y_words", threshold)).select("x", "y").distinct()
+    more = y.join(x, (F.col("x_word") == F.col("y_word")) & filters).select("x", "y").distinct()
+    # What was tried before needs no second look.
+    more = keep(more.join(pairs, ["x", "y"], "left_anti"))
+    asked = more.select(F.explode(F.array("x", "y")).alias("c1")).distinct()
+    sets = again.where("word IS NULL").select("c1", "c2", "words").join(asked, "c1", "left_semi").dropDuplicates(["c1", "c2"])
+    sets = keep(sets.join(classes.drop("n"), ["c1", "c2"]))
+    more = more.join(side(sets, "x"), "x").join(side(sets, "y"), "y").where(_similar("x_words", "y_words", threshold))
     names = classes.select("c1", "c2", "first")
-    more = more.join(side(names, "x"), "x").join(side(names, "y"), "y")
     matched = matched.union(_later(more)).distinct()
 
     own = classes.where("n > 1").select("c1", "c2", "first", F.lit(False).alias("matched"))

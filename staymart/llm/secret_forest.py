@@ -50,7 +50,7 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
 
     rows = d.where((F.length(word) >= 16) & word.rlike(_RUN)).select(
         "doc_id", "path", "word_no", word.alias("word"),
-        F.concat_ws(" ", near(-2), near(-1)).alias("before"), near(1).alias("after"),
+        F.trim(F.concat_ws(" ", near(-2), near(-1))).alias("before"), near(1).alias("after"),
         F.explode(F.regexp_extract_all(word, F.lit(f"({_RUN})"), F.lit(1))).alias("candidate"),
     )
     c = F.col("candidate")
