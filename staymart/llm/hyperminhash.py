@@ -13,8 +13,9 @@ Jaccard estimate, corrected for registers that agree by chance, then drops pairs
 standard deviations below the threshold, and whole sets decide.
 
 Pairs inside a band are never all listed: members are linked to a centre first, and only
-pairs whose components still differ follow, so a group of copies costs its size. Of those,
-none is listed that the shingles no other of these documents has rule out.
+pairs whose components still differ follow, so a group of copies costs its size. Those are
+found by their rarest shingles, with prefix, length and positional filter, so that copies too
+far apart from each other aren't listed in pairs either.
 
 Null ids take no part in links; null texts are empty. Rows sharing an id share its decision.
 Other columns may have any name.
@@ -32,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
+from .rarity import RARITY_BITS, bucket_levels
 from .scratch import keep
 from .words import Words, mix, words
 
@@ -239,29 +241,10 @@ def near_duplicates(
         labels = components(links)
 
     now = _labelled(members, labels)
-    # Of each group only those outside its largest component still have unknown links in it.
-    per = now.groupBy("band", "key", "component").agg(F.count("*").alias("m"))
-    main = per.groupBy("band", "key").agg(F.max(F.struct("m", "component")).alias("main"), F.count("*").alias("k"))
-    split = now.join(main.where("k > 1").select("band", "key", "main.component"), ["band", "key"], "left_semi")
-    main = main.where("k > 1").select("band", "key", F.col("main.component").alias("main"))
-    strangers = now.join(main, ["band", "key"]).where("component <> main").drop("main")
-    lone = keep(_lone_shingles(split, sets))
-
-    def side(frame: DataFrame, name: str) -> DataFrame:
-        known = frame.join(lone, "u", "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
-        # Lone shingles are in no intersection and in every union.
-        known = known.where((F.col("n") - F.col("lone")) * 100 >= F.col("n") * percent)
-        return known.select("band", "key", *(F.col(c).alias(f"{c}_{name}") for c in ("u", "n", "component", "lone")))
-
-    most = F.least(F.col("n_a") - F.col("lone_a"), F.col("n_b") - F.col("lone_b"))
-    possible = most * 100 >= (F.col("n_a") + F.col("n_b") - most) * percent
-    pairs = (
-        side(strangers, "a")
-        .join(side(split, "b"), ["band", "key"])
-        .where((F.col("component_a") != F.col("component_b")) & possible)
-        .select(F.least("u_a", "u_b").alias("a"), F.greatest("u_a", "u_b").alias("b"))
-        .distinct()
-    )
+    # Links may be unknown only where the members of a group are of several components.
+    mixed = now.groupBy("band", "key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    split = now.join(mixed, ["band", "key"], "left_semi")
+    pairs = _prefix_pairs(split.select("u", "component").distinct(), sets, percent)
     links = links.union(_linked(pairs, classes, sets, percent))
     labels = components(links)
 
@@ -281,12 +264,46 @@ def near_duplicates(
     )
 
 
-def _lone_shingles(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(u, lone): how many of its shingles none of the other ``members`` has."""
-    held = sets.join(members.select(F.col("u").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    held = held.select(F.col("doc_id").alias("u"), F.explode("shingles").alias("h"))
-    once = held.groupBy("h").agg(F.count("*").alias("m"), F.min("u").alias("u")).where("m = 1")
-    return once.groupBy("u").agg(F.count("*").alias("lone"))
+def _prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of different components that may be similar, by the exact prefix filter.
+
+    Shingles are ordered by how many of the ``members`` (u, component) have them, counted in
+    buckets; two similar sets share one of the rarest of each.
+    """
+    held = keep(sets.join(members, sets["doc_id"] == members["u"]).select("u", "component", "shingles"))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            buckets = batch.column(0).flatten().to_numpy().view(np.uint64) >> np.uint64(64 - RARITY_BITS)
+            there, n = np.unique(buckets.astype(np.int32), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(n)], ["bucket", "n"])
+
+    counts = held.select("shingles").mapInArrow(counted, "bucket int, n long")
+    shared = members.sparkSession.sparkContext.broadcast(bucket_levels(counts, RARITY_BITS))
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column(2).flatten().to_numpy().view(np.uint64)
+            sizes = np.diff(batch.column(2).offsets.to_numpy()).astype(np.int64)
+            level = shared.value[(values >> np.uint64(64 - RARITY_BITS)).astype(np.int64)]
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort((values, level, row))
+            place = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            prefix = sizes - (sizes * percent + 99) // 100 + 1
+            pick = (place < prefix[row]) & (level[order] > 1)
+            at = pa.array(row[pick])
+            columns = [values[order][pick].view(np.int64), sizes[row][pick], place[pick]]
+            names = ["h", "n", "place", "u", "component"]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), batch.column(0).take(at), batch.column(1).take(at)], names)
+
+    rows = held.mapInArrow(rarest, "h long, n long, place long, u long, component long")
+    x, y = (rows.select("h", *(F.col(c).alias(f"{c}_{side}") for c in ("n", "place", "u", "component"))) for side in "xy")
+    both = F.col("n_x") + F.col("n_y")
+    # What two sets can share from their first common shingle on must reach the overlap needed.
+    rest = F.least(F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y"))
+    possible = (F.col("u_x") < F.col("u_y")) & (F.col("component_x") != F.col("component_y"))
+    possible &= _sizes_fit("n_x", "n_y", percent) & (rest * (100 + percent) >= both * percent)
+    return x.join(y, "h").where(possible).select(F.col("u_x").alias("a"), F.col("u_y").alias("b")).distinct()
 
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:

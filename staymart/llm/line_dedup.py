@@ -34,58 +34,31 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .rarity import RARITY_BITS, bucket_levels
 from .scratch import keep
 from .words import Words, lines, mix, words
 
 THRESHOLD = (4, 5)  # a fraction, so that limits are exact
-RARITY_BITS = 22
 #: Buckets of the bitmaps that tell later scans what to look at.
 MAP_BITS = 24
-_SLICE_BITS = 12
 _NO_ID = -(1 << 63)
 _WORD = np.uint64((1 << 56) - 1)
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _sliced(frame: DataFrame, bits: int, level: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
-    """A byte per bucket of (bucket, n): ``2**bits`` bytes, whatever the size of the input."""
-
-    def packed(key: tuple, table: pa.Table) -> pa.Table:
-        out = np.zeros(1 << _SLICE_BITS, np.uint8)
-        out[table["bucket"].to_numpy() & ((1 << _SLICE_BITS) - 1)] = level(table["n"].to_numpy())
-        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "levels": pa.array([out.tobytes()], pa.binary())})
-
-    slices = (
-        frame.groupBy("bucket")
-        .agg(F.sum("n").alias("n"))
-        .withColumn("slice", F.shiftright("bucket", _SLICE_BITS))
-        .groupBy("slice")
-        .applyInArrow(packed, "slice int, levels binary")
-    )
-    out = np.zeros(1 << bits, np.uint8)
-    for number, levels in slices.collect():
-        out[number << _SLICE_BITS : (number + 1) << _SLICE_BITS] = np.frombuffer(levels, np.uint8)
-    return out
-
-
-def _level(n: np.ndarray) -> np.ndarray:
-    grown = 128 + np.floor(4 * np.log2(np.maximum(n, 128) / 128))
-    return np.minimum(255, np.where(n < 128, n, grown))
-
-
 def _bucket(values: np.ndarray, bits: int) -> np.ndarray:
     return (mix(values.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _bitmap(values: DataFrame, bits: int) -> np.ndarray:
-    """A byte per bucket, 1 where the bucket holds a value of the one column of ``values``."""
+    """A byte per bucket, over 0 where the bucket holds a value of the one column of ``values``."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             there = np.unique(_bucket(batch.column(0).to_numpy(), bits)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(np.ones(len(there), np.int64))], ["bucket", "n"])
 
-    return _sliced(values.mapInArrow(hashed, "bucket int, n long"), bits, lambda n: np.ones(len(n), np.uint8))
+    return bucket_levels(values.mapInArrow(hashed, "bucket int, n long"), bits)
 
 
 def _distinct(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -377,7 +350,7 @@ def repeated_lines(
     share = docs.sparkSession.sparkContext.broadcast
     table = keep(line_table(docs, doc_id, text, rarity_bits))
     every = table.where("line IS NOT NULL").drop("bucket", "n")
-    levels = share(_sliced(table.where("line IS NULL").select("bucket", "n"), rarity_bits, _level))
+    levels = share(bucket_levels(table.where("line IS NULL").select("bucket", "n"), rarity_bits))
     at = F.struct("doc_id", "row_key", "line")
     classes = keep(every.where("size > 0").groupBy("c1", "c2").agg(F.min(at).alias("first"), F.count("*").alias("n")))
 

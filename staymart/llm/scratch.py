@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_LOCAL: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -20,9 +21,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local["):
         raise ValueError(f"{SETTING} must name a folder that all executors share")
-    folder = "file://" + tempfile.mkdtemp(prefix="staymart-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = "file://" + tempfile.mkdtemp(prefix="staymart-")
+    return _LOCAL[application]
 
 
 def keep(frame: DataFrame) -> DataFrame:
