@@ -3,7 +3,8 @@
 Numeric policy: a line amount is computed in double precision and quantised once to
 whole millionths, a 64-bit integer. Sums add those integers as decimals, so totals are
 exact and do not depend on the order in which tasks deliver their rows. Results are
-decimals with six places.
+decimals with six places. A line amount of ``LARGEST`` units or more, near the limit of those
+integers, fails whatever the session's settings; it is never cut down to fit.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 TOTAL_AMOUNT = "decimal(28,6)"
 PLACES = 6
 UNIT = 10**PLACES
+LARGEST = 9 * 10**12
 
 # Rounding scales that get their own sum in a line rollup; six places need none.
 SCALES = (0, 1, 2, 3, 4, 5)
@@ -27,12 +29,18 @@ def _double(value: Column) -> Column:
 
 def micros_sql(value: str) -> str:
     """SQL text of ``micros``."""
-    return f"CAST(rint(({value}) * {UNIT}) AS BIGINT)"
+    return (
+        f"CASE WHEN abs({value}) >= {LARGEST}D THEN CAST(raise_error('amount too large') AS BIGINT) "
+        f"ELSE CAST(rint(({value}) * {UNIT}) AS BIGINT) END"
+    )
 
 
 def micros(value: Column) -> Column:
     """A computed amount in millionths, to the nearest."""
-    return F.rint(_double(value) * UNIT).cast("bigint")
+    large = F.abs(_double(value)) >= float(LARGEST)
+    return F.when(large, F.raise_error(F.lit("amount too large")).cast("bigint")).otherwise(
+        F.rint(_double(value) * UNIT).cast("bigint")
+    )
 
 
 def from_micros(value: Column) -> Column:
@@ -46,7 +54,7 @@ def quantise(value: Column) -> Column:
 
 def exact_sum_sql(amount: str, condition: str | None = None) -> str:
     """SQL text summing amounts in millionths to a decimal; null for an empty group."""
-    added = filtered_sum_sql(f"CAST({amount} AS DECIMAL(18,0))", condition)
+    added = filtered_sum_sql(f"CAST({amount} AS DECIMAL(19,0))", condition)
     return f"CAST({added} * 0.000001BD AS {TOTAL_AMOUNT})"
 
 

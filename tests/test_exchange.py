@@ -4,6 +4,7 @@ import random
 from datetime import timedelta
 
 from fixtures import day, table, tables
+from pyspark.sql import functions as F
 
 from staymart.operators import exchange
 from staymart.operators.asof import BACKWARD, FORWARD, asof_lookup, intervals
@@ -42,6 +43,20 @@ def test_asof_lookup_against_brute_force(spark):
         }
 
 
+def test_history_with_any_date_stays_small(spark):
+    history = [("EUR", f"2017-{m:02d}-{d:02d} 00:00:00", float(m)) for m in range(1, 13) for d in (1, 15)]
+    history += [("EUR", "0001-01-01 00:00:00", 0.5), ("EUR", "9999-12-31 00:00:00", 99.0), ("USD", None, 1.0)]
+    frame = spark.createDataFrame(history, "k string, eff string, v double").withColumn("eff", F.col("eff").cast("timestamp"))
+    prepared = intervals(frame, ["k"], "eff")
+    rows = prepared.short.count() + prepared.long.count()
+    assert rows <= 5 * len(history)
+    asked = [("1900-01-01", 0.5), ("2017-03-16", 3.0), ("5000-01-01", 12.0), ("9999-12-31", 99.0)]
+    left = spark.createDataFrame([("EUR", at) for at, _ in asked], "k string, at string")
+    left = left.withColumn("at", F.col("at").cast("timestamp")).withColumn("day", F.col("at").cast("string"))
+    found = asof_lookup(left, prepared, {"k": "k"}, "at", {"v": "out"}).collect()
+    assert {r["day"][:10]: r["out"] for r in found} == dict(asked)
+
+
 def rate(spark, source, target, at, partner=5):
     t = tables(spark)
     rows = spark.createDataFrame(

@@ -10,13 +10,15 @@ import pytest
 from fixtures import NO_TAX, booking, component, day, line, tables
 
 from staymart.operators.exchange import asof_converter
+from staymart.operators import lookups
 from staymart.operators.exclusion import campaign_exclusion
 from staymart.plans import extract, header, measures, rollup, transfer
+from staymart.sources.catalog import SCHEMAS
 
 
 def sale_measures(spark, wanted, **rows):
     t = tables(spark, **rows)
-    sale = rollup.rollup_lines(t["sale"], t["tax"], "gdiv_cod_divisa", explicit_tax=True)
+    sale = rollup.rollup_lines(t["sale"], t["tax"], explicit_tax=True)
     result = measures.booking_measures(t, sale, wanted, asof_converter(t["partner_rate"]))
     return {r["seq_reserva"]: r.asDict() for r in result.collect()}
 
@@ -77,9 +79,7 @@ def test_commission_rounds_the_unit_tax_first(spark):
         [*measures.CLIENT_COMMISSION, *measures.CLIENT_RAPPEL],
         booking=[booking(10), booking(11, gdiv_cod_divisa="GBP"), booking(12, gdiv_cod_divisa="X")],
         sale=[
-            line(n, kind, 0.17, nro_unidades=1000, gdiv_cod_divisa=ccy)
-            for n, ccy in ((10, "USD"), (11, "GBP"), (12, "X"))
-            for kind in ("O", "V", "D")
+            line(n, kind, 0.17, nro_unidades=1000) for n in (10, 11, 12) for kind in ("O", "V", "D")
         ],
     )
     # Unit tax 0.0154545: 0.02 in USD, 0 in GBP, unrounded in an unknown currency.
@@ -88,24 +88,104 @@ def test_commission_rounds_the_unit_tax_first(spark):
     assert float(found[10]["client_rappel"]) == 170
     assert float(found[11]["tax_client_rappel"]) == 0
     assert abs(float(found[12]["tax_client_rappel"]) - 15.454545) < 1e-5
-    assert float(found[12]["Client_EUR_rappel"]) == 0
+    # No rate from X to the euro: no total either.
+    assert found[12]["Client_EUR_rappel"] is None
+    assert float(found[12]["client_rappel"]) == 170
 
 
-def test_line_currency_and_date_policy(spark):
-    line_in_gbp = line(10, "O", 100, gdiv_cod_divisa="GBP")
+def test_sale_lines_are_in_the_booking_currency(spark):
     found = sale_measures(
         spark,
         measures.CLIENT_COMMISSION,
-        booking=[booking(10), booking(11, fint_cod_interface="I2")],
-        sale=[line_in_gbp, {**line_in_gbp, "rres_seq_reserva": 11}],
+        booking=[booking(10), booking(11, gdiv_cod_divisa="GBP")],
+        sale=[line(10, "O", 100), line(11, "O", 100)],
     )
-    # 100 GBP = 200 EUR; to USD at 4 on creation, at 5 on the service date.
-    assert float(found[10]["Client_Commision"]) == 800
-    assert float(found[11]["Client_Commision"]) == 1000
-    assert float(found[10]["Client_EUR_Commision"]) == 200
+    assert "gdiv_cod_divisa" not in SCHEMAS["sale"][1]
+    assert float(found[10]["Client_Commision"]) == 100
+    assert float(found[11]["Client_Commision"]) == 100
+    # USD at 0.25 on creation, GBP at 2.
+    assert float(found[10]["Client_EUR_Commision"]) == 25
     assert float(found[11]["Client_EUR_Commision"]) == 200
 
 
+def test_amounts_without_a_rate_are_not_lost(spark):
+    t = tables(
+        spark,
+        booking=[booking(10), booking(11)],
+        cost=[
+            line(10, "H", 100),
+            line(10, "H", 40, sdiv_cod_divisa="X"),
+            line(10, "H", 0, sdiv_cod_divisa="Y"),
+            line(11, "H", 100),
+            line(11, "H", 0, sdiv_cod_divisa="X"),
+        ],
+    )
+    cost = rollup.rollup_lines(t["cost"], t["tax"], "sdiv_cod_divisa")
+    convert = asof_converter(t["partner_rate"])
+    header = measures.measure_header(t["booking"], t["interface"], t["currency"], measures.COST)
+
+    def totals(**options):
+        rows = measures.fold(header, cost, measures.COST, convert, **options).collect()
+        return {r["seq_reserva"]: r["cost_eur_currency"] for r in rows}
+
+    assert totals()[10] is None and float(totals()[11]) == 25
+    assert float(totals(unrated="skip")[10]) == 25
+    with pytest.raises(Exception, match="no rate for booking"):
+        totals(unrated="raise")
+    missing = measures.unrated_amounts(header, cost, measures.COST, convert).collect()
+    found = {(r["measure"], r["currency"]): (r["n_bookings"], float(r["amount"])) for r in missing}
+    assert found["cost_eur_currency", "X"] == (1, 40)
+    assert not any(currency == "Y" for _, currency in found)
+    # Converted and unrated amounts make up all lines.
+    assert 25 / 0.25 + 40 == 140
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_large_amounts_are_exact_or_fail(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        found = sale_measures(
+            spark, measures.TTV, booking=[booking(10)],
+            sale=[line(10, "H", 100_000_000_000, nro_unidades=20), line(10, "H", 5)],
+        )
+        assert found[10]["TTV_booking_currency"] == 2_000_000_000_005
+        with pytest.raises(Exception, match="amount too large"):
+            sale_measures(
+                spark, measures.TTV, booking=[booking(10)],
+                sale=[line(10, "H", 100_000_000_000, nro_unidades=200)],
+            )
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_repeated_lookup_rows_multiply_nothing(spark):
+    t = dict(
+        tables(
+            spark,
+            booking=[booking(n) for n in (10, 11)],
+            sale=[line(n, "O", 100) for n in (10, 11)],
+            resale=[{"seq_rec": 1, "seq_reserva": 10, "ind_status": "RR"}],
+        )
+    )
+    convert = asof_converter(t["partner_rate"])
+    once = {r["booking_id"]: r for r in extract.full_extract(t, convert).collect()}
+    for name in ("currency", "interface", "receptive", "resale", "ttoo", "country", "daily_rate"):
+        t[name] = t[name].union(t[name])
+    twice = extract.full_extract(t, convert).collect()
+    assert len(twice) == 2
+    assert all(r == once[r["booking_id"]] for r in twice)
+
+
+def test_not_in_drops_what_it_cannot_tell(spark):
+    rows = spark.createDataFrame([(1, 1), (1, 2), (1, None), (2, 1), (2, None)], "a int, b int")
+    keys = spark.createDataFrame([(1, 1)], "x int, y int")
+    on = {"a": "x", "b": "y"}
+    assert sorted(tuple(r) for r in lookups.exclude_keys(rows, keys, on).collect() if r.b) == [(1, 2), (2, 1)]
+    found = lookups.exclude_keys_not_in(rows, keys, on, "b").collect()
+    assert sorted(map(str, (tuple(r) for r in found))) == ["(1, 2)", "(2, 1)", "(2, None)"]
+    assert lookups.exclude_keys_not_in(rows, keys.where("false"), on, "b").count() == 5
+
+
 def test_cost_and_hotel_payment(spark):
     found = cost_measures(
         spark,

@@ -29,6 +29,13 @@ def test_jdbc_source_splits_large_tables():
     assert options["dbtable"] == "warehouse.dwc_bok_t_sale"
     assert options["partitionColumn"] == "rres_seq_reserva" and options["numPartitions"] == "64"
     assert "partitionColumn" not in jdbc_options(source, "tax")
+    assert "imp_unitario decimal(18,6)" in options["customSchema"]
+    with pytest.raises(ValueError, match="split"):
+        jdbc_options(source, "cost")
+
+
+def test_shared_folders_differ(spark):
+    assert sinks.shared_folder(spark) != sinks.shared_folder(spark)
 
 
 def test_every_schema_parses(spark):
