@@ -6,12 +6,13 @@ similarity of ``threshold`` or more; what happens to that earlier line doesn't m
 without a word stay. Equal sets are one class, found by a 128-bit sum; only the classes enter
 the join. It orders a class's words by rarity and indexes its prefix, keeps pairs that the
 length and the positional filter allow, and verifies the Jaccard similarity on the sets. A
-posting also has 64 parities of its set: sets differ in as many words as these do at least.
+posting also has 128 parities of its set: sets differ in as many words as these do at least.
 
 A class needs one earlier match only, so a group of near copies isn't listed in pairs. The
 postings of a word pass through a task in document order, and each class takes from them the
-nearest earlier class that no filter rules out. Where verification refuses those, the class is
-compared with all classes of the words concerned. Memory in that task grows with one word's
+``NEAREST`` earlier classes that no filter rules out, and notes if there are more. The first
+are verified, then, where these fail, the others; a class that has more is compared with all
+classes of the words concerned. Memory in that task grows with one word's
 postings, 40 bytes each, not with their pairs.
 
 Rarity comes from counts of hashed words over all lines, in ``2**rarity_bits`` buckets; any
@@ -39,6 +40,7 @@ from .scratch import keep
 from .words import Words, lines, mix, words
 
 THRESHOLD = (4, 5)  # a fraction, so that limits are exact
+NEAREST = 5
 #: Buckets of the bitmaps that tell later scans what to look at.
 MAP_BITS = 24
 _NO_ID = -(1 << 63)
@@ -155,7 +157,7 @@ def posting_table(
     threshold: tuple[int, int],
     only: Broadcast | None = None,
 ) -> DataFrame:
-    """(word, c1, parity, size, place, doc) per prefix word of a class, for the class's first
+    """(word, c1, parity, parity2, size, place, doc) per prefix word of a class, for the class's first
     document in a task; with ``only``, a bitmap of words, just for those, and, with a null
     word, (c1, c2, words) of their classes.
 
@@ -190,15 +192,18 @@ def posting_table(
                 wanted = np.zeros(len(sizes), bool)
                 wanted[earlier] = True
                 pick &= wanted[of]
-                parity = np.zeros(len(sizes), np.uint64)
+                parities = np.zeros((2, len(sizes)), np.uint64)
                 full = sizes > 0
                 if full.any():
-                    parity[full] = np.bitwise_xor.reduceat(np.uint64(1) << (values & np.uint64(63)), starts[full])
+                    bit = np.uint64(1) << (values & np.uint64(63))
+                    second = (values & np.uint64(64)) > 0
+                    for half, words_of in enumerate((np.where(second, 0, bit), np.where(second, bit, 0))):
+                        parities[half, full] = np.bitwise_xor.reduceat(words_of.astype(np.uint64), starts[full])
                 at = of[pick]
                 columns = [
                     pa.array(values[pick].view(np.int64)),
                     pa.array(one[at].view(np.int64)),
-                    pa.array(parity[at].view(np.int64)),
+                    *(pa.array(parity[at].view(np.int64)) for parity in parities),
                     pa.array(sizes[at].astype(np.int32)),
                     pa.array(place[pick].astype(np.int32)),
                     pa.array(doc[at]),
@@ -214,18 +219,18 @@ def posting_table(
                         class_columns = [
                             pa.nulls(n, pa.int64()),
                             pa.array(one[rows].view(np.int64)),
-                            *(pa.nulls(n, t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.int64())),
+                            *(pa.nulls(n, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())),
                             pa.array(two[rows].view(np.int64)),
                             _lists(values & _WORD, starts, sizes, rows),
                         ]
                         yield pa.RecordBatch.from_arrays(class_columns, _CLASS_NAMES)
 
     kept = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    schema = "word long, c1 long, parity long, size int, place int, doc long"
+    schema = "word long, c1 long, parity long, parity2 long, size int, place int, doc long"
     return kept.mapInArrow(table, schema if only is None else schema + ", c2 long, words array<long>")
 
 
-_POSTING_NAMES = ["word", "c1", "parity", "size", "place", "doc"]
+_POSTING_NAMES = ["word", "c1", "parity", "parity2", "size", "place", "doc"]
 _CLASS_NAMES = [*_POSTING_NAMES, "c2", "words"]
 
 
@@ -246,14 +251,14 @@ def _lists(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rows: np.n
 
 
 def nearest_earlier(postings: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """(word, y, x): for a class y of a word's postings the nearest x in document order that may
-    be similar and isn't of a later document."""
+    """(word, y, x, nth): for a class y of a word's postings the nearest x in document order that
+    may be similar and aren't of a later document; nth from 0, NEAREST if there may be more."""
     num, den = threshold
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[np.ndarray] | None = None
         for batch in batches:
-            columns = [batch.column(i).to_numpy() for i in range(6)]
+            columns = [batch.column(i).to_numpy() for i in range(7)]
             if rest is not None:
                 columns = [np.concatenate(p) for p in zip(rest, columns, strict=True)]
             word = columns[0]
@@ -268,13 +273,14 @@ def nearest_earlier(postings: DataFrame, threshold: tuple[int, int]) -> DataFram
             yield from found(rest)
 
     def found(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        word, c1, parity, size, place, doc = columns
+        word, c1, parity, parity2, size, place, doc = columns
         size, place = size.astype(np.int64), place.astype(np.int64)
-        at_word, at_y, at_x = [], [], []
+        at_word, at_y, at_x, at_nth = [], [], [], []
+        have = np.zeros(len(word), np.int32)
 
         def look(waiting: np.ndarray, step: int, within: np.ndarray | None) -> np.ndarray:
-            """Rows of ``waiting`` that found none in steps over the rows of their word."""
-            none, lag = [], step
+            """Rows of ``waiting`` left with too few after steps over the rows of their word."""
+            few, lag = [], step
             while len(waiting):
                 other = waiting + lag
                 inside = (other >= 0) & (other < len(word))
@@ -282,7 +288,7 @@ def nearest_earlier(postings: DataFrame, threshold: tuple[int, int]) -> DataFram
                 same[inside] = word[other[inside]] == word[waiting[inside]]
                 if within is not None:
                     same[same] = within[other[same]] == within[waiting[same]]
-                none.append(waiting[~same])
+                few.append(waiting[~same])
                 waiting, other = waiting[same], other[same]
                 a, b = size[other], size[waiting]
                 both = a + b
@@ -290,22 +296,27 @@ def nearest_earlier(postings: DataFrame, threshold: tuple[int, int]) -> DataFram
                 good &= np.minimum(a - place[other], b - place[waiting]) * (num + den) >= both * num
                 good &= c1[other] != c1[waiting]
                 some = np.flatnonzero(good)
-                apart = np.bitwise_count((parity[other[some]] ^ parity[waiting[some]]).view(np.uint64)).astype(np.int64)
+                apart = np.zeros(len(some), np.int64)
+                for p in (parity, parity2):
+                    apart += np.bitwise_count((p[other[some]] ^ p[waiting[some]]).view(np.uint64))
                 good[some] = (both[some] - apart) * (num + den) >= both[some] * num * 2
                 at_word.append(word[waiting[good]])
                 at_y.append(c1[waiting[good]])
                 at_x.append(c1[other[good]])
-                waiting = waiting[~good]
+                at_nth.append(have[waiting[good]])
+                have[waiting[good]] += 1
+                waiting = waiting[have[waiting] <= NEAREST]
                 lag += step
-            return np.concatenate(none) if none else waiting
+            return np.concatenate(few) if few else waiting
 
         # Lines of one document stand in no order here, so those after are looked at too.
         look(np.sort(look(np.arange(len(word)), -1, None)), 1, doc)
-        out = [pa.array(np.concatenate(p)) if p else pa.array([], pa.int64()) for p in (at_word, at_y, at_x)]
-        yield pa.RecordBatch.from_arrays(out, ["word", "y", "x"])
+        if at_word:
+            out = [pa.array(np.concatenate(p)) for p in (at_word, at_y, at_x, at_nth)]
+            yield pa.RecordBatch.from_arrays(out, ["word", "y", "x", "nth"])
 
     ordered = postings.repartition("word").sortWithinPartitions("word", "doc", "c1")
-    return ordered.select("word", "c1", "parity", "size", "place", "doc").mapInArrow(stream, "word long, y long, x long")
+    return ordered.select(*_POSTING_NAMES).mapInArrow(stream, "word long, y long, x long, nth int")
 
 
 def class_sets(docs: DataFrame, wanted: Broadcast, text: str) -> DataFrame:
@@ -355,26 +366,39 @@ def repeated_lines(
     classes = keep(every.where("size > 0").groupBy("c1", "c2").agg(F.min(at).alias("first"), F.count("*").alias("n")))
 
     near = keep(nearest_earlier(posting_table(docs, levels, doc_id, text, threshold), threshold))
-    # Of the candidates that its words give a class, two are tried.
-    tried = near.groupBy("y").agg(F.min("x").alias("a"), F.max("x").alias("b"))
-    pairs = keep(tried.select("y", F.explode(F.array_distinct(F.array("a", "b"))).alias("x")))
-    asked = pairs.select(F.explode(F.array("x", "y")).alias("c1")).distinct()
-    sets = class_sets(docs, share(_bitmap(asked, map_bits)), text).dropDuplicates(["c1", "c2"])
-    sets = keep(sets.join(asked, "c1", "left_semi").join(classes.drop("n"), ["c1", "c2"]))
+    names = classes.select("c1", "c2", "first")
 
     def side(frame: DataFrame, name: str) -> DataFrame:
         return frame.select(*(F.col(c).alias(name if c == "c1" else f"{name}_{c}") for c in frame.columns))
 
-    linked = pairs.join(side(sets, "x"), "x").join(side(sets, "y"), "y").where(_similar("x_words", "y_words", threshold))
-    matched = keep(_later(linked))
+    # A class that takes part in any pair; its set is fetched once.
+    asked = near.select(F.explode(F.array("x", "y")).alias("c1")).distinct()
+    sets = class_sets(docs, share(_bitmap(asked, map_bits)), text).dropDuplicates(["c1", "c2"])
+    sets = keep(sets.join(asked, "c1", "left_semi").join(names, ["c1", "c2"]))
+
+    def later(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        both = pairs.join(side(sets, "x"), "x").join(side(sets, "y"), "y")
+        return keep(_later(both.where(_similar("x_words", "y_words", threshold))))
+
+    # Of the nearest that its words give a class two are tried first.
+    tried = near.where("nth = 0").groupBy("y").agg(F.min("x").alias("a"), F.max("x").alias("b"))
+    tried = keep(tried.select("y", F.explode(F.array_distinct(F.array("a", "b"))).alias("x")))
+    matched = later(tried, sets)
 
-    # Classes with candidates of which none held: against all of the words concerned.
-    left = near.join(matched.select(F.col("c1").alias("y")).distinct(), "y", "left_anti")
-    left = keep(left.select("word", "y").distinct())
+    def unmatched(frame: DataFrame) -> DataFrame:
+        return frame.join(matched.select(F.col("c1").alias("y")).distinct(), "y", "left_anti")
+
+    others = keep(unmatched(near).select("x", "y").distinct().join(tried, ["x", "y"], "left_anti"))
+    matched = keep(matched.union(later(others, sets)).distinct())
+    tried = tried.union(others)
+
+    # Classes that may have more candidates, of which none held so far.
+    more = near.where(F.col("nth") == NEAREST).select("y").distinct()
+    left = keep(unmatched(near.join(more, "y", "left_semi")).select("word", "y").distinct())
     only = share(_bitmap(left.select("word").distinct(), map_bits))
     again = keep(posting_table(docs, levels, doc_id, text, threshold, only))
     of_word = again.where("word IS NOT NULL").join(left.select("word").distinct(), "word", "left_semi")
-    numbers = ("parity", "size", "place")
+    numbers = ("parity", "parity2", "size", "place")
     of_word = keep(of_word.groupBy("word", "c1").agg(*(F.first(c).alias(c) for c in numbers), F.min("doc").alias("doc")))
     y = side(of_word, "y").join(left.select(F.col("word").alias("y_word"), "y"), ["y_word", "y"], "left_semi")
     x = side(of_word, "x")
@@ -383,18 +407,17 @@ def repeated_lines(
     # What two sets can share from their first common word on must reach the overlap needed.
     rest = F.least(F.col("x_size") - F.col("x_place"), F.col("y_size") - F.col("y_place"))
     position = rest * (num + den) >= both * num
-    apart = F.bit_count(F.col("x_parity").bitwiseXOR(F.col("y_parity")))
+    apart = sum(
+        (F.bit_count(F.col(f"x_{p}").bitwiseXOR(F.col(f"y_{p}"))) for p in ("parity", "parity2")), F.lit(0)
+    )
     parity = (both - apart) * (num + den) >= both * num * 2
     filters = (F.col("x") != F.col("y")) & (F.col("x_doc") <= F.col("y_doc")) & length & position & parity
     more = y.join(x, (F.col("x_word") == F.col("y_word")) & filters).select("x", "y").distinct()
     # What was tried before needs no second look.
-    more = keep(more.join(pairs, ["x", "y"], "left_anti"))
+    more = keep(more.join(tried, ["x", "y"], "left_anti"))
     asked = more.select(F.explode(F.array("x", "y")).alias("c1")).distinct()
     sets = again.where("word IS NULL").select("c1", "c2", "words").join(asked, "c1", "left_semi").dropDuplicates(["c1", "c2"])
-    sets = keep(sets.join(classes.drop("n"), ["c1", "c2"]))
-    more = more.join(side(sets, "x"), "x").join(side(sets, "y"), "y").where(_similar("x_words", "y_words", threshold))
-    names = classes.select("c1", "c2", "first")
-    matched = matched.union(_later(more)).distinct()
+    matched = matched.union(later(more, keep(sets.join(names, ["c1", "c2"])))).distinct()
 
     own = classes.where("n > 1").select("c1", "c2", "first", F.lit(False).alias("matched"))
     known = own.union(matched.join(names, ["c1", "c2"]).select("c1", "c2", "first", F.lit(True)))
