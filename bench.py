@@ -32,6 +32,7 @@ HEADLINES = [
     "measure_star_join",
     "sql_star_extract",
     "full_extract",
+    "windowed_extract",
 ]
 
 
