@@ -1,31 +1,33 @@
 """Hashes of the words of a whole Arrow column of texts, without a Python object per word.
 
 A word is a run of bytes other than space and 0x09-0x0D, with A-Z in lower case. Its hash is
-a polynomial over random byte values modulo 2**64, read off running sums, then mixed; that of
+a polynomial of its bytes at a random odd number modulo 2**64, read off running sums, then mixed; that of
 a chance collision between two words is near 2**-58.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 MAX_ROWS = 1 << 20
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
-_BYTE = _RANDOM.integers(0, 1 << 64, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = int(_RANDOM.integers(0, 1 << 62, dtype=np.uint64)) * 8 + 5
-_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_BYTE = _BYTE[_LOWER]
 _NEWLINE = 10
-#: Bytes that stand between runs of letters; every byte of a non-ASCII character counts as a letter.
-_NO_LETTER = np.array([not (b >= 128 or chr(b).isalpha()) for b in range(256)])
+
+
+def _no_space(text: np.ndarray) -> np.ndarray:
+    return (text != 32) & ((text - np.uint8(9)) > 4)
+
+
+def _letters(text: np.ndarray) -> np.ndarray:
+    """Letters; every byte of a non-ASCII character counts as one."""
+    return (text >= 128) | (((text | np.uint8(32)) - np.uint8(97)) < 26)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -101,30 +103,32 @@ def words(column: pa.Array, chunk_bytes: int = CHUNK_BYTES, letters: bool = Fals
     while first < n:
         last = int(np.searchsorted(offsets, offsets[first] + chunk_bytes, "right")) - 1
         last = min(n, first + MAX_ROWS, max(last, first + 1))
-        yield _chunk(data[offsets[first] : offsets[last]], offsets[first : last + 1], first, _NO_LETTER if letters else _SPACE)
+        yield _chunk(data[offsets[first] : offsets[last]], offsets[first : last + 1], first, _letters if letters else _no_space)
         first = last
 
 
-def _chunk(text: np.ndarray, offsets: np.ndarray, first: int, between: np.ndarray) -> Words:
+def _chunk(text: np.ndarray, offsets: np.ndarray, first: int, inside: Callable[[np.ndarray], np.ndarray]) -> Words:
     offsets = offsets - offsets[0]
     rows, n = len(offsets) - 1, len(text)
     if n == 0:
         none = np.zeros(0, np.int64)
-        return Words(first, rows, none.astype(np.uint64), np.zeros(rows + 1, np.int64), none, text, offsets, none, none)
-    solid = ~between[text]
-    begins, ends = solid.copy(), solid.copy()
-    begins[1:] &= ~solid[:-1]
-    ends[:-1] &= ~solid[1:]
-    edges = offsets[:-1]
-    edges = edges[(edges < n) & (offsets[1:] > edges)]
-    begins[edges] = solid[edges]
-    before = edges[edges > 0] - 1
-    ends[before] = solid[before]
-    starts = np.flatnonzero(begins)
-    stops = np.flatnonzero(ends) + 1
+        return Words(first, rows, none.astype(np.uint64), np.zeros(rows + 1, np.int64), none, text, offsets, none, np.zeros(1, np.uint64))
+    solid = inside(text)
+    turns = np.flatnonzero(solid[1:] != solid[:-1]) + 1  # where words begin and end, in turn
+    edges = np.unique(offsets[1:-1])
+    edges = edges[(edges > 0) & (edges < n)]
+    # A row that ends in a word before one that begins with one: the word ends, another begins.
+    joined = edges[solid[edges - 1] & solid[edges]]
+    turns = np.insert(turns, np.repeat(np.searchsorted(turns, joined), 2), np.repeat(joined, 2))
+    turns = np.concatenate([[0] * bool(solid[0]), turns, [n] * bool(solid[-1])]).astype(np.int64)
+    starts, stops = turns[0::2], turns[1::2]
     up, down = _tables(n + 1)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[text] * up[:n], out=sums[1:])
+    capital = (text - np.uint8(65)) < 26
+    weighted = (text + (capital.view(np.uint8) << np.uint8(5))).astype(np.uint64)
+    weighted += np.uint64(257)
+    weighted *= up[:n]
+    np.cumsum(weighted, out=sums[1:])
     hashes = mix((sums[stops] - sums[starts]) * down[starts])
     bounds = np.searchsorted(starts, offsets)
     return Words(first, rows, hashes, bounds, starts, text, offsets, stops - starts, sums)
