@@ -7,9 +7,14 @@ both ways. Equal vectors share a node, so a very common vector costs one. For th
 vector gets one more coordinate that makes all lengths equal; the order by distance is then
 the order by inner product.
 
-A shard's graph is one row of bytes. Query vectors are packed in blocks of BLOCK; each block
-meets each shard in a task, which searches with a beam, scores what it found in double
-precision on the original vectors, and returns its best. Per query the best of all shards stay.
+Lengths within a graph differ by a factor of LONGER at most: a shard's vectors are cut into
+bands of length, from the longest down, each with a graph of its own. Vectors of bands of
+fewer than FEW are compared with every query. All is in double precision, on vectors scaled by
+powers of two, so that no length overflows; a score beyond the range of doubles is infinite.
+
+A graph is one row of bytes. Query vectors are packed in blocks of BLOCK; each block meets
+each graph in a task, which searches by inner product with a beam, scores what it found on the
+original vectors, and returns its best. Per query the best of all graphs stay.
 
 Vectors that are null, zero, or hold a null or a non-finite number take no part, nor do rows
 without an id; vectors of another dimension are another space. Ties go to the smaller id. A
@@ -32,23 +37,27 @@ from .scratch import keep
 SHARD, BLOCK = 8192, 1024
 DEGREE, BEAM, ALPHA = 24, 36, 1.2
 SEARCH_BEAM = 160
+LONGER, FEW = 8, 256
 _BATCH, _EXPAND, _POOL = 256, 4, 48
 
 
 @dataclass
 class Graph:
-    points: np.ndarray  # float32, with the extra coordinate
+    points: np.ndarray  # with the extra coordinate, but to search by inner product
     edges: np.ndarray  # int32, -1 where there is none
     entry: int
 
-    def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """(nodes, squared distances) of the ``beam`` nearest found per query; -1 and inf pad."""
+    def search(self, queries: np.ndarray, beam: int, inner: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(nodes, squared distances) of the ``beam`` nearest found per query; -1 and inf pad.
+
+        With ``inner`` the negative inner product stands for the distance.
+        """
         q, rows = len(queries), np.arange(len(queries))[:, None]
         nodes = np.full((q, beam), -1, np.int64)
-        far = np.full((q, beam), np.inf, np.float32)
+        far = np.full((q, beam), np.inf)
         done = np.ones((q, beam), bool)
         nodes[:, 0], done[:, 0] = self.entry, False
-        far[:, 0] = ((queries - self.points[self.entry]) ** 2).sum(1)
+        far[:, 0] = -(queries @ self.points[self.entry]) if inner else ((queries - self.points[self.entry]) ** 2).sum(1)
         seen = np.zeros((q, len(self.points)), bool)
         seen[:, self.entry] = True
         active = np.arange(q)
@@ -77,9 +86,12 @@ class Graph:
             at, col = np.nonzero(fresh)
             found = new[at, col]
             seen[active[at], found] = True
-            gap = self.points[found] - queries[active[at]]
-            d = np.full(new.shape, np.inf, np.float32)
-            d[at, col] = np.einsum("ij,ij->i", gap, gap)
+            d = np.full(new.shape, np.inf)
+            if inner:
+                d[at, col] = -np.einsum("ij,ij->i", self.points[found], queries[active[at]])
+            else:
+                gap = self.points[found] - queries[active[at]]
+                d[at, col] = np.einsum("ij,ij->i", gap, gap)
             all_far = np.hstack([far[active], d])
             all_nodes = np.hstack([nodes[active], new])
             all_done = np.hstack([done[active], ~fresh])
@@ -166,7 +178,7 @@ def _link_back(graph: Graph, batch: np.ndarray, degree: int, alpha: float) -> No
     col = np.arange(len(ends)) - np.searchsorted(ends, nodes)[row]
     inside = col < _POOL
     pool = np.full((len(nodes), _POOL), -1, np.int64)
-    far = np.full((len(nodes), _POOL), np.inf, np.float32)
+    far = np.full((len(nodes), _POOL), np.inf)
     pool[row[inside], col[inside]], far[row[inside], col[inside]] = starts[inside], d[inside]
     few = (pool >= 0).sum(1) <= slots
     edges[nodes[few]] = pool[few, :slots]
@@ -184,27 +196,55 @@ def valid(vector: str) -> Column:
 _PACKED = "dim int, shard int, ids binary, members binary, vectors binary, edges binary, entry int"
 
 
+def _exponents(x: np.ndarray) -> np.ndarray:
+    """Per row the power of two that its largest number is just below."""
+    return np.frexp(np.abs(x).max(1))[1]
+
+
+def _bands(x: np.ndarray) -> list[np.ndarray]:
+    """Rows of ``x`` by bands of length, from the longest down."""
+    e = _exponents(x)
+    log = e + np.log2(np.sqrt((np.ldexp(x, -e[:, None]) ** 2).sum(1)))
+    order = np.argsort(-log, kind="stable")
+    bands, at = [], 0
+    while at < len(order):
+        end = int(np.searchsorted(-log[order], np.log2(LONGER) - log[order[at]], "right"))
+        bands.append(np.sort(order[at:end]))
+        at = end
+    return bands
+
+
 def _pack_shard(key: tuple, table: pa.Table) -> pa.Table:
+    """A row per graph, and one without edges for the vectors that are in none."""
     dim, shard = key[0].as_py(), key[1].as_py()
     ids = table["vec_id"].to_numpy()
     x = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in table["x"].chunks]).reshape(-1, dim)
-    top = table["top"][0].as_py()
     order = np.argsort(ids, kind="stable")
     ids, x = ids[order], x[order]
     distinct, of = np.unique(x, axis=0, return_inverse=True)
-    lift = np.sqrt(np.maximum(top - np.einsum("ij,ij->i", distinct, distinct), 0))
-    graph = build(np.column_stack([distinct, lift]).astype(np.float32))
-    return pa.table(
-        {
-            "dim": pa.array([dim], pa.int32()),
-            "shard": pa.array([shard], pa.int32()),
-            "ids": [ids.astype(np.int64).tobytes()],
-            "members": [of.ravel().astype(np.int32).tobytes()],
-            "vectors": [distinct.tobytes()],
-            "edges": [graph.edges.tobytes()],
-            "entry": pa.array([graph.entry], pa.int32()),
-        }
-    )
+    bands = _bands(distinct)
+    few = [band for band in bands if len(band) < FEW]
+    packed = [(band, True) for band in bands if len(band) >= FEW]
+    if few:
+        packed.append((np.concatenate(few), False))
+    rows: dict[str, list] = {name: [] for name in ("ids", "members", "vectors", "edges", "entry")}
+    for nodes, linked in packed:
+        edges, entry = b"", 0
+        if linked:
+            scaled = np.ldexp(distinct[nodes], -_exponents(distinct[nodes]).max())
+            lengths = np.einsum("ij,ij->i", scaled, scaled)
+            graph = build(np.column_stack([scaled, np.sqrt(lengths.max() - lengths)]))
+            edges, entry = graph.edges.tobytes(), graph.entry
+        place = np.full(len(distinct), -1, np.int32)
+        place[nodes] = np.arange(len(nodes))
+        member = place[of.ravel()]
+        rows["ids"].append(ids[member >= 0].astype(np.int64).tobytes())
+        rows["members"].append(member[member >= 0].tobytes())
+        rows["vectors"].append(distinct[nodes].tobytes())
+        rows["edges"].append(edges)
+        rows["entry"].append(entry)
+    head = {"dim": pa.array([dim] * len(packed), pa.int32()), "shard": pa.array([shard] * len(packed), pa.int32())}
+    return pa.table(head | rows | {"entry": pa.array(rows["entry"], pa.int32())})
 
 
 def _best_of_shard(row: dict, k: int, beam: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -215,14 +255,21 @@ def _best_of_shard(row: dict, k: int, beam: int) -> Iterator[tuple[np.ndarray, n
     of = np.frombuffer(row["members"], np.int32)
     by_node = np.argsort(of, kind="stable")  # members of a node, by id
     first = np.searchsorted(of[by_node], np.arange(len(x) + 1))
-    lift = np.sqrt(np.maximum(row["top"] - np.einsum("ij,ij->i", x, x), 0))
-    graph = Graph(np.column_stack([x, lift]).astype(np.float32), np.frombuffer(row["edges"], np.int32).reshape(len(x), -1), row["entry"])
     q_ids = np.frombuffer(row["q_ids"], np.int64)
     q = np.frombuffer(row["q_vectors"], np.float64).reshape(-1, dim)
-    nodes, _ = graph.search(np.column_stack([q, np.zeros(len(q))]).astype(np.float32), min(beam, len(x)))
+    q_power, power = _exponents(q), _exponents(x)
+    q = np.ldexp(q, -q_power[:, None])
+    nodes = None
+    if row["edges"]:
+        power[:] = power.max()
+    x = np.ldexp(x, -power[:, None])
+    if row["edges"]:
+        graph = Graph(x, np.frombuffer(row["edges"], np.int32).reshape(len(x), -1), row["entry"])
+        nodes, _ = graph.search(q, min(beam, len(x)), inner=True)
     for i in range(len(q)):
-        found = nodes[i][nodes[i] >= 0]
-        scores = (x[found] * q[i]).sum(1)
+        found = np.arange(len(x)) if nodes is None else nodes[i][nodes[i] >= 0]
+        with np.errstate(over="ignore"):
+            scores = np.ldexp((x[found] * q[i]).sum(1), power[found] + q_power[i])
         rank = np.argsort(-scores, kind="stable")
         got, values, have = [], [], 0
         for j in rank.tolist():
@@ -256,14 +303,13 @@ def nearest(
         F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("x")
     )
     v = v.withColumn("dim", F.size("x"))
-    length = F.aggregate("x", F.lit(0.0), lambda a, b: a + b * b)
     spaces = keep(
-        v.groupBy("dim").agg(F.max(length).alias("top"), F.count("*").alias("n"), F.count(F.when(queries, 1)).alias("q"))
+        v.groupBy("dim").agg(F.count("*").alias("n"), F.count(F.when(queries, 1)).alias("q"))
         .withColumn("shards", F.ceil(F.col("n") / shard).cast("int"))
         .withColumn("blocks", F.ceil(F.col("q") / BLOCK).cast("int"))
     )
     dealt = v.join(spaces, "dim").withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int"))
-    index = keep(dealt.select("dim", "shard", "vec_id", "x", "top").groupBy("dim", "shard").applyInArrow(_pack_shard, _PACKED))
+    index = keep(dealt.select("dim", "shard", "vec_id", "x").groupBy("dim", "shard").applyInArrow(_pack_shard, _PACKED))
 
     def pack_block(key: tuple, table: pa.Table) -> pa.Table:
         x = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in table["x"].chunks])
@@ -272,7 +318,6 @@ def nearest(
                 "dim": pa.array([key[0].as_py()], pa.int32()),
                 "block": pa.array([key[1].as_py()], pa.int32()),
                 "shards": pa.array([table["shards"][0].as_py()], pa.int32()),
-                "top": pa.array([table["top"][0].as_py()], pa.float64()),
                 "q_ids": [table["vec_id"].to_numpy().astype(np.int64).tobytes()],
                 "q_vectors": [x.tobytes()],
             }
@@ -280,9 +325,9 @@ def nearest(
 
     asked = dealt.where(queries).withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.col("blocks")).cast("int"))
     blocks = keep(
-        asked.select("dim", "block", "shards", "top", "vec_id", "x")
+        asked.select("dim", "block", "shards", "vec_id", "x")
         .groupBy("dim", "block")
-        .applyInArrow(pack_block, "dim int, block int, shards int, top double, q_ids binary, q_vectors binary")
+        .applyInArrow(pack_block, "dim int, block int, shards int, q_ids binary, q_vectors binary")
     )
     meets = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).drop("shards")
 

@@ -188,6 +188,27 @@ def test_neighbours_recall_and_scores(spark, scale):
     assert [v for *_, v in found[110]][:5] == want[110][:5]
 
 
+@pytest.mark.parametrize("longer", [1e4, 1e20, 1e160, 1e300])
+def test_neighbours_beside_one_much_longer_vector(spark, longer):
+    rng = np.random.Generator(np.random.PCG64(9))
+    x = rng.normal(size=(1000, 16))
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    x[7] *= longer
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = neighbour_graph.nearest(frame, F.col("vec_id") % 10 == 0, k=20, shard=600).collect()
+    found: dict = {}
+    for r in got:
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    want = exact(list(enumerate(x)), 20, lambda q: q % 10 == 0)
+    assert np.mean([len(found.get(q, set()) & set(w)) / 20 for q, w in want.items()]) > 0.95
+    assert all(7 in found[q] for q, w in want.items() if 7 in w)
+
+
+def test_bands_of_length():
+    x = np.array([[1.0, 0], [1e308, 1e308], [0, 7.9], [5e-324, 0], [1e-3, 0]])
+    assert [b.tolist() for b in neighbour_graph._bands(x)] == [[1], [0, 2], [4], [3]]
+
+
 def test_neighbours_of_awkward_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.0, 0.0]), (3, None), (4, [1.0, None]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (8, []), (1, [0.5, 0.5])]
