@@ -1,6 +1,6 @@
 """Personal data replaced by keyed surrogates of the same type, gender, script and format.
 
-Detected: e-mail addresses, phone numbers, IPv4 addresses, card numbers (13 to 19 digits),
+Detected: e-mail addresses in any script, phone numbers, IPv4 addresses, card numbers (13 to 19 digits),
 social-security and IBAN numbers, and names after a title or with a known first name. An
 entity is known by its normal form (digits without separators, lower case), so its mentions
 have one surrogate everywhere in the corpus, each in its own layout: separators, letter case,
@@ -21,7 +21,9 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -48,9 +50,13 @@ _GENDER = {n: g for (g, _), names in FIRST.items() for n in names}
 _TITLE = "|".join(t for g in TITLES.values() for t in g)
 _KNOWN = "|".join(n for names in FIRST.values() for n in names)
 _CAPITAL = r"[A-ZÀ-ÞА-Я][\w'’-]+"
-#: Every alternative begins with a character the scan can look for.
+# Word characters with the marks that may follow them; e-mail labels are made of these.
+_W = r"\w\u0300-\u036f"
+_TOP = r"(?:xn--[A-Za-z0-9-]+|(?:[^\W\d_][\u0300-\u036f]*){2,})"
+#: Every alternative begins with a character the scan can look for. An e-mail address is looked for
+#: where a run of its characters begins, which keeps the scan linear; signs in front are no part of it.
 _FOUND = re.compile(
-    rf"(?P<email>(?<![\w.+-])[A-Za-z0-9][\w.+%-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}})"
+    rf"(?<![{_W}.+%-])[.+%-]*(?P<email>\w[{_W}.+%-]*@[{_W}-]+(?:\.[{_W}-]+)*\.{_TOP})"
     rf"|(?P<phone>(?<![\w.])\+\d{{1,3}}[ .-]?\(?\d{{2,4}}\)?(?:[ .-]?\d{{2,4}}){{2,3}}(?!\w)|(?<![\w.(])(?:1[ .-])?\(?\d{{3}}\)?[ .-]\d{{3}}[ .-]\d{{4}}(?!\w))"
     rf"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){{3}}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d))"
     rf"|(?P<ssn>(?<![\w-])\d{{3}}-\d{{2}}-\d{{4}}(?![\w-]))"
@@ -63,6 +69,26 @@ _MAYBE = re.compile(rf"[0-9@]|\b(?:{_TITLE})\b|\b(?:{_KNOWN})\b")
 Entity = tuple[str, str]  # type (with gender and script for names), normal form
 
 
+_LETTERS = {
+    ("LATIN", True): "abcdefghijklmnopqrstuvwxyz",
+    ("CYRILLIC", True): "абвгдежзийклмнопрстуфхцчшщъыьэюя",
+}
+
+
+@lru_cache(maxsize=4096)
+def _letters(ch: str) -> str:
+    """The letters to draw from instead of ``ch``: of its script and case, near it."""
+    script = unicodedata.name(ch, "").split(" ")[0]
+    if known := _LETTERS.get((script, True)):
+        return known.upper() if ch.isupper() else known
+    page, kind = ord(ch) & ~0xFF, unicodedata.category(ch)
+    near = "".join(
+        c for c in map(chr, range(page, page + 256))
+        if unicodedata.category(c) == kind and unicodedata.name(c, "").split(" ")[0] == script and len(c.lower()) == 1
+    )
+    return near if len(near) > 1 else _LETTERS["LATIN", True]
+
+
 def _script(word: str) -> str:
     return "cyrillic" if "Ѐ" <= word[0] <= "ӿ" else "latin"
 
@@ -98,7 +124,8 @@ def mentions(text: str) -> Iterator[tuple[int, int, list[tuple[Entity | None, st
     """(begin, end, pieces) of each mention, in order."""
     if text and _MAYBE.search(text):
         for m in _FOUND.finditer(text):
-            yield m.start(), m.end(), _parts(m.lastgroup, m.group())
+            kind = m.lastgroup
+            yield m.start(kind), m.end(kind), _parts(kind, m.group(kind))
 
 
 class Draws:
@@ -135,7 +162,8 @@ class Draws:
             if ch.isdigit():
                 out.append(str(next(n) % 10) if not (kind == "phone" and i == 0) else ch)
             elif ch.isalpha() and not (kind == "iban" and i < 2):
-                out.append(chr((97 if ch.islower() else 65) + next(n) % 26))
+                letters = _letters(ch)
+                out.append(letters[next(n) % len(letters)])
             else:
                 out.append(ch)
         drawn = "".join(out)

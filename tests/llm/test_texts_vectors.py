@@ -133,6 +133,30 @@ def test_surrogates_keep_type_layout_and_coreference():
     assert draws.replaced("nothing of the kind 12 3.4.5", {}) == ("nothing of the kind 12 3.4.5", 0)
 
 
+@pytest.mark.parametrize(
+    "address",
+    ["über.23@mail6.example.com", "émile@x.fr", "_ann@x.org", "ann@müller.de", "иван@почта.рф", "-ann@x.org", ".ann+b@x.org",
+     "%ann@x.org", "mu\u0308ller@x.org", "νίκος@x.gr", "a@xn--80a.xn--p1ai"],
+)
+def test_addresses_in_any_script(address):
+    draws = surrogates.Draws(b"key")
+    (said,) = surrogates.mentions(f"to {address}, now")
+    bare = address.lstrip(".+%-")
+    assert "".join(piece for _, piece in said[2]) == bare
+    out, n = draws.replaced(f"to {address}, now", {e: 4 for _, _, pieces in [said] for e, _ in pieces if e})
+    assert n == 1 and out.startswith("to ") and out.endswith(", now")
+    local, host = bare.split("@")
+    assert local not in re.split("[ @]", out) and host not in out
+    for a, b in zip(bare.rpartition("@")[0], out[out.index(" ") + 1 + len(address) - len(bare) :], strict=False):
+        if a.isalpha():
+            assert ("Ѐ" <= a <= "ӿ") == ("Ѐ" <= b <= "ӿ")
+
+
+def test_address_scan_is_linear():
+    long = "a-.+" * 50_000
+    assert list(surrogates.mentions(f"@ {long} {'-' * 200_000} {long}")) == []
+
+
 def test_draws_that_meet_are_drawn_again(spark):
     # 256 possible draws, of which 60 occur as entities.
     def narrow(key: bytes, entity: tuple[str, str], attempt: int) -> str:
