@@ -9,7 +9,9 @@ numbers of digits, a name's gender and script, a card's check digit.
 A surrogate is drawn by HMAC from key, type, normal form and attempt. Over the whole corpus,
 drawn surrogates are checked: two entities of a type may not share one, and none may be an
 entity that occurs. Of those that meet, the smallest keeps the draw and the others draw again,
-until no two meet. Nearly all keep the first draw, which is computed in place; only documents
+until no two meet. From the fourth draw on a surrogate gets longer with each (a name with every
+fourth), so that few short forms end; only IPv4 addresses keep their form, and need about as
+many free addresses as occur. Nearly all keep the first draw, which is computed in place; only documents
 with others get the numbers of their draws by a join.
 
 Null texts stay null, empty ones empty. Rows that share an id share the numbers of draws.
@@ -66,6 +68,9 @@ _FOUND = re.compile(
 )
 _MAYBE = re.compile(rf"[0-9@]|\b(?:{_TITLE})\b|\b(?:{_KNOWN})\b")
 
+#: So many draws have the length of what they replace.
+SAME_LENGTH = 3
+
 Entity = tuple[str, str]  # type (with gender and script for names), normal form
 
 
@@ -154,7 +159,7 @@ class Draws:
                 names = FIRST[gender, script]
                 return names[(next(n) * 256 + next(n)) % len(names)].lower()
             syllables, ends = _SYLLABLES[script]
-            return "".join(syllables[next(n) % len(syllables)] for _ in range(3 + attempt // 50)) + ends[gender]
+            return "".join(syllables[next(n) % len(syllables)] for _ in range(3 + attempt // 4)) + ends[gender]
         # An address is drawn as a whole for its local part; the domain has draws of its own.
         local = form.rpartition("@")[0] if kind == "email" else form.rpartition(".")[0] if kind == "domain" else form
         out = []
@@ -166,6 +171,13 @@ class Draws:
                 out.append(letters[next(n) % len(letters)])
             else:
                 out.append(ch)
+        # Longer forms where those of this length may have run out.
+        longer = max(0, attempt - SAME_LENGTH + 1)
+        if kind in ("email", "domain"):
+            letters = next((_letters(ch) for ch in reversed(local) if ch.isalpha()), _LETTERS["LATIN", True])
+            out += [letters[next(n) % len(letters)] for _ in range(longer)]
+        else:
+            out += [str(next(n) % 10) for _ in range(longer)]
         drawn = "".join(out)
         if kind == "card" and _checks(form):
             drawn = next(drawn[:-1] + d for d in "0123456789" if _checks(drawn[:-1] + d))
@@ -180,10 +192,13 @@ class Draws:
         if kind.startswith(("first", "last")):
             return drawn.upper() if mention.isupper() and len(mention) > 1 else drawn[:1].upper() + drawn[1:]
         if kind in ("email", "domain"):
-            # Character by character, as the mention writes it.
-            return "".join(d.upper() if m.isupper() else d for d, m in zip(drawn, mention, strict=False))
+            # Character by character, as the mention writes it; what is longer, as its end.
+            drawn = drawn.rpartition("@" if kind == "email" else ".")[0]
+            wide = mention + mention[-1] * (len(drawn) - len(mention))
+            return "".join(d.upper() if m.isupper() else d for d, m in zip(drawn, wide, strict=False))
         rest = iter(drawn)
-        return "".join((next(rest).lower() if ch.islower() else next(rest)) if ch.isalnum() else ch for ch in mention)
+        laid = "".join((next(rest).lower() if ch.islower() else next(rest)) if ch.isalnum() else ch for ch in mention)
+        return laid + "".join(rest)
 
     def replaced(self, text: str, attempts: dict[Entity, int]) -> tuple[str, int]:
         """(text with surrogates, number of mentions)."""
@@ -234,6 +249,8 @@ def redrawn(entities: DataFrame, key: bytes, normal: Callable[[bytes, Entity, in
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(drawn, pa.string())], ["kind", "form", "attempt", "drawn"])
 
+    # What is taken: the entities, the first draws that hold, and those of later rounds, which
+    # are few and written anew each round, so that plans don't grow with the rounds.
     taken = entities.select("kind", F.col("form").alias("drawn"))
     left = entities.select("kind", "form", F.lit(0).alias("attempt"))
     settled = None
@@ -245,11 +262,15 @@ def redrawn(entities: DataFrame, key: bytes, normal: Callable[[bytes, Entity, in
         marked = keep(marked.join(meets, ["kind", "drawn"], "left"))
         bad = F.coalesce("meets", F.lit(False)) | (F.col("place") > 1)
         good = marked.where(~bad).select("kind", "form", "attempt", "drawn")
-        settled = good if settled is None else settled.union(good)
+        if settled is None:
+            first_taken = taken.union(good.select("kind", "drawn"))
+            settled = good.limit(0)
+        else:
+            settled = keep(settled.union(good))
         left = marked.where(bad).select("kind", "form", (F.col("attempt") + 1).alias("attempt"))
         if left.isEmpty():
-            return settled.where("attempt > 0").select("kind", "form", "attempt")
-        taken = taken.union(good.select("kind", "drawn"))
+            return settled.select("kind", "form", "attempt")
+        taken = first_taken.union(settled.select("kind", "drawn"))
 
 
 def with_surrogates(docs: DataFrame, key: bytes, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

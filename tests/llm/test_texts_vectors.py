@@ -169,6 +169,30 @@ def test_draws_that_meet_are_drawn_again(spark):
     assert len(set(drawn)) == len(forms) and not set(drawn) & set(forms)
 
 
+def test_forms_grow_where_short_ones_run_out(spark):
+    draws = surrogates.Draws(b"key")
+    # One letter gives 26 forms; more draws than that must give others.
+    for entity in ("email", "a@example.com"), ("domain", "a.com"), ("phone", "1222222"):
+        assert len(draws.normal(entity, 9)) > len(entity[1])
+    assert len({draws.normal(("email", "a@example.com"), a) for a in range(40)}) > 26
+    forms = [f"{chr(97 + i)}@example.com" for i in range(20)] + ["_@example.com"]
+    docs = brute.frame(spark, [(i, f"to {form} now") for i, form in enumerate(forms)])
+    got = {r.doc_id: r.text for r in surrogates.with_surrogates(docs, b"key").collect()}
+    said = [got[i].split()[1] for i in range(len(forms))]
+    assert len(set(said)) == len(forms) and not set(said) & set(forms)
+    assert len({s.partition("@")[2] for s in said}) == 1
+    assert not {s.partition("@")[0] + "@example.com" for s in said} & set(forms)
+
+
+def test_longer_draws_keep_the_layout():
+    draws = surrogates.Draws(b"key")
+    shown = draws.shown(("phone", "1222222"), 3, "+1 22 22 22")
+    assert re.fullmatch(r"\+1 \d\d \d\d \d\d\d", shown)
+    assert draws.shown(("email", "ab@x.org"), 4, "AB").isupper() and len(draws.shown(("email", "ab@x.org"), 4, "AB")) == 4
+    card = draws.shown(("card", "4111111111111111"), 3, "4111 1111 1111 1111")
+    assert surrogates._checks(re.sub(r"\D", "", card)) and len(card) == 20
+
+
 def test_surrogates_over_documents(spark):
     rows = [(1, "mail a.1@x.org"), (2, "again a.1@x.org and b.2@x.org"), (3, None), (4, ""), (None, "1.2.3.4"), (2, "1.2.3.4")]
     docs = brute.frame(spark, rows).withColumns({"draws": F.lit("x"), "found_id": F.lit(1)})
