@@ -147,6 +147,29 @@ def test_secret_candidates(spark):
     ]
 
 
+def test_assigned_values_of_any_characters_are_candidates(spark):
+    texts = {
+        1: 'password = "Tr0ub4dor&3!xy" x',
+        2: "passphrase: 'correct horse battery staple' x",
+        3: "set DB_PASSWORD=hunter2! and go",
+        4: '{"token":"a.b/c$d","secret":"zz y yx"}',
+        5: "api_key := `ключ-и-замок`, x",
+        6: 'password ="lowercaseonly"',
+        7: "the password was short: see page twelve",
+        8: 'token = "abc"',
+        9: 'secret = "ab12cd34ef56ab12cd34"',
+    }
+    got = secret_forest.candidates(spark.createDataFrame([(i, s, None) for i, s in texts.items()], SECRETS)).collect()
+    assert sorted((r.doc_id, r.candidate) for r in got) == [
+        (1, "Tr0ub4dor&3!xy"), (2, "correct horse battery staple"), (3, "hunter2!"), (4, "a.b/c$d"), (4, "zz y yx"),
+        (5, "ключ-и-замок"), (6, "lowercaseonly"), (9, "ab12cd34ef56ab12cd34"),
+    ]
+    assert all(r.lead + r.candidate + r.trail in texts[r.doc_id] for r in got)
+    labels = {r.candidate: r.label for r in secret_forest.rule_labels(spark.createDataFrame(got)).collect()}
+    assert labels["correct horse battery staple"] == 1 and labels["Tr0ub4dor&3!xy"] == 1
+    assert labels["lowercaseonly"] is None
+
+
 def test_secret_forest_on_held_out_findings(spark):
     rng = random.Random(3)
     rows = []
