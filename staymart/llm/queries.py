@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import bradley_terry, chat_windows, pieces, secret_forest, surrogates, toxicity
+from . import bradley_terry, byte_bpe, chat_windows, periodic_runs, pieces, secret_forest, surrogates, toxicity
 from .decontaminate import contaminated
 from .hyperminhash import near_duplicates
 from .labelled import fold
@@ -91,6 +92,30 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def repeated_tail(words: list[bytes], doc_id: int | None) -> list[bytes]:
+    """For each tenth document by hash: from some word on, the first few words from there again and again."""
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every document, after some tails are made to repeat."""
+    return periodic_runs.digests(_table(spark, sf_dir, "documents"), repeated_tail)
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids and of the bytes decoded from them, per document."""
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.digests(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Query] = {
     "op1_bradley_terry": op1_bradley_terry,
     "op2_pii_surrogates": op2_pii_surrogates,
@@ -102,6 +127,8 @@ QUERIES: dict[str, Query] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_neighbour_graph": op9_neighbour_graph,
     "op10_line_dedup": op10_line_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_byte_bpe": op12_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {}
