@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import bradley_terry, byte_bpe, chat_windows, periodic_runs, pieces, secret_forest, surrogates, toxicity
+from . import bradley_terry, byte_bpe, chat_windows, periodic_runs, pieces, secret_forest, surrogates, toxicity, turn_repair
 from .decontaminate import contaminated
 from .hyperminhash import near_duplicates
 from .labelled import fold
@@ -116,6 +116,28 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repairs of every conversation, after some of its turns are damaged."""
+    told = [F.coalesce(F.col(name).cast("string"), F.lit(" ")) for name in ("conv_id", "turn")]
+    turns = _table(spark, sf_dir, "conversations").select(
+        "conv_id",
+        "turn",
+        *[F.coalesce(name, F.lit(" ")).alias(name) for name in ("role", "text")],
+        (F.crc32(F.concat(told[0], F.lit(":"), told[1])) % 20).alias("damage"),
+    )
+    damaged = turns.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("damage") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("damage") == 1, "")
+        .when(F.col("damage") == 2, F.translate("text", ".!?", ""))
+        .otherwise(F.col("text"))
+        .alias("text"),
+        F.when(F.col("damage") == 0, 0).when(F.col("damage") == 3, 2).otherwise(1).alias("copies"),
+    )
+    return turn_repair.repairs(damaged, "copies")
+
+
 QUERIES: dict[str, Query] = {
     "op1_bradley_terry": op1_bradley_terry,
     "op2_pii_surrogates": op2_pii_surrogates,
@@ -129,6 +151,7 @@ QUERIES: dict[str, Query] = {
     "op10_line_dedup": op10_line_dedup,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 ORACLES: dict[str, str] = {}

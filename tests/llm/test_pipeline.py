@@ -10,11 +10,11 @@ import corpus_pipeline
 from staymart.llm.scratch import keep
 
 SF_DIR = "/root/testdata/sf0.001"
-NUMBERED = [(n, name) for n in range(1, 11) for name in corpus_pipeline.QUERIES if name.startswith(f"op{n}_")]
+NUMBERED = [(n, name) for n in range(1, 14) for name in corpus_pipeline.QUERIES if name.startswith(f"op{n}_")]
 
 
 def test_registered():
-    assert [n for n, _ in NUMBERED] == list(range(1, 11))
+    assert [n for n, _ in NUMBERED] == list(range(1, 14))
     assert set(corpus_pipeline.QUERIES) == {name for _, name in NUMBERED} | {"pipeline"}
 
 
