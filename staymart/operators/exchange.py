@@ -158,6 +158,23 @@ def identity_converter() -> Converter:
     return convert
 
 
+def company_types_at(
+    rows: DataFrame, history: Intervals, company: str, purposes: dict[str, str | Column], at: str
+) -> DataFrame:
+    """``company_rate_types`` from a prepared history; null where there is no type."""
+    tag = "__" + "_".join(purposes)
+    names = {name: f"{tag}_{name}" for name in RATE_PURPOSE_COLUMNS.values()}
+    found = asof_lookup(rows, history, {company: "semp_cod_emp"}, at, names)
+    outputs = {}
+    for out, purpose in purposes.items():
+        wanted = F.col(purpose) if isinstance(purpose, str) else purpose
+        picked = F.lit(None).cast("string")
+        for code, name in RATE_PURPOSE_COLUMNS.items():
+            picked = F.when(wanted == code, F.col(names[name])).otherwise(picked)
+        outputs[out] = picked
+    return found.withColumns(outputs).drop(*names.values())
+
+
 def company_rate_types(
     rows: DataFrame,
     company_types: DataFrame,
@@ -170,18 +187,9 @@ def company_rate_types(
 
     ``purposes`` maps output names to purposes (R, C, L or A; a column name or a column).
     """
-    tag = "__" + "_".join(purposes)
-    names = {name: f"{tag}_{name}" for name in RATE_PURPOSE_COLUMNS.values()}
     history = intervals(company_types, ["semp_cod_emp"], "fec_aplicacion", direction)
-    found = asof_lookup(rows, history, {company: "semp_cod_emp"}, at, names)
-    outputs = {}
-    for out, purpose in purposes.items():
-        wanted = F.col(purpose) if isinstance(purpose, str) else purpose
-        picked = F.lit(None).cast("string")
-        for code, name in RATE_PURPOSE_COLUMNS.items():
-            picked = F.when(wanted == code, F.col(names[name])).otherwise(picked)
-        outputs[out] = F.coalesce(picked, F.lit(UNKNOWN_RATE_TYPE))
-    return found.withColumns(outputs).drop(*names.values())
+    found = company_types_at(rows, history, company, purposes, at)
+    return found.withColumns({out: F.coalesce(out, F.lit(UNKNOWN_RATE_TYPE)) for out in purposes})
 
 
 def company_rate_type(

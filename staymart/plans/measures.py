@@ -212,8 +212,13 @@ def measure_header(
     currencies: DataFrame,
     measures: Sequence[Measure],
     carry: Sequence[str] = (),
+    receptive: DataFrame | None = None,
 ) -> DataFrame:
-    """What the given measures need to know about a booking, one narrow row each."""
+    """What the given measures need to know about a booking, one narrow row each.
+
+    With ``receptive`` also what decides between rates: partner_ttoo, that of the interface,
+    and rate_company, that of the invoicing office.
+    """
     policy = any(measure.rate and measure.rate.at == "policy_date" for measure in measures)
     scaled = "decimales" in carry or any(measure.amount in SCALED for measure in measures)
     header = booking.select(
@@ -224,15 +229,17 @@ def measure_header(
         "gdiv_cod_divisa",
         "ind_tippag",
         "cod_divisa_p",
+        *(["seq_rec_hbeds"] if receptive is not None else []),
     )
+    columns = {"ind_fec_cam_div": "ind_fec_cam_div"} if policy else {}
+    if receptive is not None:
+        columns["partner_ttoo"] = "partner_ttoo"
+        office = {"semp_cod_emp": "rate_company"}
+        header = dimension_lookup(header, receptive, "seq_rec_hbeds", "seq_rec", office)
+    if columns:
+        header = dimension_lookup(header, interface, "fint_cod_interface", "cod_interface", columns)
     if policy:
-        header = dimension_lookup(
-            header,
-            interface,
-            "fint_cod_interface",
-            "cod_interface",
-            {"ind_fec_cam_div": "ind_fec_cam_div"},
-        ).withColumn(
+        header = header.withColumn(
             "policy_date",
             exchange_date(F.col("ind_fec_cam_div"), F.col("fec_desde"), F.col("fec_creacion")),
         )
@@ -261,6 +268,15 @@ def _rows_that_count(measure: Measure) -> str:
 UNRATED = ("null", "skip", "raise")
 
 
+def attach_rates(rows: DataFrame, rates: Sequence[Rate], convert: Converter | None) -> DataFrame:
+    """Rates under their names, all at once if the converter can."""
+    if hasattr(convert, "attach"):
+        return convert.attach(rows, [(r.name, r.source, r.target, r.at) for r in rates])
+    for rate in rates:
+        rows = convert(rows, rate.source, rate.target, rate.at, rate.name)
+    return rows
+
+
 def _flags(tests: Sequence[str]) -> Column:
     """One number whose bit i tells whether test i holds for any row of a group."""
     bits = " | ".join(f"CASE WHEN {test} THEN {1 << i}L ELSE 0L END" for i, test in enumerate(tests))
@@ -289,13 +305,9 @@ def fold(
     conditions = dict.fromkeys(_rows_that_count(measure) for measure in measures)
     if all(conditions):
         rollup = rollup.filter(" OR ".join(f"({condition})" for condition in conditions))
-    rows = header
-    for rate in early:
-        rows = convert(rows, rate.source, rate.target, rate.at, rate.name)
+    rows = attach_rates(header, early, convert)
     match = [F.col(key) == F.col(line) for key, line in zip(BOOKING_KEY, ROLLUP_KEY, strict=True)]
-    rows = rows.join(rollup, match, "left")
-    for rate in late:
-        rows = convert(rows, rate.source, rate.target, rate.at, rate.name)
+    rows = attach_rates(rows.join(rollup, match, "left"), late, convert)
 
     amounts = {measure.amount: f"__{measure.amount}" for measure in measures}
     priced = {
@@ -360,11 +372,10 @@ def unrated_amounts(
     The rates come with the rows, so nothing is looked up twice; an amount of 0 misses nothing.
     """
     used = {measure.rate.name: measure.rate for measure in measures if measure.rate}
-    rows = header
+    early = [rate for rate in used.values() if rate in HEADER_RATES]
+    late = [rate for rate in used.values() if rate not in HEADER_RATES]
     match = [F.col(key) == F.col(line) for key, line in zip(BOOKING_KEY, ROLLUP_KEY, strict=True)]
-    rows = rows.join(rollup, match)
-    for rate in used.values():
-        rows = convert(rows, rate.source, rate.target, rate.at, rate.name)
+    rows = attach_rates(attach_rates(header, early, convert).join(rollup, match), late, convert)
     found = []
     for measure in measures:
         if not measure.rate:
@@ -398,7 +409,8 @@ def booking_measures(
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """``fold`` over the bookings of a working set."""
+    receptive = tables["receptive"] if hasattr(convert, "context") else None
     header = measure_header(
-        tables["booking"], tables["interface"], tables["currency"], measures, carry
+        tables["booking"], tables["interface"], tables["currency"], measures, carry, receptive
     )
     return fold(header, rollup, measures, convert, carry)

@@ -151,18 +151,53 @@ def _fx_requests() -> str:
         ("l.sdiv_cod_divisa", "b.gdiv_cod_divisa", "b.fec_creacion", "cost"),
         ("l.sdiv_cod_divisa", "'EUR'", "b.fec_creacion", "cost"),
     ]
+    who = "partner_ttoo AS p, rate_company AS c, 'R' AS purpose, CAST(NULL AS VARCHAR) AS direct"
     parts = [
-        f"SELECT {a} AS f, {z} AS t, {at} AS moment FROM hdr b JOIN {table} l ON {BOOKING_LINE}"
+        f"SELECT {who}, {a} AS f, {z} AS t, {at} AS moment FROM hdr b JOIN {table} l ON {BOOKING_LINE}"
         for a, z, at, table in wanted
     ]
     parts += [
-        "SELECT gdiv_cod_divisa, 'EUR', fec_creacion FROM hdr",
-        "SELECT cod_divisa_p, gdiv_cod_divisa, policy_date FROM hdr",
-        "SELECT cod_divisa_p, 'EUR', fec_creacion FROM hdr",
+        f"SELECT {who}, gdiv_cod_divisa, 'EUR', fec_creacion FROM hdr",
+        f"SELECT {who}, cod_divisa_p, gdiv_cod_divisa, policy_date FROM hdr",
+        f"SELECT {who}, cod_divisa_p, 'EUR', fec_creacion FROM hdr",
     ]
     return "\nUNION\n".join(parts)
 
 
+def _leg(number: int, f: str, t: str) -> str:
+    """Joins of one leg: the partner's rate, the type's, the day's."""
+    n = number
+    pair = f"{f} = {{0}}{n}.f AND {t} = {{0}}{n}.t"
+    return f"""ASOF LEFT JOIN candidate p{n} ON 'P' || q.p = p{n}.scope AND {pair.format("p")} AND q.moment >= p{n}.since
+ASOF LEFT JOIN candidate t{n} ON 'T' || q.ty = t{n}.scope AND {pair.format("t")} AND q.moment >= t{n}.since
+LEFT JOIN day_rate d{n} ON {pair.format("d")} AND CAST(q.moment AS DATE) = d{n}.day"""
+
+
+def _leg_source(n: int) -> str:
+    return (
+        f"CASE WHEN p{n}.rate IS NOT NULL THEN 'partner' WHEN t{n}.rate IS NOT NULL THEN 'type' "
+        f"WHEN d{n}.rate IS NOT NULL THEN 'daily' END"
+    )
+
+
+def _answers(requests: str) -> str:
+    """The whole chain for (p, c, purpose, direct, f, t, moment): rate, type, source."""
+    ways = [f"coalesce(p{n}.rate, t{n}.rate, d{n}.rate)" for n in range(3)]
+    via = f"{ways[1]} * {ways[2]}"
+    return f"""SELECT q.* EXCLUDE (e),
+    CASE WHEN q.f = q.t THEN 1.0 ELSE coalesce({ways[0]}, {via}) END AS rate,
+    CASE WHEN q.f = q.t THEN 'same' ELSE coalesce({_leg_source(0)},
+        {_leg_source(1)} || '+' || {_leg_source(2)}) END AS source
+FROM (SELECT r.*, 'EUR' AS e, coalesce(r.direct, CASE r.purpose WHEN 'R' THEN h.tipo_cambio_rex
+        WHEN 'C' THEN h.tipo_cambio_caj WHEN 'L' THEN h.tipo_cambio_liq
+        WHEN 'A' THEN h.tipo_cambio_ctb END) AS ty
+    FROM {requests} r ASOF LEFT JOIN company_rate_type h
+        ON r.c = h.semp_cod_emp AND r.moment <= h.fec_aplicacion) q
+{_leg(0, "q.f", "q.t")}
+{_leg(1, "q.f", "q.e")}
+{_leg(2, "q.e", "q.t")}"""
+
+
 def _asof(requests: str, history: str, by: list[tuple[str, str]]) -> str:
     on = " AND ".join(f"q.{a} = h.{z}" for a, z in by)
     return (
@@ -191,28 +226,36 @@ CTES: dict[str, str] = {
         SELECT cod_divisa_des, cod_divisa_ori, fec_desde, 1 / nro_tasa, 2 FROM partner_rate
     ) stored) ranked WHERE n = 1""",
     "hdr": """SELECT b.grec_seq_rec, b.seq_reserva, b.fec_creacion, b.fec_desde,
-    b.gdiv_cod_divisa, b.ind_tippag, b.cod_divisa_p, b.gtto_seq_ttoo,
+    b.gdiv_cod_divisa, b.ind_tippag, b.cod_divisa_p, b.gtto_seq_ttoo, i.partner_ttoo,
+    rf.semp_cod_emp AS rate_company,
     CASE WHEN i.ind_fec_cam_div = 'E' THEN b.fec_desde ELSE b.fec_creacion END AS policy_date,
     c.decimales,
     (SELECT max(decimales) FROM currency WHERE cod_divisa = 'EUR') AS decimales_eur
 FROM booking b
 LEFT JOIN interface i ON b.fint_cod_interface = i.cod_interface
+LEFT JOIN receptive rf ON b.seq_rec_hbeds = rf.seq_rec
 LEFT JOIN currency c ON b.gdiv_cod_divisa = c.cod_divisa""",
     "fx_request": _fx_requests(),
-    "fx_direct": _asof("SELECT f, t, moment FROM fx_request", "any_rate", [("f", "f"), ("t", "t")]),
-    "fx_first": _asof(
-        "SELECT DISTINCT f, 'EUR' AS e, moment FROM fx_request", "any_rate", [("f", "f"), ("e", "t")]
-    ),
-    "fx_second": _asof(
-        "SELECT DISTINCT t, 'EUR' AS e, moment FROM fx_request", "any_rate", [("e", "f"), ("t", "t")]
-    ),
-    "fx": """SELECT d.f, d.t, d.moment,
-    CASE WHEN d.f = d.t THEN 1.0 ELSE coalesce(d.rate,
-        CASE WHEN a.f = 'EUR' THEN 1.0 ELSE a.rate END
-        * CASE WHEN z.t = 'EUR' THEN 1.0 ELSE z.rate END) END AS rate
-FROM fx_direct d
-LEFT JOIN fx_first a ON d.f = a.f AND d.moment = a.moment
-LEFT JOIN fx_second z ON d.t = z.t AND d.moment = z.moment""",
+    # Stored pairs and inverses of all sources but the day's; on one date the stored one wins.
+    "candidate": """SELECT scope, f, t, since, rate FROM (
+    SELECT *, row_number() OVER (PARTITION BY scope, f, t, since ORDER BY pref, rate DESC) AS n
+    FROM (
+        SELECT 'P' || seq_ttoo AS scope, cod_divisa_ori AS f, cod_divisa_des AS t,
+            fec_desde AS since, nro_tasa AS rate, 1 AS pref FROM partner_rate
+        UNION ALL
+        SELECT 'P' || seq_ttoo, cod_divisa_des, cod_divisa_ori, fec_desde, 1 / nro_tasa, 2
+        FROM partner_rate
+        UNION ALL
+        SELECT 'T' || tipo_cambio, cod_div_origen, cod_div_destino, fec_aplicacion, nro_tasa, 1
+        FROM type_rate
+        UNION ALL
+        SELECT 'T' || tipo_cambio, cod_div_destino, cod_div_origen, fec_aplicacion, 1 / nro_tasa, 2
+        FROM type_rate) stored) ranked WHERE n = 1""",
+    "day_rate": """SELECT date AS day, currency AS f, 'EUR' AS t, rate FROM daily_rate
+    WHERE currency <> 'EUR'
+UNION ALL SELECT date, 'EUR', currency, 1 / rate FROM daily_rate WHERE currency <> 'EUR'""",
+    "fx_valid": """SELECT * FROM fx_request WHERE f = t OR p IS NOT NULL OR c IS NOT NULL""",
+    "fx": _answers("fx_valid"),
     "excluded": """SELECT DISTINCT e.grec_seq_rec AS excl_seq_rec,
     e.rres_seq_reserva AS excl_seq_reserva, e.ord_extra AS excl_ord_extra
 FROM extra e
@@ -272,9 +315,9 @@ WHERE l.component <> 'extra' OR NOT EXISTS (SELECT 1 FROM excluded e
 }
 
 _LINE_RATES = """hdr b LEFT JOIN {sub} s ON b.grec_seq_rec = s.rec AND b.seq_reserva = s.res
-LEFT JOIN fx lb ON lb.f = s.ccy AND lb.t = b.gdiv_cod_divisa AND lb.moment = b.policy_date
-LEFT JOIN fx le ON le.f = s.ccy AND le.t = 'EUR' AND le.moment = b.fec_creacion
-LEFT JOIN fx be ON be.f = b.gdiv_cod_divisa AND be.t = 'EUR' AND be.moment = b.fec_creacion"""
+LEFT JOIN fx lb ON lb.f = s.ccy AND lb.t = b.gdiv_cod_divisa AND lb.moment = b.policy_date AND lb.p IS NOT DISTINCT FROM b.partner_ttoo AND lb.c IS NOT DISTINCT FROM b.rate_company
+LEFT JOIN fx le ON le.f = s.ccy AND le.t = 'EUR' AND le.moment = b.fec_creacion AND le.p IS NOT DISTINCT FROM b.partner_ttoo AND le.c IS NOT DISTINCT FROM b.rate_company
+LEFT JOIN fx be ON be.f = b.gdiv_cod_divisa AND be.t = 'EUR' AND be.moment = b.fec_creacion AND be.p IS NOT DISTINCT FROM b.partner_ttoo AND be.c IS NOT DISTINCT FROM b.rate_company"""
 
 _TTV = "s.tipo NOT IN ('O', 'V', 'D', 'W', 'Y', 'IT')"
 _TAX = "s.tipo NOT IN ('O', 'D', 'IT', 'BT')"
@@ -328,8 +371,8 @@ FROM hdr b LEFT JOIN (
         sum(amount) AS amount FROM recharge_line
     GROUP BY grec_seq_rec, rres_seq_reserva, sdiv_cod_divisa, rext_ord_extra, regime) s
     ON b.grec_seq_rec = s.rec AND b.seq_reserva = s.res
-LEFT JOIN fx lb ON lb.f = s.ccy AND lb.t = b.gdiv_cod_divisa AND lb.moment = b.fec_creacion
-LEFT JOIN fx le ON le.f = s.ccy AND le.t = 'EUR' AND le.moment = b.fec_creacion
+LEFT JOIN fx lb ON lb.f = s.ccy AND lb.t = b.gdiv_cod_divisa AND lb.moment = b.fec_creacion AND lb.p IS NOT DISTINCT FROM b.partner_ttoo AND lb.c IS NOT DISTINCT FROM b.rate_company
+LEFT JOIN fx le ON le.f = s.ccy AND le.t = 'EUR' AND le.moment = b.fec_creacion AND le.p IS NOT DISTINCT FROM b.partner_ttoo AND le.c IS NOT DISTINCT FROM b.rate_company
 GROUP BY b.grec_seq_rec, b.seq_reserva""",
     "m_agent": f"""SELECT b.grec_seq_rec, b.seq_reserva,
     {_priced_total("s.agent", "pb.rate")} AS GSA_Commision,
@@ -341,8 +384,8 @@ FROM hdr b LEFT JOIN (
         sum({_dec("imp_comision_imp")}) AS agent_tax
     FROM commission GROUP BY seq_rec, seq_reserva) s
     ON b.grec_seq_rec = s.rec AND b.seq_reserva = s.res
-LEFT JOIN fx pb ON pb.f = b.cod_divisa_p AND pb.t = b.gdiv_cod_divisa AND pb.moment = b.policy_date
-LEFT JOIN fx pe ON pe.f = b.cod_divisa_p AND pe.t = 'EUR' AND pe.moment = b.fec_creacion
+LEFT JOIN fx pb ON pb.f = b.cod_divisa_p AND pb.t = b.gdiv_cod_divisa AND pb.moment = b.policy_date AND pb.p IS NOT DISTINCT FROM b.partner_ttoo AND pb.c IS NOT DISTINCT FROM b.rate_company
+LEFT JOIN fx pe ON pe.f = b.cod_divisa_p AND pe.t = 'EUR' AND pe.moment = b.fec_creacion AND pe.p IS NOT DISTINCT FROM b.partner_ttoo AND pe.c IS NOT DISTINCT FROM b.rate_company
 GROUP BY b.grec_seq_rec, b.seq_reserva""",
     "component_sub": """SELECT seq_rec AS rec, seq_reserva AS res, component,
     sum(canal) AS canal, sum(canco) AS canco
@@ -365,7 +408,7 @@ FROM (SELECT b.grec_seq_rec, b.seq_reserva, b.decimales,
     LEFT JOIN (SELECT seq_rec AS rec, seq_reserva AS res, sum(canal) AS canal,
             sum(canco) AS canco FROM component_line GROUP BY seq_rec, seq_reserva) s
         ON b.grec_seq_rec = s.rec AND b.seq_reserva = s.res
-    LEFT JOIN fx be ON be.f = b.gdiv_cod_divisa AND be.t = 'EUR' AND be.moment = b.fec_creacion
+    LEFT JOIN fx be ON be.f = b.gdiv_cod_divisa AND be.t = 'EUR' AND be.moment = b.fec_creacion AND be.p IS NOT DISTINCT FROM b.partner_ttoo AND be.c IS NOT DISTINCT FROM b.rate_company
     LEFT JOIN m_dr d ON b.grec_seq_rec = d.grec_seq_rec AND b.seq_reserva = d.seq_reserva) t""",
 }
 
@@ -591,6 +634,36 @@ _COMPANY_TYPE = """(SELECT h.{column} FROM company_rate_type h
     WHERE h.semp_cod_emp = rf.semp_cod_emp AND h.fec_aplicacion >= b.fec_creacion
     ORDER BY h.fec_aplicacion LIMIT 1)"""
 
+_PURPOSES = "['R', 'C', 'L', 'A', 'X']"
+CTES |= {
+    "chain_request": f"""SELECT b.grec_seq_rec, b.seq_reserva, i.partner_ttoo AS p,
+    rf.semp_cod_emp AS c, {_PURPOSES}[CAST(b.seq_reserva % 5 AS INTEGER) + 1] AS purpose,
+    CASE WHEN b.seq_reserva % 11 = 0 THEN b.ind_tipo_credito END AS direct,
+    b.gdiv_cod_divisa AS f,
+    CASE WHEN b.seq_reserva % 97 <> 0 THEN
+        CASE WHEN b.nro_ad = 1 THEN coalesce(b.cod_divisa_p, 'C9') ELSE 'EUR' END END AS t,
+    CASE WHEN b.seq_reserva % 89 <> 0 THEN b.fec_creacion END AS moment,
+    ['V', 'C', 'F'][CAST(b.nro_ni AS INTEGER) + 1] AS kind,
+    CAST(b.seq_reserva AS DOUBLE) * CAST(1.37 AS DOUBLE) AS amount
+FROM booking b LEFT JOIN interface i ON b.fint_cod_interface = i.cod_interface
+LEFT JOIN receptive rf ON b.seq_rec_hbeds = rf.seq_rec""",
+    "chain_judged": """SELECT *, CASE WHEN f IS NULL THEN 'no source currency'
+    WHEN t IS NULL THEN 'no target currency' WHEN f = t THEN NULL
+    WHEN moment IS NULL THEN 'no date' WHEN p IS NOT NULL OR direct IS NOT NULL THEN NULL
+    WHEN c IS NULL THEN 'no company'
+    WHEN purpose NOT IN ('R', 'C', 'L', 'A') THEN 'unknown purpose' END AS reason
+FROM chain_request""",
+    "chain_valid": "SELECT * FROM chain_judged WHERE reason IS NULL",
+    "chain_answer": _answers("chain_valid"),
+    "chain_all": """SELECT *, NULL AS ty, NULL AS rate, NULL AS source FROM chain_judged
+WHERE reason IS NOT NULL UNION ALL BY NAME SELECT * FROM chain_answer""",
+    "chain_spread": """SELECT q.*, coalesce(CASE kind WHEN 'V' THEN h.pct_venta
+    WHEN 'C' THEN h.pct_compra ELSE h.pct_fixing END, 0) AS pct
+FROM chain_all q ASOF LEFT JOIN spread h ON q.ty = h.tipo_cambio AND q.f = h.cod_div_origen
+    AND q.t = h.cod_div_destino AND q.moment >= h.fec_aplicacion""",
+}
+_SPREAD_AMOUNT = "CASE WHEN f = t THEN amount ELSE amount * rate * (1 + pct / 100) END"
+
 QUERIES: dict[str, str] = {
     "scan_projected": """SELECT grec_seq_rec AS grec_seq_rec_s, rres_seq_reserva, imp_unitario,
     ind_tipo_registro FROM sale""",
@@ -719,6 +792,11 @@ FROM booking b LEFT JOIN receptive rf ON b.seq_rec_hbeds = rf.seq_rec""",
         ELSE amount * rate * (1 + CASE WHEN t = 'EUR' THEN pct_spread ELSE 0 END / 100) END''',
         "c.decimales")} AS exchanged
 FROM convert_rated r LEFT JOIN currency c ON r.t = c.cod_divisa""",
+    "fx_full_chain": f"""SELECT {_KEY}, f AS gdiv_cod_divisa, t AS target_ccy,
+    CASE WHEN f = t OR rate IS NOT NULL THEN {_round(_SPREAD_AMOUNT, "c.decimales")} END AS exchanged,
+    CASE WHEN f <> t THEN ty END AS exchanged_type, source AS exchanged_source,
+    CAST({_dec("rate")} AS DOUBLE) AS exchanged_rate, reason AS exchanged_reason
+FROM chain_spread r LEFT JOIN currency c ON r.t = c.cod_divisa""",
     "round_by_currency": f"""SELECT l.rres_seq_reserva, l.gdiv_cod_divisa,
     CAST({_dec("l.imp_unitario / 7")} AS DOUBLE) AS amount,
     {_round(_dec("l.imp_unitario / 7"), "c.decimales")} AS rounded

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from staymart.functions import amounts, attributes
 from staymart.functions.codes import COMPONENTS, TTV_EXCLUDED
 from staymart.operators import exchange
+from staymart.operators.full_exchange import Asked, FullConverter, full_exchange, rate_sources
 from staymart.operators.exclusion import EXCLUDED_KEY, campaign_exclusion
 from staymart.operators.lookups import (
     COMPONENT_TAX_KEYS,
@@ -60,7 +61,7 @@ def _exact(value: Column, name: str) -> Column:
 
 
 def _converter(t: Mapping[str, DataFrame]) -> exchange.Converter:
-    return exchange.asof_converter(t["partner_rate"])
+    return FullConverter(rate_sources(t, spreads=False))
 
 
 def _exclusion(t: Mapping[str, DataFrame]) -> DataFrame:
@@ -488,6 +489,38 @@ def fx_convert(t: Tables) -> DataFrame:
     return exchanged.select(*KEY, "gdiv_cod_divisa", "target_ccy", "exchanged")
 
 
+def _chain_rows(t: Tables) -> DataFrame:
+    """Bookings that ask for a rate in every way: by partner, company type or direct type."""
+    rows = dimension_lookup(
+        _partnered(t), t["receptive"], "seq_rec_hbeds", "seq_rec", {"semp_cod_emp": "rate_company"}
+    )
+    number = F.col("seq_reserva")
+    purposes = F.array(*[F.lit(p) for p in ("R", "C", "L", "A", "X")])
+    target = F.when(F.col("nro_ad") == 1, F.coalesce("cod_divisa_p", F.lit("C9"))).otherwise("EUR")
+    return rows.withColumns(
+        {
+            "purpose": purposes[(number % 5).cast("int")],
+            "direct": F.when(number % 11 == 0, F.col("ind_tipo_credito")),
+            "target_ccy": F.when(number % 97 != 0, target),
+            "kind": F.array(F.lit("V"), F.lit("C"), F.lit("F"))[F.col("nro_ni")],
+            "amount": number.cast("double") * 1.37,
+            "moment": F.when(number % 89 != 0, F.col("fec_creacion")),
+        }
+    )
+
+
+def _chain(t: Tables) -> DataFrame:
+    asked = Asked(
+        "fx", "gdiv_cod_divisa", "target_ccy", "moment", "partner_ttoo", "rate_company", "purpose", "direct"
+    )
+    return full_exchange(_chain_rows(t), rate_sources(t), t["currency"], asked, "amount", "kind", "exchanged")
+
+
+def fx_full_chain(t: Tables) -> DataFrame:
+    columns = ["gdiv_cod_divisa", "target_ccy", "exchanged", "exchanged_type", "exchanged_source"]
+    return _chain(t).select(*KEY, *columns, _six("exchanged_rate"), "exchanged_reason")
+
+
 def round_by_currency(t: Tables) -> DataFrame:
     rows = t["sale"].withColumn("amount", amounts.quantise(F.col("imp_unitario") / 7))
     rounded = exchange.round_by_currency(
@@ -520,7 +553,9 @@ def union_distinct_literal(t: Tables) -> DataFrame:
 
 def unrated_amounts(t: Tables) -> DataFrame:
     wanted = measures.COST
-    header_rows = measures.measure_header(t["booking"], t["interface"], t["currency"], wanted)
+    header_rows = measures.measure_header(
+        t["booking"], t["interface"], t["currency"], wanted, receptive=t["receptive"]
+    )
     return measures.unrated_amounts(header_rows, _cost(t), wanted, _converter(t))
 
 
@@ -622,6 +657,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "asof_spread": asof_spread,
     "fx_triangulate": fx_triangulate,
     "fx_convert": fx_convert,
+    "fx_full_chain": fx_full_chain,
     "round_by_currency": round_by_currency,
     "ttv": _fold(_sale, measures.TTV),
     "tax_ttv": _fold(_sale, measures.TAX_TTV),
