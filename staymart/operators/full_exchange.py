@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from staymart.functions.codes import EURO, RATE_PURPOSE_COLUMNS, SPREAD_COLUMNS
 from staymart.operators.asof import BACKWARD, FORWARD, Intervals, asof_lookup, intervals
@@ -191,6 +192,11 @@ class Asked:
     purpose: str | Column | None = None
     direct: str | None = None
 
+    def columns(self) -> list[str]:
+        """The columns of the rows that a question is made of."""
+        names = [self.from_ccy, self.to_ccy, self.at, self.partner, self.company, self.purpose, self.direct]
+        return [name for name in names if isinstance(name, str)]
+
     def question(self, pivot: str) -> dict[str, Column]:
         def column(name: str | Column | None, kind: str) -> Column:
             found = F.lit(None) if name is None else F.col(name) if isinstance(name, str) else name
@@ -289,3 +295,22 @@ def full_exchange(
         priced = priced.withColumn(out, F.col(f"__{out}_raw"))
     extra = {f"{asked.name}_{n}": f"{out}_{n}" for n in ("type", "source", "reason")} | {asked.name: f"{out}_rate"}
     return priced.select(*rows.columns, out, *[F.col(a).alias(b) for a, b in extra.items()])
+
+
+def split_rejects(rows: DataFrame, asked: Asked, folder: str, pivot: str = EURO) -> tuple[DataFrame, DataFrame]:
+    """(rows that can be asked for a rate, the others with ``reason``), judged in one run.
+
+    The rows are written once, parted by ``rejected``; either side is then read alone.
+    """
+    judged = rows.withColumn("reason", reject_reason(asked.question(pivot)))
+    judged.withColumn("rejected", F.col("reason").isNotNull()).write.partitionBy("rejected").parquet(folder)
+    kept = rows.sparkSession.read.schema(
+        T.StructType([*judged.schema.fields, T.StructField("rejected", T.BooleanType())])
+    ).parquet(folder)
+    good = kept.filter(~F.col("rejected")).select(*rows.columns)
+    return good, kept.filter("rejected").drop("rejected")
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """How many rows each reason turns away."""
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n_requests"))

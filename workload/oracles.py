@@ -844,18 +844,88 @@ FROM attributes d {_join("m_sale")} {_join("m_cost")} {_join("m_agent")} {_join(
 QUERIES["windowed_extract"] = f"""SELECT x.* FROM ({QUERIES["full_extract"]}) x
 JOIN booking b ON x.operative_incoming = b.grec_seq_rec AND x.booking_id = b.seq_reserva
 WHERE b.fec_creacion BETWEEN TIMESTAMP {_WINDOW} AND b.fec_modifica BETWEEN TIMESTAMP {_WINDOW}"""
-QUERIES["unrated_amounts"] = "\nUNION ALL\n".join(
-    f"""SELECT '{name}' AS measure, s.ccy AS currency,
+QUERIES["rate_request_rejects"] = """SELECT coalesce(reason, 'accepted') AS reason, count(*) AS n_requests
+FROM chain_judged GROUP BY reason"""
+
+
+def _unrated_rows(rows: str, ccy: str, columns: list[tuple[str, str, str, str]]) -> list[str]:
+    return [
+        f"""SELECT '{name}' AS measure, {ccy} AS currency,
     count(DISTINCT (b.grec_seq_rec, b.seq_reserva)) AS n_bookings, CAST(sum({amount}) AS DOUBLE) AS amount
-FROM {_LINE_RATES.format(sub="cost_sub")}
-WHERE {condition} AND {amount} <> 0 AND {rate} IS NULL GROUP BY s.ccy"""
-    for name, condition, amount, rate in (
-        ("cost_booking_currency", f"{_COST} AND s.tipo <> 'SC'", "s.gross", "lb.rate"),
-        ("cost_eur_currency", f"{_COST} AND s.tipo <> 'SC'", "s.gross", "le.rate"),
-        ("tax_cost", _COST, "s.tax_gn", "lb.rate"),
-        ("tax_cost_EUR", _COST, "s.tax_gn", "le.rate"),
-        ("tax_cost_TOMS", _COST, "s.tax_en", "lb.rate"),
-        ("tax_cost_EUR_TOMS", _COST, "s.tax_en", "le.rate"),
+FROM {rows} WHERE {condition} AND {amount} <> 0 AND {rate} IS NULL GROUP BY {ccy}"""
+        for name, condition, amount, rate in columns
+    ]
+
+
+_SOLD = "s.tipo IN ('O', 'V')"
+_HEADER_RATES = """LEFT JOIN fx be ON be.f = b.gdiv_cod_divisa AND be.t = 'EUR' AND be.moment = b.fec_creacion
+    AND be.p IS NOT DISTINCT FROM b.partner_ttoo AND be.c IS NOT DISTINCT FROM b.rate_company
+LEFT JOIN fx pb ON pb.f = b.cod_divisa_p AND pb.t = b.gdiv_cod_divisa AND pb.moment = b.policy_date
+    AND pb.p IS NOT DISTINCT FROM b.partner_ttoo AND pb.c IS NOT DISTINCT FROM b.rate_company
+LEFT JOIN fx pe ON pe.f = b.cod_divisa_p AND pe.t = 'EUR' AND pe.moment = b.fec_creacion
+    AND pe.p IS NOT DISTINCT FROM b.partner_ttoo AND pe.c IS NOT DISTINCT FROM b.rate_company"""
+_RECHARGED = """hdr b JOIN (
+    SELECT grec_seq_rec AS rec, rres_seq_reserva AS res, sdiv_cod_divisa AS ccy, rext_ord_extra,
+        sum(amount) AS amount FROM recharge_line
+    GROUP BY grec_seq_rec, rres_seq_reserva, sdiv_cod_divisa, rext_ord_extra, regime) s
+    ON b.grec_seq_rec = s.rec AND b.seq_reserva = s.res
+LEFT JOIN fx lb ON lb.f = s.ccy AND lb.t = b.gdiv_cod_divisa AND lb.moment = b.fec_creacion
+    AND lb.p IS NOT DISTINCT FROM b.partner_ttoo AND lb.c IS NOT DISTINCT FROM b.rate_company
+LEFT JOIN fx le ON le.f = s.ccy AND le.t = 'EUR' AND le.moment = b.fec_creacion
+    AND le.p IS NOT DISTINCT FROM b.partner_ttoo AND le.c IS NOT DISTINCT FROM b.rate_company"""
+QUERIES["unrated_amounts"] = "\nUNION ALL\n".join(
+    _unrated_rows(
+        _LINE_RATES.format(sub="sale_sub"),
+        "b.gdiv_cod_divisa",
+        [
+            ("TTV_EUR_currency", _TTV, "s.gross", "be.rate"),
+            ("tax_ttv_eur", _TAX, "s.tax_gn", "be.rate"),
+            ("Tax_TTV_EUR_TOMS", _TAX, "s.tax_en", "be.rate"),
+            ("Client_EUR_Commision", _SOLD, "s.billed", "be.rate"),
+            ("Tax_Client_EUR_commision", "s.tipo = 'O'", "s.billed_tax", "be.rate"),
+            ("Client_EUR_rappel", "s.tipo = 'D'", "s.billed", "be.rate"),
+            ("tax_Client_EUR_rappel", "s.tipo = 'D'", "s.billed_tax", "be.rate"),
+        ],
+    )
+    + _unrated_rows(
+        _LINE_RATES.format(sub="cost_sub"),
+        "s.ccy",
+        [
+            ("cost_booking_currency", f"{_COST} AND s.tipo <> 'SC'", "s.gross", "lb.rate"),
+            ("cost_eur_currency", f"{_COST} AND s.tipo <> 'SC'", "s.gross", "le.rate"),
+            ("tax_cost", _COST, "s.tax_gn", "lb.rate"),
+            ("tax_cost_EUR", _COST, "s.tax_gn", "le.rate"),
+            ("tax_cost_TOMS", _COST, "s.tax_en", "lb.rate"),
+            ("tax_cost_EUR_TOMS", _COST, "s.tax_en", "le.rate"),
+            *[
+                (name, f"s.tipo = '{code}'", amount, rate)
+                for code, names in HOTEL_PAY.items()
+                for name, amount, rate in zip(
+                    names,
+                    ("s.billed", "s.billed_tax", "s.billed", "s.billed_tax_eur"),
+                    ("lb.rate", "lb.rate", "le.rate", "le.rate"),
+                    strict=True,
+                )
+            ],
+        ],
+    )
+    + _unrated_rows(_RECHARGED, "s.ccy", [("dr_cost", "true", "s.amount", "lb.rate"), ("dr_cost_EUR", "true", "s.amount", "le.rate")])
+    + _unrated_rows(
+        f"hdr b JOIN component_sub s ON b.grec_seq_rec = s.rec AND b.seq_reserva = s.res {_HEADER_RATES}",
+        "b.gdiv_cod_divisa",
+        [("canal_EUR", "true", "s.canal", "be.rate"), ("canco_EUR", "true", "s.canco", "be.rate")],
+    )
+    + _unrated_rows(
+        f"""hdr b JOIN (SELECT seq_rec AS rec, seq_reserva AS res, sum({_dec("imp_com_age")}) AS agent,
+    sum({_dec("imp_comision_imp")}) AS agent_tax FROM commission GROUP BY seq_rec, seq_reserva) s
+    ON b.grec_seq_rec = s.rec AND b.seq_reserva = s.res {_HEADER_RATES}""",
+        "b.cod_divisa_p",
+        [
+            ("GSA_Commision", "true", "s.agent", "pb.rate"),
+            ("GSA_EUR_Commision", "true", "s.agent", "pe.rate"),
+            ("Tax_GSA_Commision", "true", "s.agent_tax", "pb.rate"),
+            ("Tax_GSA_EUR_Commision", "true", "s.agent_tax", "pe.rate"),
+        ],
     )
 )
 QUERIES["sink_roundtrip"] = QUERIES["date_text_fields"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,14 @@ from pyspark.sql import types as T
 from staymart.functions import amounts, attributes
 from staymart.functions.codes import COMPONENTS, TTV_EXCLUDED
 from staymart.operators import exchange
-from staymart.operators.full_exchange import Asked, FullConverter, full_exchange, rate_sources
+from staymart.operators.full_exchange import (
+    Asked,
+    FullConverter,
+    full_exchange,
+    rate_sources,
+    reject_counts,
+    split_rejects,
+)
 from staymart.operators.exclusion import EXCLUDED_KEY, campaign_exclusion
 from staymart.operators.lookups import (
     COMPONENT_TAX_KEYS,
@@ -509,16 +517,26 @@ def _chain_rows(t: Tables) -> DataFrame:
     )
 
 
-def _chain(t: Tables) -> DataFrame:
-    asked = Asked(
-        "fx", "gdiv_cod_divisa", "target_ccy", "moment", "partner_ttoo", "rate_company", "purpose", "direct"
-    )
-    return full_exchange(_chain_rows(t), rate_sources(t), t["currency"], asked, "amount", "kind", "exchanged")
+CHAIN = Asked(
+    "fx", "gdiv_cod_divisa", "target_ccy", "moment", "partner_ttoo", "rate_company", "purpose", "direct"
+)
 
 
 def fx_full_chain(t: Tables) -> DataFrame:
     columns = ["gdiv_cod_divisa", "target_ccy", "exchanged", "exchanged_type", "exchanged_source"]
-    return _chain(t).select(*KEY, *columns, _six("exchanged_rate"), "exchanged_reason")
+    exchanged = full_exchange(
+        _chain_rows(t), rate_sources(t), t["currency"], CHAIN, "amount", "kind", "exchanged"
+    )
+    return exchanged.select(*KEY, *columns, _six("exchanged_rate"), "exchanged_reason")
+
+
+def rate_request_rejects(t: Tables) -> DataFrame:
+    """Bookings that can't be asked for a rate, by reason, beside those that can."""
+    rows = _chain_rows(t).select(*KEY, *CHAIN.columns())
+    folder = f"{shared_folder(t.spark)}/rate-requests-{uuid4().hex}"
+    good, rejects = split_rejects(rows, CHAIN, folder)
+    accepted = good.agg(F.lit("accepted").alias("reason"), F.count(F.lit(1)).alias("n_requests"))
+    return reject_counts(rejects).unionByName(accepted)
 
 
 def round_by_currency(t: Tables) -> DataFrame:
@@ -552,11 +570,26 @@ def union_distinct_literal(t: Tables) -> DataFrame:
 
 
 def unrated_amounts(t: Tables) -> DataFrame:
-    wanted = measures.COST
+    """Of every measure that takes a rate, what it misses."""
+    rollups = measures.stack_rollups(
+        {
+            "sale": _sale(t),
+            "cost": _recharged_cost(t),
+            "component": _components(t),
+            "agent": rollup.rollup_commissions(t["commission"]),
+        }
+    )
+    stacks = {
+        "sale": measures.SALE,
+        "cost": [*measures.COST, *measures.RECHARGE, *measures.HOTEL_PAYMENT],
+        "component": measures.COMPONENT,
+        "agent": measures.AGENT,
+    }
+    wanted = [m for source, those in stacks.items() for m in measures.of(source, those)]
     header_rows = measures.measure_header(
         t["booking"], t["interface"], t["currency"], wanted, receptive=t["receptive"]
     )
-    return measures.unrated_amounts(header_rows, _cost(t), wanted, _converter(t))
+    return measures.unrated_amounts(header_rows, rollups, wanted, _converter(t))
 
 
 def _transfer(*columns: str) -> Callable[[Tables], DataFrame]:
@@ -658,6 +691,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "fx_triangulate": fx_triangulate,
     "fx_convert": fx_convert,
     "fx_full_chain": fx_full_chain,
+    "rate_request_rejects": rate_request_rejects,
     "round_by_currency": round_by_currency,
     "ttv": _fold(_sale, measures.TTV),
     "tax_ttv": _fold(_sale, measures.TAX_TTV),
