@@ -6,8 +6,9 @@ source in this order with a rate in force wins. A pair without any goes through
 leg by the same order.
 
 Rows with one partner, company, date and pair ask the same question. The distinct questions
-are narrow and far fewer than rows; each is answered once, by one lookup of all its candidates,
-and the answers are joined back. Neither lines nor headers are carried through a lookup.
+are narrow; each is answered once, by one lookup of all its candidates, and the answers are
+joined back, by the question or, within a key such as the booking's, by that key. Neither lines
+nor headers are carried through a lookup.
 """
 
 from __future__ import annotations
@@ -144,13 +145,13 @@ def _probes(sources: RateSources) -> Column:
     return F.array_compact(F.array(*probes))
 
 
-def answers(questions: DataFrame, sources: RateSources) -> DataFrame:
-    """(QUESTION, rate_type, rate, rate_source, spreads) of distinct questions.
+def answers(questions: DataFrame, sources: RateSources, carry: Sequence[str] = ()) -> DataFrame:
+    """(carry, QUESTION, rate_type, rate, rate_source, spreads) of distinct questions.
 
     One lookup over all candidates; of each leg the first source in force counts. rate_source
     names it, both for a pair that goes through the pivot.
     """
-    typed = _typed(questions.select(*QUESTION), sources)
+    typed = _typed(questions.select(*carry, *QUESTION), sources)
     probed = typed.withColumn("probe", F.explode_outer(_probes(sources))).select(*typed.columns, "probe.*")
     found = asof_lookup(
         probed, sources.candidates, {"scope": "scope", "a": "from_ccy", "b": "to_ccy"}, "at", {"rate": "found"}
@@ -215,61 +216,102 @@ class Asked:
 
 
 def attach_rates(
-    rows: DataFrame, asked: Sequence[Asked], sources: RateSources, details: bool = False
+    rows: DataFrame,
+    asked: Sequence[Asked],
+    sources: RateSources,
+    details: bool = False,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """Add the rate of each of ``asked``; 1 within one currency, null when there is none.
 
     With ``details`` also name_type, name_source, name_reason and the three spreads.
+    ``within`` names a key of few rows by which they are, or will be, dealt out: questions are
+    then told apart by it too, and all answers of a key come back to its rows in one join on it
+    alone, so that nothing is moved but by that key. Rows without the key get no answer.
     """
     questions = [a.question(sources.pivot) for a in asked]
     useful = [reject_reason(q).isNull() & (q["from_ccy"] != q["to_ccy"]) for q in questions]
+    keys = {name: f"__within_{name}" for name in within}
     entries = [F.when(u, F.struct(*[q[n].alias(n) for n in QUESTION])) for q, u in zip(questions, useful, strict=True)]
-    distinct = rows.select(F.explode(F.array_compact(F.array(*entries))).alias("q")).select("q.*").distinct()
-    answered = answers(distinct, sources)
+    # The key stays a column of its own, so that Spark knows how its rows are dealt out.
+    own = [F.col(name).alias(key) for name, key in keys.items()]
+    each = rows.select(*own, F.explode(F.array_compact(F.array(*entries))).alias("q"))
+    distinct = each.select(*keys.values(), "q.*").distinct()
+    answered = answers(distinct, sources, list(keys.values()))
+    found = [*(["rate_type", "rate_source", *SPREADS] if details else []), "rate"]
+    if within:
+        return _attach_within(rows, asked, questions, useful, answered, found, keys, details)
     out = rows
     for a, q, u in zip(asked, questions, useful, strict=True):
-        found = [*(["rate_type", "rate_source", *SPREADS] if details else []), "rate"]
         side = answered.select(
-            *[F.col(n).alias(f"__{a.name}_{n}") for n in QUESTION], *[F.col(n).alias(f"__{a.name}_{n}") for n in found]
+            *[F.col(n).alias(f"__{a.name}_{n}") for n in QUESTION], F.struct(*found).alias(f"__{a.name}")
         )
         match = u
         for n in QUESTION:
             match = match & q[n].eqNullSafe(F.col(f"__{a.name}_{n}"))
-        same = q["from_ccy"] == q["to_ccy"]
-        columns = {a.name: F.when(same, F.lit(1.0)).otherwise(F.col(f"__{a.name}_rate"))}
-        if details:
-            columns |= {
-                f"{a.name}_type": F.col(f"__{a.name}_rate_type"),
-                f"{a.name}_source": F.when(same, F.lit("same")).otherwise(F.col(f"__{a.name}_rate_source")),
-                f"{a.name}_reason": reject_reason(q),
-                **{f"{a.name}_{n}": F.coalesce(f"__{a.name}_{n}", F.lit(0.0)) for n in SPREADS},
-            }
         joined = out.join(side, match, "left")
-        out = joined.select(*out.columns, *[value.alias(name) for name, value in columns.items()])
+        out = joined.select(*out.columns, *_outputs(a, q, F.col(f"__{a.name}"), details))
     return out
 
 
+def _attach_within(
+    rows: DataFrame,
+    asked: Sequence[Asked],
+    questions: Sequence[dict[str, Column]],
+    useful: Sequence[Column],
+    answered: DataFrame,
+    found: Sequence[str],
+    keys: dict[str, str],
+    details: bool,
+) -> DataFrame:
+    answer = F.struct(F.struct(*QUESTION), F.struct(*found))
+    per_key = answered.groupBy(*keys.values()).agg(F.map_from_entries(F.collect_list(answer)).alias("__answers"))
+    match = [F.col(name) == F.col(key) for name, key in keys.items()]
+    joined = rows.join(per_key, match, "left")
+    outputs = []
+    for a, q, u in zip(asked, questions, useful, strict=True):
+        key = F.struct(*[q[n].alias(n) for n in QUESTION])
+        outputs += _outputs(a, q, F.when(u, F.try_element_at("__answers", key)), details)
+    return joined.select(*rows.columns, *outputs)
+
+
+def _outputs(asked: Asked, question: dict[str, Column], answer: Column, details: bool) -> list[Column]:
+    same = question["from_ccy"] == question["to_ccy"]
+    columns = {asked.name: F.when(same, F.lit(1.0)).otherwise(answer["rate"])}
+    if details:
+        columns |= {
+            f"{asked.name}_type": answer["rate_type"],
+            f"{asked.name}_source": F.when(same, F.lit("same")).otherwise(answer["rate_source"]),
+            f"{asked.name}_reason": reject_reason(question),
+            **{f"{asked.name}_{n}": F.coalesce(answer[n], F.lit(0.0)) for n in SPREADS},
+        }
+    return [value.alias(name) for name, value in columns.items()]
+
+
 class FullConverter:
     """A converter for the plans that knows a booking's partner and company.
 
-    Rows carry these in the columns ``partner`` and ``company``.
+    Rows carry these in the columns of ``context``. Where rows have the columns of ``within``,
+    a booking's key, its rates come back by that key.
     """
 
     context = ("partner_ttoo", "rate_company")
 
-    def __init__(self, sources: RateSources, purpose: str = "R"):
-        self.sources, self.purpose = sources, purpose
-
-    def _asked(self, name: str, from_ccy: str, to_ccy: str | None, at: str) -> Asked:
-        partner, company = self.context
-        return Asked(name, from_ccy, to_ccy, at, partner, company, F.lit(self.purpose))
+    def __init__(
+        self, sources: RateSources, purpose: str = "R", within: Sequence[str] = ("grec_seq_rec", "seq_reserva")
+    ):
+        self.sources, self.purpose, self.within = sources, purpose, tuple(within)
 
     def __call__(self, df: DataFrame, from_ccy: str, to_ccy: str | None, at: str, out: str) -> DataFrame:
-        return attach_rates(df, [self._asked(out, from_ccy, to_ccy, at)], self.sources)
+        return self.attach(df, [(out, from_ccy, to_ccy, at)])
 
     def attach(self, df: DataFrame, rates: Sequence[tuple[str, str, str | None, str]]) -> DataFrame:
         """All of (name, source, target, date) at once, from one set of questions."""
-        return attach_rates(df, [self._asked(*rate) for rate in rates], self.sources) if rates else df
+        if not rates:
+            return df
+        asked = [Asked(*rate, *self.context, F.lit(self.purpose)) for rate in rates]
+        within = self.within if set(self.within) <= set(df.columns) else ()
+        return attach_rates(df, asked, self.sources, within=within)
 
 
 def full_exchange(

@@ -8,6 +8,8 @@ is shuffled with skew splitting otherwise.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +32,9 @@ COMPONENT_TAX_KEYS = (
 )
 # --- end of fixed values ---
 
+TAX_SALTS = 8
+NO_KEY_SALTS = 10_000
+
 
 def restrict_to_keys(rows: DataFrame, keys: DataFrame, on: dict[str, str]) -> DataFrame:
     """Keep rows whose key (left name -> right name) is among ``keys``."""
@@ -80,8 +85,15 @@ def tax_lookup(
     line_keys: Sequence[str] = LINE_TAX_KEYS,
     output: str = "pct_impuesto",
     how: str = "left",
+    spread_by: Sequence[str] = (),
+    salts: int = TAX_SALTS,
 ) -> DataFrame:
-    """Attach the percentage found under the five-part tax key."""
+    """Attach the percentage found under the five-part tax key.
+
+    With ``spread_by``, columns that tell lines apart, no key gathers its lines in one task
+    where the tax table is too large to be broadcast: lines of a key are dealt over ``salts``
+    copies of its row, and lines without a whole key, which match nothing, over all tasks.
+    """
     side = unique_rates(tax).select(
         *[F.col(key).alias(f"__{output}_{key}") for key in TAX_KEYS],
         F.col("pct_impuesto").alias(f"__{output}"),
@@ -90,9 +102,19 @@ def tax_lookup(
         F.col(line_key) == F.col(f"__{output}_{key}")
         for line_key, key in zip(line_keys, TAX_KEYS, strict=True)
     ]
-    joined = lines.join(side, match, how)
+    salt, number = f"__{output}_salt", f"__{output}_number"
+    rows = lines
+    if spread_by:
+        number_of = F.xxhash64(*spread_by)
+        whole = reduce(and_, [F.col(key).isNotNull() for key in line_keys])
+        # Salts below 0 have no row to meet.
+        own = F.when(whole, F.pmod(number_of, F.lit(salts))).otherwise(-1 - F.pmod(number_of, F.lit(NO_KEY_SALTS)))
+        rows = lines.withColumn(salt, own.cast("int"))
+        side = side.withColumn(number, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        match.append(F.col(salt) == F.col(number))
+    joined = rows.join(side, match, how)
     return joined.withColumnRenamed(f"__{output}", output).drop(
-        *[f"__{output}_{key}" for key in TAX_KEYS]
+        salt, number, *[f"__{output}_{key}" for key in TAX_KEYS]
     )
 
 

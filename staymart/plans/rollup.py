@@ -1,10 +1,11 @@
-"""Reduction of booking lines before anything is joined to them.
-
-Lines are aggregated straight from the scan to one row per booking and line class
-(currency, record type, billable, tax regime). What depends on the booking header -
-payment mode, exchange date, rounding scale - is kept apart by class or as alternative
-sums and decided afterwards, so raw lines never cross the network and a booking holding
-a large share of all lines is pre-aggregated by every task that reads a piece of it.
+"""Reduction of booking lines before they meet their booking.
+
+Lines are aggregated to one row per booking and line class (currency, record type, billable,
+tax regime). What depends on the booking header - payment mode, exchange date, rounding scale -
+is kept apart by class or as alternative sums and decided afterwards, so a booking holding a
+large share of all lines is pre-aggregated by every task that reads a piece of it. The tax
+percentage is looked up first, on the raw lines: they stay where they are while the tax table
+is small enough to be broadcast, and are dealt out by salted tax key otherwise.
 """
 
 from __future__ import annotations
@@ -36,6 +37,9 @@ from staymart.functions.codes import (
 from staymart.operators.exclusion import EXCLUDED_KEY
 from staymart.operators.lookups import COMPONENT_TAX_KEYS, exclude_keys, tax_lookup
 
+# Columns that tell the lines of one tax key apart.
+LINE_SPREAD = ("grec_seq_rec", "rres_seq_reserva", "fec_desde", "nro_pax", "imp_unitario")
+COMPONENT_SPREAD = ("seq_rec", "seq_reserva", "imp_venta", "imp_coste")
 ROLLUP_KEY = ("line_seq_rec", "line_seq_reserva")
 
 
@@ -69,7 +73,7 @@ def rollup_lines(
     if exclusion is not None:
         keys["recharge_ord"] = F.when(recharged, F.col("rext_ord_extra"))
     unit = F.col("imp_unitario").cast("double")
-    rated = tax_lookup(counted, tax).select(
+    rated = tax_lookup(counted, tax, spread_by=LINE_SPREAD).select(
         *[value.alias(name) for name, value in keys.items()],
         unit.alias("unit_amount"),
         contained_tax(unit, F.col("pct_impuesto")).alias("unit_tax"),
@@ -127,7 +131,9 @@ def component_taxes(components: DataFrame, tax: DataFrame) -> DataFrame:
     Sale and purchase percentage are two roles of one table under the same five
     key columns; lines without a tax row drop out.
     """
-    rated = tax_lookup(components, tax, COMPONENT_TAX_KEYS, "pct_vta", "inner").withColumn(
+    rated = tax_lookup(
+        components, tax, COMPONENT_TAX_KEYS, "pct_vta", "inner", spread_by=COMPONENT_SPREAD
+    ).withColumn(
         "pct_cpa", F.col("pct_vta")
     )
     canal = canal_tax(

@@ -41,6 +41,30 @@ def read_extract(
     return spark.read.format(fmt).load(run_path(base, run_date))
 
 
+def merge_extract(changed: DataFrame, path: str, keys: Sequence[str], part: str) -> None:
+    """Put changed rows in the place of those with their keys in the extract at ``path``.
+
+    The extract is parted by ``part``, a column that never changes for a key, such as the
+    period in which a booking was created. Only parts with changes are read and written anew,
+    each replaced as a whole, so a second run with the same rows changes nothing. The rows are
+    written beside the extract first, as one plan feeds both the list of parts and the merge.
+    """
+    spark = changed.sparkSession
+    names = changed.columns
+    staged = f"{shared_folder(spark)}/changed"
+    changed.write.parquet(staged)
+    new = spark.read.schema(changed.schema).parquet(staged)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    merged = new
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        old = spark.read.schema(changed.schema).parquet(path).select(*names)
+        touched = old.join(new.select(part).distinct(), part, "left_semi")
+        same = [touched[key].eqNullSafe(new[key]) for key in keys]
+        merged = touched.join(new, same, "left_anti").select(*names).unionByName(new)
+    writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(part).parquet(path)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, removed when the driver's file system closes.
 

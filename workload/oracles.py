@@ -928,6 +928,31 @@ QUERIES["unrated_amounts"] = "\nUNION ALL\n".join(
         ],
     )
 )
+QUERIES["clustered_hotel_pay"] = QUERIES["hotel_pay_measures"]
+QUERIES["incremental_extract"] = f"""SELECT {_KEY}, TTV_booking_currency, TTV_EUR_currency,
+    strftime(b.fec_creacion, '%Y') AS created FROM m_sale JOIN booking b USING (grec_seq_rec, seq_reserva)"""
+_RECONCILED = {
+    "ttv": ("ttv", "ttv", "TTV_booking_currency"),
+    "tax_ttv": ("tax_ttv", "tax_ttv", "tax_ttv"),
+    "tax_ttv_toms": ("tax_ttv", "tax_ttv_toms", "tax_ttv_toms"),
+    "client_commission": ("client_com", "cli_comm", "Client_Commision"),
+    "tax_client_commission": ("tax_client_com", "tax_client_com", "Tax_Client_commision"),
+    "client_rappel": ("client_rap", "cli_rappel", "client_rappel"),
+    "tax_client_rappel": ("tax_client_rap", "tax_cli_rappel", "tax_client_rappel"),
+}
+_HELD = "\nUNION ALL\n".join(
+    f"""SELECT '{name}' AS measure, s.seq_reserva IS NULL AS extra, c.seq_reserva IS NULL AS missing,
+    CAST(s.{old} AS DOUBLE) AS stored, CAST(c.{new} AS DOUBLE) AS computed
+FROM measure_{table} s FULL JOIN m_sale c
+    ON s.grec_seq_rec = c.grec_seq_rec AND s.seq_reserva = c.seq_reserva"""
+    for name, (table, old, new) in _RECONCILED.items()
+)
+QUERIES["reconcile_measures"] = f"""SELECT measure, CASE WHEN missing THEN 'missing'
+    WHEN extra THEN 'extra' WHEN stored IS NOT DISTINCT FROM computed THEN 'equal'
+    WHEN abs(computed - stored) <= greatest(0.005, abs(stored) * CAST(0.01 AS DOUBLE)) THEN 'close'
+    ELSE 'different' END AS verdict,
+    count(*) AS n_bookings, max(abs(computed - stored)) AS largest
+FROM ({_HELD}) held GROUP BY ALL"""
 QUERIES["sink_roundtrip"] = QUERIES["date_text_fields"]
 
 

@@ -38,10 +38,19 @@ from staymart.plans.measure_tables import (
     with_placeholders,
 )
 from staymart.plans.star_sql import star_extract
-from staymart.sources.catalog import date_window, numbered, project
-from staymart.sources.sinks import read_extract, shared_folder, write_extract
+from staymart.sources.catalog import changed_bookings, date_window, numbered, project
+from staymart.plans.reconcile import reconcile, reconcile_summary
+from staymart.sources.layout import Clustered, write_clustered
+from staymart.sources.sinks import merge_extract, read_extract, shared_folder, write_extract
 from workload.tables import Tables
 
+CLUSTER_BUCKETS = 32
+# By date of creation, modification or cancellation; together they hold every booking.
+CHANGES = [
+    ("0001-01-01 00:00:00", "1994-12-31 23:59:59"),
+    ("1995-01-01 00:00:00", "1996-12-31 23:59:59"),
+    ("1997-01-01 00:00:00", "9999-12-31 00:00:00"),
+]
 WINDOW = ("1996-01-01 00:00:00", "1998-12-31 23:59:59")
 KEY = list(measures.BOOKING_KEY)
 
@@ -173,7 +182,7 @@ def night_amount(t: Tables) -> DataFrame:
 
 
 def contained_tax(t: Tables) -> DataFrame:
-    return tax_lookup(t["sale"], t["tax"]).select(
+    return tax_lookup(t["sale"], t["tax"], spread_by=rollup.LINE_SPREAD).select(
         "rres_seq_reserva",
         "imp_unitario",
         "pct_impuesto",
@@ -274,14 +283,15 @@ def validity_range_join(t: Tables) -> DataFrame:
 
 
 def tax_lookup_outer(t: Tables) -> DataFrame:
-    return tax_lookup(t["sale"], t["tax"]).select(
+    return tax_lookup(t["sale"], t["tax"], spread_by=rollup.LINE_SPREAD).select(
         "rres_seq_reserva", "nro_pax", "rvp_cod_impuesto", "rvp_cod_empresa", "pct_impuesto"
     )
 
 
 def tax_lookup_inner(t: Tables) -> DataFrame:
-    sold = tax_lookup(t["components"], t["tax"], COMPONENT_TAX_KEYS, "pct_vta", "inner")
-    both = tax_lookup(sold, t["tax"], COMPONENT_TAX_KEYS, "pct_cpa", "inner")
+    spread = rollup.COMPONENT_SPREAD
+    sold = tax_lookup(t["components"], t["tax"], COMPONENT_TAX_KEYS, "pct_vta", "inner", spread)
+    both = tax_lookup(sold, t["tax"], COMPONENT_TAX_KEYS, "pct_cpa", "inner", spread)
     return both.select("seq_reserva", "component", "cod_impuesto_vta_fac", "pct_vta", "pct_cpa")
 
 
@@ -656,6 +666,48 @@ def windowed_extract(t: Tables) -> DataFrame:
     return _dates_as_text(extract.windowed_extract(t, window, _converter(t)))
 
 
+def clustered_hotel_pay(t: Tables) -> DataFrame:
+    """The hotel-payment measures over a layout clustered by booking."""
+    names = ["booking", "cost"]
+    prefix = f"clustered_{uuid4().hex}"
+    write_clustered(t, names, shared_folder(t.spark), prefix, CLUSTER_BUCKETS)
+    return _fold(_cost, measures.HOTEL_PAYMENT)(Clustered(t.spark, prefix, names, t))
+
+
+# Stored measure -> the computed one that it should equal.
+RECONCILED = {
+    "ttv": ("ttv", "ttv", "TTV_booking_currency"),
+    "tax_ttv": ("tax_ttv", "tax_ttv", "tax_ttv"),
+    "tax_ttv_toms": ("tax_ttv", "tax_ttv_toms", "tax_ttv_toms"),
+    "client_commission": ("client_com", "cli_comm", "Client_Commision"),
+    "tax_client_commission": ("tax_client_com", "tax_client_com", "Tax_Client_commision"),
+    "client_rappel": ("client_rap", "cli_rappel", "client_rappel"),
+    "tax_client_rappel": ("tax_client_rap", "tax_cli_rappel", "tax_client_rappel"),
+}
+
+
+def reconcile_measures(t: Tables) -> DataFrame:
+    """Stored sale measures held against the computed ones, counted by verdict."""
+    stored = None
+    for table in dict.fromkeys(name for name, _, _ in RECONCILED.values()):
+        stored = t[f"measure_{table}"] if stored is None else stored.join(t[f"measure_{table}"], KEY, "full")
+    computed = _fold(_sale, measures.SALE)(t)
+    pairs = {name: (old, new) for name, (_, old, new) in RECONCILED.items()}
+    rows = reconcile(stored, computed, KEY, pairs, absolute=0.005, relative=0.01)
+    return reconcile_summary(rows)
+
+
+def incremental_extract(t: Tables) -> DataFrame:
+    """An extract kept up to date over three windows of changes, the last one run twice."""
+    folder = f"{shared_folder(t.spark)}/incremental"
+    for window in (*CHANGES, CHANGES[-1]):
+        changed = changed_bookings(t["booking"], *window)
+        rows = _fold(_sale, measures.TTV)(extract.restrict_tables(t, changed))
+        created = changed.select(*KEY, F.date_format("fec_creacion", "yyyy").alias("created"))
+        merge_extract(rows.join(created, KEY), folder, KEY, "created")
+    return t.spark.read.parquet(folder).withColumn("created", F.col("created").cast("string"))
+
+
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "scan_projected": scan_projected,
     "scan_date_window": scan_date_window,
@@ -722,6 +774,9 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "stage_counts": stage_counts,
     "full_extract": full_extract,
     "windowed_extract": windowed_extract,
+    "clustered_hotel_pay": clustered_hotel_pay,
+    "reconcile_measures": reconcile_measures,
+    "incremental_extract": incremental_extract,
 }
 
 
