@@ -190,7 +190,8 @@ def _linked(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int)
     shared = F.size(F.array_intersect("x", "y"))
     union = F.size("x") + F.size("y") - shared
     pairs = _plausible(pairs, classes, percent)
-    return keep(pairs.join(right, "b").join(left, "a").where(shared * 100 >= union * percent).select("a", "b"))
+    confirmed = pairs.join(right, "b").join(left, "a").where(shared * 100 >= union * percent)
+    return keep(confirmed.select("a", "b"))
 
 
 def _sizes_fit(x: str, y: str, percent: int) -> Column:
@@ -203,7 +204,8 @@ def near_duplicates(
     """(doc_id, n_shingles, component_id, kept) per row of ``docs``.
 
     component_id is the smallest id that links reach; without links, or with a null id, the
-    document's own. kept tells whether it is the own one (true for a null id).
+    document's own. kept tells whether it is the own one (true for a null id). Rows of one id
+    with different texts are one document that has the links of all of them.
     """
     rows = keep(sketches(docs, doc_id, text, shingle))
     classes = keep(
@@ -219,9 +221,10 @@ def near_duplicates(
     members = classes.select(F.col("rep").alias("u"), "n", F.posexplode("bands").alias("band", "key"))
     shared = members.groupBy("band", "key").agg(F.count("*").alias("m")).where("m > 1").drop("m")
     members = keep(members.join(shared, ["band", "key"]))
-    # An id may stand in several rows; one of them shows the class's set.
+    # An id may stand in several rows: each of its different sets once.
     ids = members.select(F.col("u").alias("doc_id")).distinct()
-    sets = keep(shingle_table(docs, ids, doc_id, text, shingle).dropDuplicates(["doc_id"]))
+    sets = shingle_table(docs, ids, doc_id, text, shingle).withColumn("set", F.xxhash64("shingles"))
+    sets = keep(sets.dropDuplicates(["doc_id", "set"]).drop("set"))
 
     links = None
     labels = members.select(F.col("u").alias("node"), F.col("u").alias("component")).where("false")
