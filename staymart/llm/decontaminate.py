@@ -134,6 +134,13 @@ def _found(d: DataFrame, its: DataFrame, k: int, small: bool) -> DataFrame:
 
 
 def without_benchmark(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without those that hold an item; same columns."""
-    gone = contaminated(docs, items, doc_id, text).select(F.col("doc_id").alias("__gone_id")).distinct()
-    return docs.join(gone, docs[doc_id].eqNullSafe(gone["__gone_id"]), "left_anti")
+    """``docs`` without those that hold an item; same columns.
+
+    A text decides on its own rows, whatever their ids: clean rows stay beside contaminated
+    ones with the same or no id. Texts are told apart by 128 bits of hashes.
+    """
+    key = F.struct(F.xxhash64(F.col(text)).alias("a"), F.xxhash64(F.lit(1), F.col(text)).alias("b"))
+    columns = docs.columns
+    keyed = docs.withColumn("__text_key", key)
+    gone = contaminated(keyed, items, "__text_key", text).select(F.col("doc_id").alias("__gone_key")).distinct()
+    return keyed.join(gone, F.col("__text_key") == F.col("__gone_key"), "left_anti").select(*[F.col(f"`{c}`") for c in columns])

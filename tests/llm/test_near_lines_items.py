@@ -59,6 +59,16 @@ def test_near_duplicates_of_nothing_and_null_ids(spark):
     ]
 
 
+def test_links_of_repeated_ids(spark):
+    """Document 3 stands with two texts; 9 is close to the second, 1 to the first."""
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(3, a), (3, b), (9, b + " more"), (5, "of its own " * 9), (3, b)]
+    got = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in hyperminhash.near_duplicates(brute.frame(spark, rows)).collect()}
+    assert got[9, 58] == (3, False) and got[3, 57] == (3, True) and got[5, 3] == (5, True)
+    both = hyperminhash.near_duplicates(brute.frame(spark, [*rows, (1, "and " + a)])).collect()
+    assert {r.doc_id: r.component_id for r in both} == {1: 1, 3: 1, 9: 1, 5: 5}
+
+
 def test_near_duplicates_keep_columns_with_any_name(spark, texts):
     docs = brute.frame(spark, texts).withColumns({"component_id": F.lit("x"), "n_shingles": F.lit(1), "kept": F.lit(None)})
     left = hyperminhash.without_near_duplicates(docs)
@@ -159,6 +169,16 @@ def test_contaminated(spark, texts, items):
     assert {r.doc_id for r in left.collect()} == {i for i, _ in rows} - {d for d, _ in want}
 
 
+def test_clean_rows_stay_beside_contaminated_ones_of_their_id(spark):
+    item = " ".join(f"q{i}" for i in range(20))
+    rows = [(None, "clean text"), (None, f"so {item} it is"), (None, None), (7, "clean too"), (7, item), (8, item), (8, "")]
+    docs = brute.frame(spark, rows)
+    left = without_benchmark(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert left.columns == docs.columns
+    want = [(None, "clean text"), (None, None), (7, "clean too"), (8, "")]
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_contaminated_of_nothing(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     docs = brute.frame(spark, [(1, "a b c d e f"), (None, None)])
