@@ -117,13 +117,14 @@ def world(spark):
 ASKED = Asked("fx", "f", "t", "moment", "partner", "company", "purpose", "direct")
 
 
+@pytest.mark.parametrize("within", [(), ("n",), ("half",)])
 @pytest.mark.parametrize("broadcast", ["10m", "-1"])
-def test_chain_against_plain_python(spark, world, broadcast):
+def test_chain_against_plain_python(spark, world, broadcast, within):
     rows, tables, asked = world
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     try:
-        frame = spark.createDataFrame(asked, QUESTIONS)
-        found = attach_rates(frame, [ASKED], rate_sources(tables), details=True).collect()
+        frame = spark.createDataFrame(asked, QUESTIONS).withColumn("half", F.expr("n div 2"))
+        found = attach_rates(frame, [ASKED], rate_sources(tables), details=True, within=within).collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(found) == len(asked)
