@@ -5,7 +5,7 @@ from fixtures import booking, table
 from pyspark.errors import AnalysisException
 
 from staymart.sources import sinks
-from staymart.sources.catalog import SCHEMAS, Source, jdbc_options, numbered, read_table
+from staymart.sources.catalog import SCHEMAS, Source, jdbc_options, numbered, read_table, split_predicates
 
 
 def test_file_source_reads_the_declared_schema(spark, tmp_path):
@@ -34,6 +34,22 @@ def test_jdbc_source_splits_large_tables():
         jdbc_options(source, "cost")
 
 
+def test_splits_follow_the_keys(spark):
+    """Numbers in two far clusters, one number that a third of the rows have, and nulls."""
+    keys = spark.range(9000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 5000000 WHEN id % 100 = 1 THEN NULL "
+        "WHEN id < 4000 THEN id ELSE 1000000000 + id * id END AS n"
+    )
+    parts = split_predicates(keys, "n", 12)
+    counts = keys.selectExpr(*[f"count_if({p}) AS c{i}" for i, p in enumerate(parts)]).first()
+    assert sum(counts) == 9000  # nulls count in the first
+    assert keys.where(" OR ".join(f"({p})" for p in parts)).count() == 9000
+    assert sorted(counts)[-1] == 3000 and sorted(counts)[-2] <= 2 * 9000 / 12
+    assert split_predicates(keys.limit(0), "n", 12) == ["1 = 1"] and split_predicates(keys, "n", 1) == ["1 = 1"]
+    source = Source("jdbc", "{table}", {"url": "jdbc:postgresql://example/db"}, predicates={"sale": parts})
+    assert "partitionColumn" not in jdbc_options(source, "sale")
+
+
 def test_shared_folders_differ(spark):
     assert sinks.shared_folder(spark) != sinks.shared_folder(spark)
 
