@@ -282,9 +282,9 @@ FROM (SELECT r_regionkey, {d.quarters} AS quarter FROM {{region}}) q""",
     CASE WHEN way = 0 THEN 'EUR' ELSE concat('C', k) END AS cod_divisa_des,
     {d.days("quarter", "k % 20 + way * (k % 2) * 10 + p * 3")} AS fec_desde,
     0.5 + CAST(10 + 10 * ((k * 7 + month(quarter) + way + p * 5) % 13) AS DOUBLE) / 73 AS nro_tasa
-FROM (SELECT k, quarter, {d.both} AS way FROM (
-    SELECT n_nationkey AS k, {d.quarters} AS quarter FROM {{nation}}) n) q
-CROSS JOIN (SELECT CAST(1 AS BIGINT) AS p UNION ALL SELECT CAST(2 AS BIGINT)) partner
+FROM (SELECT k, quarter, way, CAST(1 + second AS BIGINT) AS p FROM (
+    SELECT k, quarter, way, {d.both} AS second FROM (SELECT k, quarter, {d.both} AS way FROM (
+        SELECT n_nationkey AS k, {d.quarters} AS quarter FROM {{nation}}) n) w) s) q
 WHERE k > 0 AND (k % 3 > 0 OR way = 0) AND (k % 3 < 2 OR way = 1) AND (p = 1 OR k % 4 <> 1)""",
         # Rates of a rate type: most currencies against the euro, some pairs of others.
         "type_rate": f"""SELECT concat('T', ty) AS tipo_cambio,
@@ -293,10 +293,11 @@ WHERE k > 0 AND (k % 3 > 0 OR way = 0) AND (k % 3 < 2 OR way = 1) AND (p = 1 OR
          ELSE concat('C', k) END AS cod_div_destino,
     {d.days("quarter", "k % 17 + ty * 2")} AS fec_aplicacion,
     0.5 + CAST(10 + 10 * ((k * 5 + month(quarter) + ty + way) % 11) AS DOUBLE) / 71 AS nro_tasa
-FROM (SELECT k, quarter, {d.both} AS way FROM (
-    SELECT n_nationkey AS k, {d.quarters} AS quarter FROM {{nation}}) n) q
-CROSS JOIN (SELECT 0 AS ty UNION ALL SELECT 1 UNION ALL SELECT 2) kind
-WHERE k > 0 AND CASE WHEN way = 0 THEN k % 5 <> 0 ELSE k % 6 = 0 END""",
+FROM (SELECT k, quarter, way, 2 * high + low AS ty FROM (
+    SELECT k, quarter, way, low, {d.both} AS high FROM (
+        SELECT k, quarter, way, {d.both} AS low FROM (SELECT k, quarter, {d.both} AS way FROM (
+            SELECT n_nationkey AS k, {d.quarters} AS quarter FROM {{nation}}) n) w) l) h) q
+WHERE k > 0 AND ty < 3 AND CASE WHEN way = 0 THEN k % 5 <> 0 ELSE k % 6 = 0 END""",
         "spread": f"""SELECT concat('T', k % 3) AS tipo_cambio,
     concat('C', k) AS cod_div_origen, 'EUR' AS cod_div_destino,
     {d.days("quarter", "k % 20")} AS fec_aplicacion,
