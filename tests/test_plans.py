@@ -25,7 +25,7 @@ def test_no_nested_loops_and_no_python(spark, name):
 def test_one_scan_of_the_amounts_for_all_hotel_payment_measures(spark):
     """What the lines' currencies ask for is read by a second scan, which takes no amounts."""
     text = plan(spark, "hotel_pay_measures")
-    scans = re.findall(r"lineitem\.parquet[^\n]*ReadSchema: (struct<[^\n]*)", text)
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\][^\n]*lineitem\.parquet", text)
     assert len(scans) == 2
     assert sorted("l_extendedprice" in columns for columns in scans) == [False, True]
 
