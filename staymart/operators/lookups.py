@@ -94,15 +94,22 @@ def tax_lookup(
     where the tax table is too large to be broadcast: lines of a key are dealt over ``salts``
     copies of its row, and lines without a whole key, which match nothing, over all tasks.
     """
-    side = unique_rates(tax).select(
+    salt, number = f"__{output}_salt", f"__{output}_number"
+    rates = unique_rates(tax)
+    if spread_by:
+        # Grouped after the copying, which shows Spark that a key and number are unique: it
+        # leaves out a lookup whose result nobody uses.
+        copies = rates.withColumn(number, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        rates = copies.groupBy(*TAX_KEYS, number).agg(F.max("pct_impuesto").alias("pct_impuesto"))
+    side = rates.select(
         *[F.col(key).alias(f"__{output}_{key}") for key in TAX_KEYS],
+        *([number] if spread_by else []),
         F.col("pct_impuesto").alias(f"__{output}"),
     )
     match = [
         F.col(line_key) == F.col(f"__{output}_{key}")
         for line_key, key in zip(line_keys, TAX_KEYS, strict=True)
     ]
-    salt, number = f"__{output}_salt", f"__{output}_number"
     rows = lines
     if spread_by:
         number_of = F.xxhash64(*spread_by)
@@ -110,7 +117,6 @@ def tax_lookup(
         # Salts below 0 have no row to meet.
         own = F.when(whole, F.pmod(number_of, F.lit(salts))).otherwise(-1 - F.pmod(number_of, F.lit(NO_KEY_SALTS)))
         rows = lines.withColumn(salt, own.cast("int"))
-        side = side.withColumn(number, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         match.append(F.col(salt) == F.col(number))
     joined = rows.join(side, match, how)
     return joined.withColumnRenamed(f"__{output}", output).drop(
