@@ -39,6 +39,7 @@ DEGREE, BEAM, ALPHA = 24, 36, 1.2
 SEARCH_BEAM = 160
 LONGER, FEW = 8, 256
 _BATCH, _EXPAND, _POOL = 256, 4, 48
+_UNMET = 65535
 
 
 @dataclass
@@ -58,43 +59,44 @@ class Graph:
         done = np.ones((q, beam), bool)
         nodes[:, 0], done[:, 0] = self.entry, False
         far[:, 0] = -(queries @ self.points[self.entry]) if inner else ((queries - self.points[self.entry]) ** 2).sum(1)
-        seen = np.zeros((q, len(self.points)), bool)
-        seen[:, self.entry] = True
+        # Per query and node the column that it was met in, of those looked at in one step.
+        met = np.full((q, len(self.points)), _UNMET, np.uint16)
+        met[:, self.entry] = 0
         active = np.arange(q)
         while len(active):
-            a = active[:, None]
             waiting = np.where(done[active], np.inf, far[active])
-            pick = np.argsort(waiting, 1)[:, :_EXPAND]
+            width = min(_EXPAND, beam)
+            pick = np.argpartition(waiting, width - 1, 1)[:, :width]
             good = np.isfinite(np.take_along_axis(waiting, pick, 1))
-            active_good = good.any(1)
-            active, pick, good = active[active_good], pick[active_good], good[active_good]
+            some = good.any(1)
+            active, pick, good = active[some], pick[some], good[some]
             if not len(active):
                 break
             a = active[:, None]
             done[a, pick] |= good
-            new = self.edges[np.where(good, nodes[a, pick], 0)]
-            new = np.where(good[:, :, None], new, -1).reshape(len(active), -1).astype(np.int64)
-            fresh = (new >= 0) & ~seen[a, np.maximum(new, 0)]
-            # The same node may come from two of the expanded ones.
-            order = np.argsort(new, 1, kind="stable")
-            ranked = np.take_along_axis(new, order, 1)
-            again = np.zeros_like(fresh)
-            again[:, 1:] = ranked[:, 1:] == ranked[:, :-1]
-            repeat = np.zeros_like(fresh)
-            np.put_along_axis(repeat, order, again, 1)
-            fresh &= ~repeat
+            new = self.edges[nodes[a, np.where(good, pick, 0)]]
+            new[~good] = -1
+            new = new.reshape(len(active), -1)
+            fresh = (new >= 0) & (met[a, new] == _UNMET)
             at, col = np.nonzero(fresh)
+            # The same node may come from two of the expanded ones: one column stays.
+            met[active[at], new[at, col]] = col
+            once = met[active[at], new[at, col]] == col
+            at, col = at[once], col[once]
             found = new[at, col]
-            seen[active[at], found] = True
-            d = np.full(new.shape, np.inf)
+            counts = np.bincount(at, minlength=len(active))
+            place = np.arange(len(at)) - np.repeat(np.cumsum(counts) - counts, counts)
+            wide = (len(active), int(counts.max(initial=0)))
+            d, fresh_nodes = np.full(wide, np.inf), np.full(wide, -1, np.int64)
+            fresh_nodes[at, place] = found
             if inner:
-                d[at, col] = -np.einsum("ij,ij->i", self.points[found], queries[active[at]])
+                d[at, place] = -np.einsum("ij,ij->i", self.points[found], queries[active[at]])
             else:
                 gap = self.points[found] - queries[active[at]]
-                d[at, col] = np.einsum("ij,ij->i", gap, gap)
+                d[at, place] = np.einsum("ij,ij->i", gap, gap)
             all_far = np.hstack([far[active], d])
-            all_nodes = np.hstack([nodes[active], new])
-            all_done = np.hstack([done[active], ~fresh])
+            all_nodes = np.hstack([nodes[active], fresh_nodes])
+            all_done = np.hstack([done[active], fresh_nodes < 0])
             best = np.argpartition(all_far, beam - 1, 1)[:, :beam]
             far[active] = np.take_along_axis(all_far, best, 1)
             nodes[active] = np.take_along_axis(all_nodes, best, 1)
