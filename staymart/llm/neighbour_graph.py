@@ -14,7 +14,9 @@ powers of two, so that no length overflows; a score beyond the range of doubles
 
 A graph is one row of bytes. Query vectors are packed in blocks of BLOCK; each block meets
 each graph in a task, which searches by inner product with a beam, scores what it found on the
-original vectors, and returns its best. Per query the best of all graphs stay.
+original vectors, and returns its best. Per query the best of all graphs stay. As a hash deals the
+vectors, a shard of S holds k / S of a query's k nearest, seldom three deviations more: the beam
+has a part that finds the way and one in proportion to that number (``shard_beam``).
 
 Vectors that are null, zero, or hold a null or a non-finite number take no part, nor do rows
 without an id; vectors of another dimension are another space. Ties go to the smaller id. A
@@ -23,6 +25,7 @@ query has fewer results if there are fewer other rows. Other columns may have an
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,6 +43,7 @@ SEARCH_BEAM = 160
 LONGER, FEW = 8, 256
 _BATCH, _EXPAND, _POOL = 256, 4, 48
 _UNMET = 65535
+_WAY = 0.4  # of the beam
 
 
 @dataclass
@@ -249,6 +253,13 @@ def _pack_shard(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table(head | rows | {"entry": pa.array(rows["entry"], pa.int32())})
 
 
+def shard_beam(shards: int, k: int, beam: int) -> int:
+    """The beam in one of ``shards`` shards, where ``beam`` is that for a single one."""
+    share = k / shards
+    here = min(k, share + 3 * share**0.5)
+    return math.ceil(beam * (_WAY + (1 - _WAY) * here / k))
+
+
 def _best_of_shard(row: dict, k: int, beam: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(query id, ids, scores) for every query of the block."""
     dim = row["dim"]
@@ -331,12 +342,13 @@ def nearest(
         .groupBy("dim", "block")
         .applyInArrow(pack_block, "dim int, block int, shards int, q_ids binary, q_vectors binary")
     )
-    meets = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).drop("shards")
+    meets = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                parts = list(_best_of_shard(batch.slice(i, 1).to_pylist()[0], k, beam))
+                row = batch.slice(i, 1).to_pylist()[0]
+                parts = list(_best_of_shard(row, k, shard_beam(row["shards"], k, max(beam, 2 * k))))
                 if parts:
                     q, ids, scores = (np.concatenate(p) for p in zip(*parts, strict=True))
                     yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(ids), pa.array(scores)], ["query_id", "vec_id", "score"])

@@ -236,6 +236,24 @@ def test_neighbours_recall_and_scores(spark, scale):
     assert [v for *_, v in found[110]][:5] == want[110][:5]
 
 
+def test_neighbours_over_many_shards(spark):
+    """The beam of a shard shrinks with their number, the recall does not."""
+    beams = [neighbour_graph.shard_beam(n, 20, 160) for n in (1, 2, 7, 100, 10**6)]
+    assert beams[0] == 160 and beams == sorted(beams, reverse=True) and beams[-1] >= 64
+    rng = np.random.Generator(np.random.PCG64(10))
+    x = rng.normal(size=(20, 32))[rng.integers(0, 20, 3600)] + rng.normal(size=(3600, 32))
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = neighbour_graph.nearest(frame, F.col("vec_id") % 20 == 0, k=20, shard=400).collect()
+    found: dict = {}
+    for r in got:
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    scores = x[::20] @ x.T
+    scores[np.arange(180), np.arange(0, 3600, 20)] = -2
+    want = np.argsort(-scores, 1)[:, :20]
+    assert np.mean([len(found[20 * i] & set(w.tolist())) / 20 for i, w in enumerate(want)]) > 0.97
+
+
 @pytest.mark.parametrize("longer", [1e4, 1e20, 1e160, 1e300])
 def test_neighbours_beside_one_much_longer_vector(spark, longer):
     rng = np.random.Generator(np.random.PCG64(9))
