@@ -1,4 +1,4 @@
-"""Joins against dimensions, key sets and validity ranges; one row per key.
+"""Joins against dimensions and key sets; one row per key.
 
 None of these carries a broadcast hint: a dimension is broadcast when Spark's
 size statistics (or the adaptive run-time size) put it under the threshold, and
@@ -160,27 +160,3 @@ def one_row(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
         .agg(F.min(F.struct(*others)).alias("__row"))
         .select(*keys, *[F.col(f"__row.{name}").alias(name) for name in others])
     )
-
-
-def within_validity(
-    rows: DataFrame,
-    ranges: DataFrame,
-    equal: Sequence[str],
-    at: str,
-    valid_from: str,
-    valid_to: str,
-    columns: dict[str, str],
-    how: str = "inner",
-) -> DataFrame:
-    """Equi join on ``equal`` plus ``at`` inside [valid_from, valid_to]."""
-    side = ranges.select(
-        *[F.col(name).alias(f"__range_{name}") for name in equal],
-        F.col(valid_from).alias("__range_lo"),
-        F.col(valid_to).alias("__range_hi"),
-        *[F.col(name).alias(output) for name, output in columns.items()],
-    )
-    match = [F.col(name) == F.col(f"__range_{name}") for name in equal]
-    match.append(F.col(at).between(F.col("__range_lo"), F.col("__range_hi")))
-    return rows.join(side, match, how).drop(
-        "__range_lo", "__range_hi", *[f"__range_{name}" for name in equal]
-    )

@@ -16,7 +16,8 @@ from staymart.functions.attributes import (
     status_date,
 )
 from staymart.functions.codes import CREATION_EVENT, DESTINATION_LANGUAGE, NO_DESTINATION
-from staymart.operators.lookups import dimension_lookup, first_row, one_row, within_validity
+from staymart.operators.lookups import dimension_lookup, first_row, one_row
+from staymart.operators.ranges import within_validity
 from staymart.plans.measures import BOOKING_KEY
 
 

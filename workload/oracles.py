@@ -733,6 +733,11 @@ LEFT JOIN receptive rf ON b.seq_rec_hbeds = rf.seq_rec""",
     c.cod_destino AS place
 FROM other o JOIN contract_other c USING (seq_rec, nom_contrato, ind_tipo_otro)
 WHERE o.fec_desde >= c.fec_desde AND o.fec_desde <= c.fec_hasta""",
+    "validity_many_ranges": """SELECT o.seq_rec, o.seq_reserva, count(*) AS n_seasons,
+    max(s.cod_season) AS last_season
+FROM other o JOIN season s ON o.seq_rec = s.seq_rec
+    AND o.fec_desde >= s.fec_desde AND o.fec_desde <= s.fec_hasta
+GROUP BY o.seq_rec, o.seq_reserva""",
     "tax_lookup_outer": f"""SELECT l.rres_seq_reserva, l.nro_pax, l.rvp_cod_impuesto,
     l.rvp_cod_empresa, x.pct_impuesto FROM sale l {TAX_JOIN}""",
     "tax_lookup_inner": f"""SELECT l.seq_reserva, l.component, l.cod_impuesto_vta_fac,

@@ -30,6 +30,7 @@ from staymart.operators.lookups import (
     restrict_to_keys,
     tax_lookup,
 )
+from staymart.operators.ranges import within_validity
 from staymart.plans import extract, header, measures, rollup, transfer
 from staymart.plans.measure_tables import (
     MEASURE_TABLES,
@@ -282,6 +283,16 @@ def validity_range_join(t: Tables) -> DataFrame:
     )
 
 
+def validity_many_ranges(t: Tables) -> DataFrame:
+    """Seasons in force on the service date, of the thousands that an office has."""
+    found = within_validity(
+        t["other"], t["season"], ["seq_rec"], "fec_desde", "fec_desde", "fec_hasta", {"cod_season": "season"}
+    )
+    return found.groupBy("seq_rec", "seq_reserva").agg(
+        F.count(F.lit(1)).alias("n_seasons"), F.max("season").alias("last_season")
+    )
+
+
 def tax_lookup_outer(t: Tables) -> DataFrame:
     return tax_lookup(t["sale"], t["tax"], spread_by=rollup.LINE_SPREAD).select(
         "rres_seq_reserva", "nro_pax", "rvp_cod_impuesto", "rvp_cod_empresa", "pct_impuesto"
@@ -722,6 +733,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "join_coalesced_key": join_coalesced_key,
     "role_playing_dim": role_playing_dim,
     "validity_range_join": validity_range_join,
+    "validity_many_ranges": validity_many_ranges,
     "tax_lookup_outer": tax_lookup_outer,
     "tax_lookup_inner": tax_lookup_inner,
     "campaign_exclusion": campaign_exclusion_set,

@@ -149,6 +149,10 @@ def _component() -> str:
 def definitions(d: Dialect) -> dict[str, str]:
     """Table name -> SELECT over the driver tables, each written as ``{table}``."""
     created = d.seconds("o_orderdate", "o_orderkey * 37 % 86400")
+    # Years without end, two months, or few days; some end before they start.
+    season = (
+        "CASE WHEN o_orderkey % 256 = 0 THEN 2900000 WHEN o_orderkey % 8 = 1 THEN 60 ELSE o_custkey % 4 - 1 END"
+    )
     service = d.days("o_orderdate", "o_custkey % 200")
     tables = {
         "booking": f"""SELECT
@@ -229,6 +233,11 @@ FROM {{orders}}""",
     concat('Z', o_custkey % 40) AS cod_destino,
     {d.days("o_orderdate", "o_custkey % 200 - o_orderkey % 30")} AS fec_desde,
     {d.days("o_orderdate", "o_custkey % 200 + 200 * (o_orderkey % 5)")} AS fec_hasta
+FROM {{orders}}""",
+        "season": f"""SELECT {_office("o_orderkey")} AS seq_rec,
+    concat('S', o_custkey % 97) AS cod_season,
+    {d.days("o_orderdate", "o_custkey % 200 - 30")} AS fec_desde,
+    {d.days("o_orderdate", f"o_custkey % 200 - 30 + {season}")} AS fec_hasta
 FROM {{orders}}""",
         "sale": f"""SELECT {_line(d, SALE_CODES)},
     CASE WHEN l_linenumber % 2 = 0 THEN l_extendedprice * l_tax END AS imp_impuesto,
