@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from staymart.sources.sinks import write_once
+
 BACKWARD = "backward"
 FORWARD = "forward"
 
@@ -48,6 +50,14 @@ class Intervals:
     grid: Grid
     direction: str
 
+    def stored(self) -> Intervals:
+        """The same, written once: every lookup is then planned with the history's true size.
+
+        Spark can't tell it of a history that is summed up from a large table. A small one is
+        broadcast and the driving rows stay where they are; they move for a large one only.
+        """
+        return Intervals(write_once(self.frame), self.grid, self.direction)
+
 
 def _grid(history: DataFrame, by: Sequence[str], effective: str) -> Grid:
     """The grid of a history, from three numbers that one job over it returns."""

@@ -83,16 +83,16 @@ class RateSources:
 
 
 def rate_sources(tables: Mapping[str, DataFrame], pivot: str = EURO, spreads: bool = True) -> RateSources:
-    """Sources from the tables of a working set; only partner_rate has to be there."""
+    """Sources from the tables of a working set, stored; only partner_rate has to be there."""
     history = candidate_rates(tables["partner_rate"], *[tables[n] if n in tables else None for n in ("type_rate", "daily_rate")], pivot)
     keys = ["scope", "from_ccy", "to_ccy"]
-    candidates = intervals(history, keys, "effective", BACKWARD, ["preference", "rate"], "until")
+    candidates = intervals(history, keys, "effective", BACKWARD, ["preference", "rate"], "until").stored()
     types = spread = None
     if "company_rate_type" in tables:
-        types = intervals(tables["company_rate_type"], ["semp_cod_emp"], "fec_aplicacion", FORWARD)
+        types = intervals(tables["company_rate_type"], ["semp_cod_emp"], "fec_aplicacion", FORWARD).stored()
     if spreads and "spread" in tables:
         by = ["tipo_cambio", "cod_div_origen", "cod_div_destino"]
-        spread = intervals(tables["spread"], by, "fec_aplicacion")
+        spread = intervals(tables["spread"], by, "fec_aplicacion").stored()
     return RateSources(candidates, types, spread, pivot)
 
 

@@ -65,6 +65,13 @@ def merge_extract(changed: DataFrame, path: str, keys: Sequence[str], part: str)
     writer.partitionBy(part).parquet(path)
 
 
+def write_once(rows: DataFrame) -> DataFrame:
+    """``rows`` from a table of their own, which has a known size and is worked out once."""
+    folder = f"{shared_folder(rows.sparkSession)}/rows"
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, removed when the driver's file system closes.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -203,6 +204,21 @@ def test_one_exchange_of_the_rows_per_lookup(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_small_history_of_large_tables_moves_no_rows(spark):
+    """Daily rates are a few rows, though summed up from a table far over the broadcast limit."""
+    rates = spark.range(5_000_000).selectExpr(
+        "date'2015-01-01' + CAST(id % 200 AS INT) AS date", "concat('C', id % 3) AS currency", "CAST(1 + id % 3 AS DOUBLE) AS rate"
+    )
+    tables = {"partner_rate": spark.createDataFrame([], SCHEMAS["partner_rate"]), "daily_rate": rates}
+    rows = spark.range(3000).selectExpr(
+        "id AS grec_seq_rec", "id AS seq_reserva", "1L AS partner_ttoo", "'E0' AS rate_company", "concat('C', id % 3) AS ccy",
+        "timestamp_ntz'2015-01-01' + make_dt_interval(CAST(id % 200 AS INT), 5) AS at",
+    )
+    found = FullConverter(rate_sources(tables))(rows, "ccy", None, "at", "rate")
+    assert "scope" not in "".join(re.findall(r"Exchange hashpartitioning\([^\n]*", executed(found)))
+    assert found.filter("rate = 1 + seq_reserva % 3").count() == 3000
+
+
 def test_rejects_are_split_from_one_run(spark, world, tmp_path):
     rows, tables, asked = world
     frame = spark.createDataFrame(asked, QUESTIONS)
