@@ -8,13 +8,14 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from staymart.operators.lookups import LINE_TAX_KEYS, TAX_KEYS, tax_lookup
+from staymart.operators.lookups import LINE_TAX_KEYS, TAX_KEYS, exclude_whole_keys, tax_lookup
 from staymart.plans import measures
 from staymart.plans.reconcile import reconcile, reconcile_summary
+from staymart.plans.rollup import rollup_lines
 from staymart.sources.catalog import changed_bookings
 from staymart.sources.layout import CLUSTER_KEYS, Clustered, write_clustered
 from staymart.sources.sinks import merge_extract
-from workload.queries import _converter, _cost
+from workload.queries import _converter, _cost, _recharged_cost
 from workload.tables import Tables
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -41,6 +42,24 @@ def test_no_line_moves_on_the_clustered_layout(spark, tmp_path):
     assert clustered["cost"].select(F.input_file_name().alias("f")).distinct().count() <= 8
 
 
+def test_rows_without_a_whole_key_pass_by_the_exclusion(spark):
+    """Most cost lines are not recharged; only those with an extra are moved to the excluded keys."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tables = Tables(spark, SF_DIR)
+        rolled = _recharged_cost(tables)
+        # A scan of its own for either kind, its filter below the sums.
+        text = rolled._jdf.queryExecution().executedPlan().toString()
+        assert text.count("LeftAnti") == 1 and "Union" in text
+        every = rollup_lines(tables["cost"], tables["tax"], "sdiv_cod_divisa")
+        assert 0 < rolled.agg(F.sum("gross")).first()[0] < every.agg(F.sum("gross")).first()[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    rows = spark.createDataFrame([(1, 1, "a"), (1, None, "b"), (1, 2, "c"), (None, 1, "d")], "k int, part int, n string")
+    gone = spark.createDataFrame([(1, 1), (2, 2)], "x int, y int")
+    assert sorted(r.n for r in exclude_whole_keys(rows, gone, {"k": "x", "part": "y"}, "part").collect()) == ["b", "c", "d"]
+
+
 def test_cluster_keys_follow_the_booking_key():
     assert CLUSTER_KEYS["booking"] == ("grec_seq_rec", "seq_reserva")
     assert CLUSTER_KEYS["sale"] == ("grec_seq_rec", "rres_seq_reserva")
