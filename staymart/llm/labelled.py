@@ -11,13 +11,18 @@ def fold(doc_id: str, n: int, which: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % n == which, F.lit(False))
 
 
-def labelled_sample(labels: DataFrame, label: str, bound: int, doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, label) of ``bound`` documents at most, the first by a hash of the id.
+def labelled(labels: DataFrame, label: str, doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, label) of every labelled document.
 
     Null ids and labels don't count; of several labels of one document the largest does.
     """
     rows = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull())
-    rows = rows.groupBy(F.col(doc_id).alias("doc_id")).agg(F.max(F.col(label)).cast("int").alias("label"))
+    return rows.groupBy(F.col(doc_id).alias("doc_id")).agg(F.max(F.col(label)).cast("int").alias("label"))
+
+
+def labelled_sample(labels: DataFrame, label: str, bound: int, doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, label) of ``bound`` documents at most, the first by a hash of the id."""
+    rows = labelled(labels, label, doc_id)
     return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
 
 

@@ -196,3 +196,15 @@ def test_secrets_without_labels_or_rows(spark):
     empty = docs.where("false")
     assert secret_forest.dictionary(empty) == []
     assert secret_forest.scored(secret_forest.candidates(empty), none, []).count() == 0
+
+
+def test_every_labelled_document_counts(spark):
+    """Moments and cut are those of all 9,000, more than a sample or one group holds."""
+    docs = spark.range(9000).selectExpr("id AS doc_id", "repeat(concat('word', id % 7, IF(id % 10 = 0, '!!! ', ' ')), 1 + CAST(id % 13 AS INT)) AS text")
+    labels = spark.range(9000).selectExpr("id AS doc_id", "IF(id % 10 = 0, 0, 1) AS quality")
+    ranking = bradley_terry.train(docs, labels)
+    x = bradley_terry._inputs(docs.orderBy("doc_id").toArrow()["text"].combine_chunks())
+    assert np.allclose(ranking.mean, x.mean(0)) and np.allclose(ranking.scale, x.std(0) + 1e-6, atol=1e-5)
+    ranked = np.sort(np.clip((x - ranking.mean) / ranking.scale, -8, 8) @ ranking.weights)
+    assert abs(ranking.cut - ranked[899:901].mean()) < 1e-6 and ranked[899] < ranked[900]
+    assert all((r.score >= 0.5) == (r.doc_id % 10 > 0) for r in bradley_terry.scored(docs, ranking).collect())
