@@ -43,6 +43,8 @@ class Clustered(Mapping[str, DataFrame]):
 
     def __init__(self, spark: SparkSession, prefix: str, names: Iterable[str], rest: Mapping[str, DataFrame]):
         self.spark, self.prefix, self.names, self.rest = spark, prefix, tuple(names), rest
+        #: Tables whose rows need not be dealt out by booking.
+        self.clustered = frozenset(self.names)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in self.names:

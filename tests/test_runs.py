@@ -15,7 +15,7 @@ from staymart.plans.rollup import rollup_lines
 from staymart.sources.catalog import changed_bookings
 from staymart.sources.layout import CLUSTER_KEYS, Clustered, write_clustered
 from staymart.sources.sinks import merge_extract
-from workload.queries import _converter, _cost, _recharged_cost
+from workload.queries import _components, _converter, _cost, _recharged_cost, _sale
 from workload.tables import Tables
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -42,6 +42,20 @@ def test_no_line_moves_on_the_clustered_layout(spark, tmp_path):
     assert clustered["cost"].select(F.input_file_name().alias("f")).distinct().count() <= 8
 
 
+def test_lines_cross_the_network_once(spark):
+    """Dealt out by booking before they are summed; neither sums nor joins move them again."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tables = Tables(spark, SF_DIR)
+        for rows, wanted in ((_sale(tables), measures.TAX_TTV), (_components(tables), measures.COMPONENT)):
+            moved = exchanges(measures.booking_measures(tables, rows, wanted, _converter(tables)))
+            # The exclusion takes its few lines by their whole key.
+            by_booking = [e for e in moved if "line_seq_rec" in e and "component_ord" not in e]
+            assert len(by_booking) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_rows_without_a_whole_key_pass_by_the_exclusion(spark):
     """Most cost lines are not recharged; only those with an extra are moved to the excluded keys."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
