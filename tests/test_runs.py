@@ -9,12 +9,14 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from staymart.operators.lookups import LINE_TAX_KEYS, TAX_KEYS, exclude_whole_keys, tax_lookup
+from staymart.operators.full_exchange import rate_sources
 from staymart.plans import measures
 from staymart.plans.reconcile import reconcile, reconcile_summary
 from staymart.plans.rollup import rollup_lines
 from staymart.sources.catalog import changed_bookings
 from staymart.sources.layout import CLUSTER_KEYS, Clustered, write_clustered
 from staymart.sources.sinks import merge_extract
+from workload import queries
 from workload.queries import _components, _converter, _cost, _recharged_cost, _sale
 from workload.tables import Tables
 
@@ -42,6 +44,18 @@ def test_no_line_moves_on_the_clustered_layout(spark, tmp_path):
     assert clustered["cost"].select(F.input_file_name().alias("f")).distinct().count() <= 8
 
 
+def test_rates_are_prepared_once_for_all_windows(spark, monkeypatch):
+    prepared = []
+
+    def counted(*args, **options):
+        prepared.append(args)
+        return rate_sources(*args, **options)
+
+    monkeypatch.setattr(queries, "rate_sources", counted)
+    assert queries.incremental_extract(Tables(spark, SF_DIR)).count() == 1500
+    assert len(prepared) == 1
+
+
 def test_lines_cross_the_network_once(spark):
     """Dealt out by booking before they are summed; neither sums nor joins move them again."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -721,9 +721,12 @@ def reconcile_measures(t: Tables) -> DataFrame:
 def incremental_extract(t: Tables) -> DataFrame:
     """An extract kept up to date over three windows of changes, the last one run twice."""
     folder = f"{shared_folder(t.spark)}/incremental"
+    # Rates are not cut down to a window: one preparation serves all.
+    convert = _converter(t)
     for window in (*CHANGES, CHANGES[-1]):
         changed = changed_bookings(t["booking"], *window)
-        rows = _fold(_sale, measures.TTV)(extract.restrict_tables(t, changed))
+        cut = extract.restrict_tables(t, changed)
+        rows = measures.booking_measures(cut, _sale(cut), measures.TTV, convert)
         created = changed.select(*KEY, F.date_format("fec_creacion", "yyyy").alias("created"))
         merge_extract(rows.join(created, KEY), folder, KEY, "created")
     return t.spark.read.parquet(folder).withColumn("created", F.col("created").cast("string"))
