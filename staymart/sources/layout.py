@@ -3,8 +3,8 @@
 Every table of a booking's rows is written as a bucketed table: same number of buckets, by the
 booking key under the name it has there. Joins and sums by booking then read matching buckets
 and move no line over the network. A bucket is written by one task, so there is a file per
-bucket and table; the number of buckets bounds how far a later run spreads, and a bucket should
-hold a few hundred megabytes.
+bucket and table; the number of buckets bounds how far a later run spreads, and a bucket's rows
+are sorted and summed by one task, so their number should follow the rows (``bucket_count``).
 """
 
 from __future__ import annotations
@@ -25,6 +25,14 @@ CLUSTER_KEYS = {
     },
 }
 
+BUCKET_ROWS = 500_000
+
+
+def bucket_count(tables: Mapping[str, DataFrame], names: Iterable[str], least: int, rows: int = BUCKET_ROWS) -> int:
+    """Buckets for tables that meet: ``least``, or more to hold about ``rows`` of the largest each."""
+    largest = max(tables[name].count() for name in names)
+    return max(least, -(-largest // rows))
+
 
 def write_clustered(
     tables: Mapping[str, DataFrame], names: Iterable[str], folder: str, prefix: str, buckets: int

@@ -14,7 +14,7 @@ from staymart.plans import measures
 from staymart.plans.reconcile import reconcile, reconcile_summary
 from staymart.plans.rollup import rollup_lines
 from staymart.sources.catalog import changed_bookings
-from staymart.sources.layout import CLUSTER_KEYS, Clustered, write_clustered
+from staymart.sources.layout import CLUSTER_KEYS, Clustered, bucket_count, write_clustered
 from staymart.sources.sinks import merge_extract
 from workload import queries
 from workload.queries import _components, _converter, _cost, _recharged_cost, _sale
@@ -88,6 +88,13 @@ def test_rows_without_a_whole_key_pass_by_the_exclusion(spark):
     assert sorted(r.n for r in exclude_whole_keys(rows, gone, {"k": "x", "part": "y"}, "part").collect()) == ["b", "c", "d"]
 
 
+def test_buckets_follow_the_rows(spark):
+    """A bucket is one task's: it must not grow with the tables."""
+    tables = {"booking": spark.range(90), "cost": spark.range(1001)}
+    assert bucket_count(tables, ["booking", "cost"], 4, rows=100) == 11
+    assert bucket_count(tables, ["booking"], 4, rows=100) == 4
+
+
 def test_cluster_keys_follow_the_booking_key():
     assert CLUSTER_KEYS["booking"] == ("grec_seq_rec", "seq_reserva")
     assert CLUSTER_KEYS["sale"] == ("grec_seq_rec", "rres_seq_reserva")

@@ -42,7 +42,7 @@ from staymart.plans.measure_tables import (
 from staymart.plans.star_sql import star_extract
 from staymart.sources.catalog import changed_bookings, date_window, numbered, project
 from staymart.plans.reconcile import reconcile, reconcile_summary
-from staymart.sources.layout import Clustered, write_clustered
+from staymart.sources.layout import Clustered, bucket_count, write_clustered
 from staymart.sources.sinks import merge_extract, read_extract, shared_folder, write_extract
 from workload.tables import Tables
 
@@ -692,7 +692,8 @@ def clustered_hotel_pay(t: Tables) -> DataFrame:
     """The hotel-payment measures over a layout clustered by booking."""
     names = ["booking", "cost"]
     prefix = f"clustered_{uuid4().hex}"
-    write_clustered(t, names, shared_folder(t.spark), prefix, CLUSTER_BUCKETS)
+    buckets = bucket_count(t, names, CLUSTER_BUCKETS)
+    write_clustered(t, names, shared_folder(t.spark), prefix, buckets)
     return _fold(_cost, measures.HOTEL_PAYMENT)(Clustered(t.spark, prefix, names, t))
 
 
