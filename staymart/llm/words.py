@@ -75,6 +75,11 @@ class Words:
         """The row of each word."""
         return np.repeat(np.arange(self.rows), np.diff(self.bounds))
 
+    def whole(self) -> np.ndarray:
+        """A hash of each row with all its bytes, spaces included."""
+        _, down = _tables(len(self.text) + 1)
+        return mix((self.sums[self.offsets[1:]] - self.sums[self.offsets[:-1]]) * down[self.offsets[:-1]])
+
     def prefixes(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the first ``n`` bytes of the words that long, and where those words are."""
         at = np.flatnonzero(self.lengths >= n)

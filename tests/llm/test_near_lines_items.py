@@ -6,13 +6,14 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from staymart.llm import hyperminhash, words
+from staymart.llm import hyperminhash, rarity, words
 from staymart.llm.decontaminate import contaminated, without_benchmark
 from staymart.llm.graph import components
-from staymart.llm.line_dedup import line_report, without_repeated_lines
+from staymart.llm.line_dedup import line_report, line_table, without_repeated_lines
 
 RNG = random.Random(5)
 VOCABULARY = [f"w{i}" for i in range(60)] + ["Ünï", "der", "THE", "x" * 300]
@@ -145,6 +146,34 @@ def test_lines_of_nothing_and_of_repeated_rows(spark):
     assert got == ["a b c\nx", "a b c\nx", "q", "y", "z"]
 
 
+def test_texts_of_one_id_with_the_same_words_are_told_apart(spark):
+    rows = [(1, "a b c d\nx y"), (1, "x y\na b c d"), (2, "y X"), (2, "q")]
+    got = {r.text for r in without_repeated_lines(brute.frame(spark, rows)).collect()}
+    # Of the first two texts either may come first; the other then has nothing left.
+    assert got in ({rows[0][1], "q"}, {rows[1][1], "q"})
+
+
+def test_counts_of_words_are_handed_on_by_slices(spark):
+    docs = brute.frame(spark, [(k, " ".join(f"v{j}" for j in range(k, 20_000, 2))) for k in range(2)]).coalesce(1)
+    table = line_table(docs, "doc_id", "text", rarity.RARITY_BITS)
+    assert table.where("line IS NULL").count() <= 1 << 10
+
+
+def test_levels_of_packed_counts(spark):
+    counts = np.random.default_rng(3).integers(0, 3, (2, 1 << 14)) * [[1], [70]]
+    counts[0, 5:4200] = 0
+    counts[1, 4100] = 70_000
+
+    def tasks(batches):
+        for batch in batches:
+            for k in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays(rarity.packed(counts[k]), ["slice", "places", "counts"])
+
+    rows = spark.range(0, 2, 1, 2).mapInArrow(tasks, "slice int, places binary, counts binary")
+    got = rarity.packed_levels(rows, 14)
+    assert (got == rarity._level(np.minimum(counts, 65_535).sum(0))).all()
+
+
 @pytest.fixture(scope="module")
 def items():
     rows = [(k, " ".join(RNG.choices([f"b{j}" for j in range(40)], k=n))) for k, n in enumerate((1, 3, 5, 8, 20, 45, 60))]
