@@ -47,3 +47,17 @@ def test_a_booking_stored_twice_fails(spark):
     name = list(MEASURE_TABLES)[3]
     with pytest.raises(Exception, match="stored twice: booking 1-1"):
         side_by_side(stored(spark, {name: [(1, 1, "1"), (1, 1, "2")]})).collect()
+
+
+def test_stored_tables_of_the_same_columns_share_one_exchange(spark):
+    """Eleven of the twenty tables sum the same columns of the lines."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        text = run("measure_star_join", spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    lines = [row for row in text.splitlines() if "hashpartitioning(l_orderkey" in row and "ReusedExchange" not in row]
+    assert 0 < len(lines) < len(MEASURE_TABLES) // 2
