@@ -50,3 +50,15 @@ def test_scan_reads_only_what_it_needs(spark):
 def test_first_row_limits_groups_before_the_shuffle(spark):
     text = plan(spark, "dedupe_by_key")
     assert text.count("WindowGroupLimit") >= 2
+
+
+def test_no_explode_of_rates_is_interpreted(spark):
+    """A function over an array below an explode keeps Spark from compiling either."""
+    explodes = [row for row in plan(spark, "cost_measures").splitlines() if "Generate " in row]
+    assert explodes and not [row for row in explodes if "lambdafunction" in row]
+
+
+def test_rows_that_lack_no_rate_are_not_told_apart_by_measure(spark):
+    rows = plan(spark, "unrated_amounts").splitlines()
+    at = next(i for i, row in enumerate(rows) if "Generate explode" in row)
+    assert any("Filter " in row and "source" in row for row in rows[at + 1 : at + 4])
